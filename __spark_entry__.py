@@ -6,17 +6,19 @@ import os
 import sys
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from ebbtide.operators import balance, customers, explore, orders  # noqa: E402
+from ebbtide.operators import balance, customers, evaluate, explore, orders, registry, scoring, search, training  # noqa: E402
 from ebbtide.plans import jobs  # noqa: E402
 from ebbtide.session import working_folder  # noqa: E402
-from ebbtide.sources import files  # noqa: E402
-from ebbtide.sources.star_schema import ShopTables, shop_tables  # noqa: E402
+from ebbtide.sources import files, schemas  # noqa: E402
+from ebbtide.sources.shop import ShopTables  # noqa: E402
+from ebbtide.sources.star_schema import shop_tables  # noqa: E402
 
 DAY_COLUMN = "order_purchase_day"
 
@@ -83,6 +85,139 @@ def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance.with_class_weight(gold, balance.fitted_class_weights(gold))
 
 
+# Three hand-made rules. Their scores are plain arithmetic, so SQL can grade them as well.
+MIXED = "recency - 20D * frequency - monetary / 10000D"
+RULES = {
+    "rule_recency": ("CAST(recency AS DOUBLE)", "recency > 60"),
+    "rule_frequency": ("-CAST(frequency AS DOUBLE)", "frequency <= 3"),
+    "rule_mixed": (MIXED, f"{MIXED} > 0"),
+}
+
+
+def _graded(gold: DataFrame, rule: str) -> DataFrame:
+    score, claim = RULES[rule]
+    prediction = F.expr(claim).cast("int").cast("double")
+    return gold.select(customers.LABEL, F.expr(score).alias("score"), prediction.alias("prediction"))
+
+
+def _rule_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run log of the rules: the metrics of each on the whole feature table, in long form."""
+    gold = _feature_table(spark, sf_dir)
+    runs = None
+    for rule in RULES:
+        graded = _graded(gold, rule)
+        metrics = evaluate.classification_metrics(graded).withColumnsRenamed(
+            {"weighted_precision": "precision", "weighted_recall": "recall", "f1": "f1_score"}
+        )
+        metrics = metrics.select(
+            F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in metrics.columns)))
+        ).unionByName(evaluate.auc_roc(graded).select(F.lit("auc_roc").alias("name"), F.col("auc_roc").alias("value")))
+        rows = metrics.select(
+            F.lit(rule).alias("run_id"),
+            F.lit(rule).alias("run_name"),
+            F.lit("metric").alias("kind"),
+            "name",
+            F.col("value").cast("string").alias("value"),
+        )
+        runs = rows if runs is None else runs.unionByName(rows)
+    return runs
+
+
+def _scored_by_rule(gold: DataFrame) -> DataFrame:
+    """The columns a model would add, from the mixed rule squeezed into (0, 1)."""
+    chance = 1.0 / (1.0 + F.exp(-F.expr(MIXED) / 100.0))
+    return (
+        gold.withColumn("churn_probability", chance)
+        .withColumn("probability", array_to_vector(F.array(1.0 - chance, chance)))
+        .withColumn("prediction", (chance > 0.5).cast("int").cast("double"))
+        .withColumn("churn_probability", scoring.churn_probability())
+        .withColumn("risk_status", scoring.risk_status())
+    )
+
+
+def _metrics_frame(spark: SparkSession, runs: list[tuple]) -> DataFrame:
+    """One row per logged metric of the runs."""
+    logged = registry.runs_frame(spark, runs)
+    return logged.filter(F.col("kind") == "metric").select("run_name", "name", F.col("value").cast("double"))
+
+
+def _train(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = _feature_table(spark, sf_dir)
+        trained = training.train(gold, training.baselines()[name], name, customers.FEATURES)
+        return _metrics_frame(spark, trained.rows)
+
+    return run
+
+
+def _tune(name: str, evals: int = 3) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        estimator_cls, space, _ = search.SPACES[name]
+        gold = _feature_table(spark, sf_dir)
+        found = search.tune(gold, estimator_cls, space, customers.FEATURES, max_evals=evals, run_name=name)
+        return _metrics_frame(spark, found.rows)
+
+    return run
+
+
+def _fitted(gold: DataFrame):
+    model = training.baselines()["LogisticReg_Baseline"]
+    return training.pipeline(model, customers.FEATURES).fit(training.weighted(gold))
+
+
+def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _feature_table(spark, sf_dir)
+    return scoring.score(_fitted(gold), gold).select(
+        customers.PERSON, "prediction", "churn_probability", "risk_status"
+    )
+
+
+def _model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the model read back from the registry scores each person like the one stored."""
+    gold = _feature_table(spark, sf_dir)
+    model = _fitted(gold)
+    folder = working_folder(spark, "models")
+    registry.register_model(
+        f"{folder}/registry", "churn", "production", model, f"{folder}/model", gold, customers.FEATURES
+    )
+    loaded = registry.load_model(spark, f"{folder}/registry", "churn")
+    before, after = (m.transform(gold).select(customers.PERSON, "probability") for m in (model, loaded))
+    joined = before.withColumnRenamed("probability", "stored").join(after, customers.PERSON)
+    return joined.select(customers.PERSON, (F.col("stored") == F.col("probability")).alias("same"))
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts with quotes and line breaks, written as CSV and read back."""
+    folder = working_folder(spark, "csv")
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    texts.write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(folder)
+    return files.read_csv(spark, folder, {"doc_id": "bigint", "lang": "string", "text": "string"})
+
+
+def _register_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source tables as CSV, registered as tables and counted there."""
+    folder, database = working_folder(spark, "bronze"), "bronze_check"
+    tables = shop_tables(spark, sf_dir)
+    for name in ("customers", "orders", "payments", "items", "reviews"):
+        getattr(tables, name).write.options(header=True, quote='"', escape='"').csv(f"{folder}/csv/{name}.csv")
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    files.ensure_database(spark, database, f"{folder}/tables")
+    names = files.register_directory(spark, f"{folder}/csv", database, schemas.COLUMN_TYPES)
+    counted = None
+    for name in names:
+        table = spark.table(name)
+        key = "customer_id" if name.endswith("customers") else "order_id"
+        one = table.agg(
+            F.lit(name.split(".")[1]).alias("table_name"),
+            F.count("*").alias("rows"),
+            F.count_distinct(key).alias("keys"),
+        )
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_study(operator: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +255,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "class_weights": lambda spark, sf_dir: balance.class_weights(_feature_table(spark, sf_dir)),
         "weighted_gold": lambda spark, sf_dir: _rounded(_weighted(spark, sf_dir)),
         "hash_split": _hash_split,
+        "auc_roc": on_features(lambda gold: evaluate.auc_roc(_graded(gold, "rule_mixed")), auc_roc=9),
+        "classification_metrics": on_features(
+            lambda gold: evaluate.classification_metrics(_graded(gold, "rule_mixed"))
+        ),
+        "churn_report": on_features(
+            lambda gold: scoring.churn_report(_scored_by_rule(gold)).drop("probability"), churn_probability=9
+        ),
+        "leaderboard": lambda spark, sf_dir: _rounded(
+            registry.leaderboard(_rule_runs(spark, sf_dir), registry.QUALITY_METRICS)
+        ),
+        "best_run": lambda spark, sf_dir: _rounded(registry.best_run(_rule_runs(spark, sf_dir), "auc_roc")),
+        "csv_roundtrip": _csv_roundtrip,
+        "register_directory": _register_directory,
+        "model_roundtrip": _model_roundtrip,
+        "score_batch": _score_batch,
+        "train_rf": _train("RF_Baseline"),
+        "train_gbt": _train("GBT_Baseline"),
+        "train_lr": _train("LogisticReg_Baseline"),
+        "tune_gbt": _tune("Tuning_GBT"),
+        "tune_rf": _tune("Tuning_RF"),
+        "tune_lr": _tune("Tuning_LR"),
     }
 
 

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators import customers, orders
-from ebbtide.sources.star_schema import ShopTables
+from ebbtide.operators import customers, explore, orders, registry, scoring, search, training
+from ebbtide.sources import files
+from ebbtide.sources.schemas import COLUMN_TYPES
+from ebbtide.sources.shop import ShopTables
+
+
+def bronze(
+    spark: SparkSession,
+    directory: str,
+    database: str = "bronze",
+    types: Mapping[str, str] | None = COLUMN_TYPES,
+    splittable: Collection[str] = (),
+) -> list[str]:
+    """Register every CSV of a directory as a table of ``database``; returns the table names."""
+    files.ensure_database(spark, database)
+    return files.register_directory(spark, directory, database, types, splittable)
 
 
 def _silver(tables: ShopTables, kept_orders: DataFrame) -> DataFrame:
@@ -57,3 +72,63 @@ def gold(
         for moment in snapshots or [bounds.split]
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+EXPLORATIONS = {
+    "describe": explore.describe,
+    "class_share": lambda features: explore.value_share(features, customers.LABEL),
+    "histogram": explore.histogram,
+    "density": explore.density,
+    "top_categories": explore.top_categories,
+    "correlation": explore.correlation,
+}
+
+
+def eda(features: DataFrame) -> dict[str, DataFrame]:
+    """The exploration tables of a feature table, by name."""
+    return {name: operator(features) for name, operator in EXPLORATIONS.items()}
+
+
+def train(features: DataFrame, runs_path: str | None = None) -> dict[str, training.TrainedRun]:
+    """The three baselines, fitted and measured; their log goes to the run table if there is one."""
+    done = {
+        name: training.train(features, estimator, name, customers.FEATURES)
+        for name, estimator in training.baselines().items()
+    }
+    if runs_path:
+        registry.log_runs(features.sparkSession, runs_path, [row for run in done.values() for row in run.rows])
+    return done
+
+
+def tune(
+    features: DataFrame,
+    runs_path: str | None = None,
+    max_evals: int | None = None,
+    parallelism: int = 2,
+    seed: int = 42,
+) -> dict[str, search.SearchResult]:
+    """The three searches; ``max_evals`` replaces the number of draws of every space."""
+    done = {}
+    for name, (estimator_cls, space, evals) in search.SPACES.items():
+        done[name] = search.tune(
+            features,
+            estimator_cls,
+            space,
+            customers.FEATURES,
+            max_evals or evals,
+            run_name=name,
+            seed=seed,
+            parallelism=parallelism,
+        )
+        if runs_path:
+            registry.log_runs(features.sparkSession, runs_path, done[name].rows)
+    return done
+
+
+def score(model: PipelineModel, features: DataFrame, report_table: str | None = None) -> DataFrame:
+    """The report of predicted churners, stored as ``report_table`` if a name is given."""
+    report = scoring.churn_report(scoring.score(model, features))
+    if report_table is None:
+        return report
+    files.save_as_table(report, report_table)
+    return features.sparkSession.table(report_table)

@@ -6,21 +6,10 @@ and the order's seconds of day come from its key, because the star schema stores
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class ShopTables:
-    """The five source tables every job starts from."""
-
-    customers: DataFrame
-    orders: DataFrame
-    payments: DataFrame
-    items: DataFrame
-    reviews: DataFrame
+from ebbtide.sources.shop import ShopTables
 
 
 def _decimal(column: str, precision: int, scale: int = 2):

@@ -212,6 +212,52 @@ def _density() -> str:
         FROM binned AS a JOIN binned AS b USING (column_name) GROUP BY a.column_name, a.bin, a.lower, a.upper"""
 
 
+RULES = {
+    "rule_recency": ("CAST(recency AS DOUBLE)", "recency > 60"),
+    "rule_frequency": ("-CAST(frequency AS DOUBLE)", "frequency <= 3"),
+    "rule_mixed": (
+        "recency - CAST(20 AS DOUBLE) * frequency - monetary / CAST(10000 AS DOUBLE)",
+        "recency - CAST(20 AS DOUBLE) * frequency - monetary / CAST(10000 AS DOUBLE) > 0",
+    ),
+}
+
+
+def _auc(rule: str) -> str:
+    """One row: area, positives, negatives, by comparing each positive with all lower scores."""
+    return f"""
+        SELECT sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc_roc,
+               CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+        FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+              FROM (SELECT {RULES[rule][0]} AS score, CAST(sum(churn) AS DOUBLE) AS pos,
+                           CAST(sum(1 - churn) AS DOUBLE) AS neg FROM gold GROUP BY ALL))"""
+
+
+def _decisions(rule: str) -> str:
+    """One row: accuracy, weighted precision, weighted recall and F1 from the four cells."""
+    return f"""
+        SELECT (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+               ((tp + fn) * tp / (tp + fp) + (tn + fp) * tn / (tn + fn)) / (tp + tn + fp + fn) AS weighted_precision,
+               (tp + tn) / (tp + tn + fp + fn) AS weighted_recall,
+               ((tp + fn) * 2 * tp / (2 * tp + fp + fn) + (tn + fp) * 2 * tn / (2 * tn + fp + fn))
+                   / (tp + tn + fp + fn) AS f1
+        FROM (SELECT CAST(count(*) FILTER (WHERE churn = 1 AND claim) AS DOUBLE) AS tp,
+                     CAST(count(*) FILTER (WHERE churn = 0 AND NOT claim) AS DOUBLE) AS tn,
+                     CAST(count(*) FILTER (WHERE churn = 0 AND claim) AS DOUBLE) AS fp,
+                     CAST(count(*) FILTER (WHERE churn = 1 AND NOT claim) AS DOUBLE) AS fn
+              FROM (SELECT churn, {RULES[rule][1]} AS claim FROM gold))"""
+
+
+def _rule_board() -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{rule}' AS run_id, '{rule}' AS run_name, round(accuracy, 6) AS accuracy,
+            round(auc_roc, 6) AS auc_roc, round(weighted_precision, 6) AS "precision",
+            round(weighted_recall, 6) AS recall, round(f1, 6) AS f1_score
+            FROM ({_auc(rule)}), ({_decisions(rule)})"""
+        for rule in RULES
+    )
+
+
 def _queries() -> dict[str, str]:
     gold = "SELECT * FROM gold"
     return {
@@ -266,6 +312,27 @@ def _queries() -> dict[str, str]:
                    CASE WHEN CAST('0x' || substr(md5(CAST(customer_unique_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 70
                         THEN 'train' ELSE 'test' END AS part
             FROM gold""",
+        "auc_roc": f"SELECT round(auc_roc, 9) AS auc_roc, positives, negatives FROM ({_auc('rule_mixed')})",
+        "classification_metrics": f"""
+            SELECT round(accuracy, 6) AS accuracy, round(weighted_precision, 6) AS weighted_precision,
+                   round(weighted_recall, 6) AS weighted_recall, round(f1, 6) AS f1
+            FROM ({_decisions('rule_mixed')})""",
+        "churn_report": f"""
+            SELECT customer_unique_id, {", ".join(FEATURES)}, '🔴 HIGH RISK' AS risk_status,
+                   round(chance, 9) AS churn_probability
+            FROM (SELECT *, 1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)
+            WHERE chance > 0.5""",
+        "leaderboard": _rule_board(),
+        "best_run": f"""
+            SELECT run_id, run_name, auc_roc FROM ({_rule_board()}) ORDER BY auc_roc DESC, run_id LIMIT 1""",
+        "csv_roundtrip": "SELECT doc_id, lang, text FROM documents",
+        "register_directory": """
+            SELECT 'customers' AS table_name, count(*) AS "rows", count(DISTINCT customer_id) AS "keys" FROM customers
+            UNION ALL SELECT 'orders', count(*), count(DISTINCT order_id) FROM shop_orders
+            UNION ALL SELECT 'payments', count(*), count(DISTINCT order_id) FROM payments
+            UNION ALL SELECT 'items', count(*), count(DISTINCT order_id) FROM items
+            UNION ALL SELECT 'reviews', count(*), count(DISTINCT order_id) FROM reviews""",
+        "model_roundtrip": "SELECT customer_unique_id, true AS same FROM gold",
     }
 
 
