@@ -37,7 +37,7 @@ def _rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
 
 
 def _master(tables: ShopTables) -> DataFrame:
-    return jobs.silver(tables).drop(DAY_COLUMN)
+    return jobs.order_master(tables, orders.clean_orders(tables.orders)).drop(DAY_COLUMN)
 
 
 def _study(tables: ShopTables) -> tuple[DataFrame, orders.StudyBounds]:
@@ -237,6 +237,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payments_by_order": on_tables(lambda t: orders.payments_by_order(t.payments)),
         "items_by_order": on_tables(lambda t: orders.items_by_order(t.items)),
         "reviews_by_order": on_tables(lambda t: orders.reviews_by_order(t.reviews)),
+        "order_facts": on_tables(lambda t: orders.order_facts(t.payments, t.items, t.reviews)),
         "order_master": on_tables(_master),
         "study_bounds": on_tables(lambda t: orders.bounds(orders.clean_orders(t.orders))),
         "study_period": on_study(lambda master, bounds: master),

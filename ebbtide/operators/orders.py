@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import moment
@@ -31,51 +31,82 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     return orders.dropna(subset=[PURCHASED, ORDER])
 
 
+def _payment_measures() -> dict[str, Column]:
+    first = F.min(F.struct(F.col("payment_sequential").isNull(), "payment_sequential", "payment_type"))
+    return {
+        "total_order_payment": F.sum("payment_value"),
+        "max_installments": F.max("payment_installments"),
+        "payment_method_count": F.count("payment_sequential"),
+        "primary_payment_type": first["payment_type"],
+    }
+
+
+def _item_measures() -> dict[str, Column]:
+    return {
+        "total_price": F.sum("price"),
+        "total_freight": F.sum("freight_value"),
+        "total_items": F.count("product_id"),
+        "shipping_limit_date": F.min("shipping_limit_date"),
+    }
+
+
+def _review_measures() -> dict[str, Column]:
+    return {
+        "Avg_review_score": F.avg("review_score"),
+        "Min_review_score": F.min("review_score"),
+        "Total_Review_Number": F.count("review_id"),
+    }
+
+
+def _by_order(details: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    return details.groupBy(ORDER).agg(*(measure.alias(name) for name, measure in measures.items()))
+
+
 def payments_by_order(payments: DataFrame) -> DataFrame:
     """Total, largest instalment count, number of payments and type of the first payment."""
-    first = F.min(F.struct(F.col("payment_sequential").isNull(), "payment_sequential", "payment_type"))
-    return payments.groupBy(ORDER).agg(
-        F.sum("payment_value").alias("total_order_payment"),
-        F.max("payment_installments").alias("max_installments"),
-        F.count("payment_sequential").alias("payment_method_count"),
-        first["payment_type"].alias("primary_payment_type"),
-    )
+    return _by_order(payments, _payment_measures())
 
 
 def items_by_order(items: DataFrame) -> DataFrame:
     """Price, freight, number of products and the earliest shipping limit."""
-    return items.groupBy(ORDER).agg(
-        F.sum("price").alias("total_price"),
-        F.sum("freight_value").alias("total_freight"),
-        F.count("product_id").alias("total_items"),
-        F.min("shipping_limit_date").alias("shipping_limit_date"),
-    )
+    return _by_order(items, _item_measures())
 
 
 def reviews_by_order(reviews: DataFrame) -> DataFrame:
     """Mean score, lowest score and number of reviews."""
-    return reviews.groupBy(ORDER).agg(
-        F.avg("review_score").alias("Avg_review_score"),
-        F.min("review_score").alias("Min_review_score"),
-        F.count("review_id").alias("Total_Review_Number"),
-    )
+    return _by_order(reviews, _review_measures())
 
 
-def order_master(
-    customers: DataFrame,
-    orders: DataFrame,
-    payments: DataFrame,
-    items: DataFrame,
-    reviews: DataFrame,
-) -> DataFrame:
-    """Customers with their orders, widened by what is known about each order.
+def order_facts(payments: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Payments, items and reviews of each order side by side, from one shuffle for all three.
 
-    Takes the per-order tables, not the raw ones. The customer join comes first and both of its
-    inputs are plain shuffles, so adaptive execution can split a customer with very many orders;
-    the three joins after it share the one exchange on the order id.
+    Equal to the full outer join of the three per-order tables: the measures of a kind that an
+    order has no rows of are null. Meant to be stored, see ``jobs.silver``.
+    """
+    sources = (
+        ("has_payments", payments, _payment_measures()),
+        ("has_items", items, _item_measures()),
+        ("has_reviews", reviews, _review_measures()),
+    )
+    rows, measures = None, {}
+    for marker, details, own in sources:
+        marked = details.withColumn(marker, F.lit(True))
+        rows = marked if rows is None else rows.unionByName(marked, allowMissingColumns=True)
+        measures |= {name: F.when(F.max(marker), measure) for name, measure in own.items()}
+    return _by_order(rows, measures)
+
+
+def order_master(customers: DataFrame, orders: DataFrame, *details: DataFrame) -> DataFrame:
+    """Customers with their orders, widened by the ``details`` known about each order.
+
+    The details are tables with one row per order: the three per-order tables, or the stored
+    ``order_facts``. The customer join comes first and both of its inputs are plain shuffles, so
+    adaptive execution can split a customer with very many orders. All joins after it share one
+    exchange on the order id. With stored facts that join can be split in the same way, should an
+    order id be repeated very often.
     """
     master = customers.join(orders, "customer_id")
-    for detail in (payments, items, reviews):
+    for detail in details:
         master = master.join(detail, ORDER, "left")
     return master
 

@@ -28,31 +28,42 @@ def bronze(
     return files.register_directory(spark, directory, database, types, splittable)
 
 
-def _silver(tables: ShopTables, kept_orders: DataFrame) -> DataFrame:
+def silver(tables: ShopTables, facts_path: str) -> DataFrame:
+    """Store what is known about each order, one row per order, and return the stored table.
+
+    Later feature jobs read this instead of payments, items and reviews, for any number of
+    snapshots, and their join with it is one that adaptive execution can split.
+    """
+    facts = orders.order_facts(tables.payments, tables.items, tables.reviews)
+    files.write_table(facts, facts_path)
+    return files.read_table(tables.orders.sparkSession, facts_path)
+
+
+def order_master(tables: ShopTables, placed: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """The orders ``placed`` with their customer and details, from stored ``facts`` if given."""
+    if facts is not None:
+        return orders.order_master(tables.customers, placed, facts)
     return orders.order_master(
         tables.customers,
-        kept_orders,
+        placed,
         orders.payments_by_order(tables.payments),
         orders.items_by_order(tables.items),
         orders.reviews_by_order(tables.reviews),
     )
 
 
-def silver(tables: ShopTables) -> DataFrame:
-    """One row per order, for all orders."""
-    return _silver(tables, orders.clean_orders(tables.orders))
-
-
 def study(
     tables: ShopTables,
     churn_days: int = 90,
     history_days: int = 365,
     day_column: str | None = None,
+    facts: DataFrame | None = None,
 ) -> tuple[DataFrame, orders.StudyBounds]:
     """The orders of the study period, which ends with the newest order, and its bounds."""
     cleaned = orders.clean_orders(tables.orders)
     bounds = orders.study_bounds(cleaned, churn_days, history_days)
-    return _silver(tables, orders.study_period(cleaned, bounds.start, bounds.end, day_column)), bounds
+    placed = orders.study_period(cleaned, bounds.start, bounds.end, day_column)
+    return order_master(tables, placed, facts), bounds
 
 
 def gold(
@@ -61,12 +72,14 @@ def gold(
     history_days: int = 365,
     snapshots: Sequence[str | datetime] | None = None,
     day_column: str | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table with its label, one row per person and snapshot.
 
-    Without ``snapshots`` there is one, ``churn_days`` before the newest order.
+    Without ``snapshots`` there is one, ``churn_days`` before the newest order. For several, pass
+    stored ``facts``, so that the raw details are not aggregated once per snapshot.
     """
-    master, bounds = study(tables, churn_days, history_days, day_column)
+    master, bounds = study(tables, churn_days, history_days, day_column, facts)
     parts = [
         customers.churn_gold(master, moment, churn_days).withColumn("snapshot_date", F.lit(str(moment)).cast("date"))
         for moment in snapshots or [bounds.split]
@@ -74,6 +87,12 @@ def gold(
     return reduce(DataFrame.unionByName, parts)
 
 
+def store_gold(features: DataFrame, path: str) -> DataFrame:
+    """Store the feature table by snapshot; a rerun replaces only the snapshots it has."""
+    files.write_table(features, path, partition_by=["snapshot_date"])
+    return files.read_table(features.sparkSession, path)
+
+
 EXPLORATIONS = {
     "describe": explore.describe,
     "class_share": lambda features: explore.value_share(features, customers.LABEL),

@@ -100,7 +100,7 @@ VIEWS = {
                CAST(coalesce(payment_method_count, 0) AS BIGINT) AS payment_method_count,
                primary_payment_type,
                CAST(coalesce(max_installments, 0) AS INTEGER) AS max_installments,
-               round(coalesce(avg_satisfaction, 0), 6) AS avg_satisfaction,
+               coalesce(avg_satisfaction, 0) AS avg_satisfaction,
                CAST(coalesce(min_review_score, 0) AS INTEGER) AS min_review_score,
                CAST(coalesce(total_reviews_given, 0) AS BIGINT) AS total_reviews_given,
                CAST(churn AS INTEGER) AS churn
@@ -259,7 +259,7 @@ def _rule_board() -> str:
 
 
 def _queries() -> dict[str, str]:
-    gold = "SELECT * FROM gold"
+    gold = "SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction) FROM gold"
     return {
         "clean_orders": "SELECT order_id, customer_id, order_purchase_timestamp FROM clean_orders",
         "payments_by_order": """
@@ -271,6 +271,13 @@ def _queries() -> dict[str, str]:
         "reviews_by_order": """
             SELECT order_id, round(Avg_review_score, 6) AS Avg_review_score, Min_review_score, Total_Review_Number
             FROM reviews_by_order""",
+        "order_facts": """
+            SELECT order_id, CAST(total_order_payment AS DOUBLE) AS total_order_payment, max_installments,
+                   payment_method_count, primary_payment_type, CAST(total_price AS DOUBLE) AS total_price,
+                   CAST(total_freight AS DOUBLE) AS total_freight, total_items, shipping_limit_date,
+                   round(Avg_review_score, 6) AS Avg_review_score, Min_review_score, Total_Review_Number
+            FROM payments_by_order FULL JOIN items_by_order USING (order_id)
+            FULL JOIN reviews_by_order USING (order_id)""",
         "order_master": f"SELECT {_MASTER} FROM order_master",
         "study_bounds": "SELECT * FROM study_bounds",
         "study_period": f"SELECT {_MASTER} FROM study_period",
@@ -304,7 +311,8 @@ def _queries() -> dict[str, str]:
                    CAST(count(*) AS DOUBLE) / (2 * sum(churn)) AS churned_weight,
                    CAST(count(*) AS DOUBLE) / (2 * sum(1 - churn)) AS stayed_weight FROM gold""",
         "weighted_gold": """
-            SELECT *, CASE WHEN churn = 1 THEN CAST(count(*) OVER () AS DOUBLE) / (2 * sum(churn) OVER ())
+            SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction),
+                   CASE WHEN churn = 1 THEN CAST(count(*) OVER () AS DOUBLE) / (2 * sum(churn) OVER ())
                            ELSE CAST(count(*) OVER () AS DOUBLE) / (2 * sum(1 - churn) OVER ()) END AS weight
             FROM gold""",
         "hash_split": """
@@ -318,7 +326,7 @@ def _queries() -> dict[str, str]:
                    round(weighted_recall, 6) AS weighted_recall, round(f1, 6) AS f1
             FROM ({_decisions('rule_mixed')})""",
         "churn_report": f"""
-            SELECT customer_unique_id, {", ".join(FEATURES)}, '🔴 HIGH RISK' AS risk_status,
+            SELECT customer_unique_id, {", ".join(f"round({name}, 6) AS {name}" if name == "avg_satisfaction" else name for name in FEATURES)}, '🔴 HIGH RISK' AS risk_status,
                    round(chance, 9) AS churn_probability
             FROM (SELECT *, 1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)
             WHERE chance > 0.5""",
