@@ -28,7 +28,7 @@ def auc_roc(
     label: str = LABEL,
     score: str = "score",
     rows: str | None = None,
-    ranges: int = 64,
+    ranges: int = 1000,
 ) -> DataFrame:
     """Exact area under the ROC curve, one row: ``auc_roc``, ``positives``, ``negatives``.
 
@@ -52,7 +52,8 @@ def auc_roc(
         .filter(F.col("score").isNotNull())
     )
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(by_score.approxQuantile("score", shares, 0.5 / ranges)))
+    found = by_score.approxQuantile("score", shares, 0.5 / ranges) if shares else []
+    cuts = sorted(set(found)) or [0.0]
     ranged = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
     ).transform(by_score)

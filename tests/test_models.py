@@ -79,6 +79,7 @@ def test_area_of_one_class_is_null(spark):
     df = spark.createDataFrame([(0.1, 1), (0.2, 1)], "score double, churn int")
     row = evaluate.auc_roc(df).first()
     assert (row.auc_roc, row.positives, row.negatives) == (None, 2, 0)
+    assert evaluate.auc_roc(df.limit(0)).first().auc_roc is None
 
 
 def test_decision_metrics_of_a_known_matrix_and_of_the_evaluator(spark):
