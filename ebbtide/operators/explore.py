@@ -7,6 +7,7 @@ only the summary leaves the executors.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,19 +33,19 @@ def _rows_of(wide: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum of numeric and string columns.
+def _as_number(text: Column) -> Column:
+    """Text as double, null where it is none. Looking first spares a failed parse per word."""
+    numeric = text.rlike(r"^\s*[-+]?(\d|\.\d|(?i:inf|nan))")
+    return F.when(numeric, text.try_cast("double"))
 
-    One row per column. Text is averaged where it reads as a number; its extremes are text, so
-    they have columns of their own.
-    """
-    kinds = {field.name: field.dataType for field in df.schema}
-    chosen = columns or [n for n, kind in kinds.items() if isinstance(kind, (NumericType, StringType))]
+
+def _summary(df: DataFrame, columns: Sequence[str], text: bool) -> DataFrame:
+    """The rows of ``describe`` for columns that are all numeric or all text."""
     measures, structs = [], []
-    for i, name in enumerate(chosen):
-        text = isinstance(kinds[name], StringType)
+    nothing = F.lit(None)
+    for i, name in enumerate(columns):
         column = F.col(name)
-        number = column.try_cast("double")
+        number = _as_number(column) if text else column.cast("double")
         measures += [
             F.count(column).alias(f"count_{i}"),
             F.avg(number).alias(f"mean_{i}"),
@@ -52,22 +53,38 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             F.min(column).alias(f"min_{i}"),
             F.max(column).alias(f"max_{i}"),
         ]
-        low, high, nothing = F.col(f"min_{i}"), F.col(f"max_{i}"), F.lit(None)
+        extremes = {"min": F.col(f"min_{i}"), "max": F.col(f"max_{i}")}
         structs.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.col(f"count_{i}").alias("count"),
-                F.col(f"mean_{i}").alias("mean"),
-                F.col(f"stddev_{i}").alias("stddev"),
-                (nothing if text else low).cast("double").alias("min"),
-                (nothing if text else high).cast("double").alias("max"),
-                (low if text else nothing).cast("string").alias("min_text"),
-                (high if text else nothing).cast("string").alias("max_text"),
+                *(F.col(f"{part}_{i}").alias(part) for part in ("count", "mean", "stddev")),
+                *((nothing if text else value).cast("double").alias(part) for part, value in extremes.items()),
+                *((value if text else nothing).cast("string").alias(f"{part}_text") for part, value in extremes.items()),
             )
         )
     return _rows_of(df.agg(*measures), structs)
 
 
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, mean, standard deviation, minimum and maximum of numeric and string columns.
+
+    One row per column. Text is averaged where it reads as a number; its extremes are text, so
+    they have columns of their own. Numbers and text are aggregated apart: the extremes of text
+    cannot be kept in a hash aggregation's buffer and would slow down the numbers with them.
+    """
+    kinds = {field.name: field.dataType for field in df.schema}
+    numbers = [name for name, kind in kinds.items() if isinstance(kind, NumericType)]
+    texts = [name for name, kind in kinds.items() if isinstance(kind, StringType)]
+    parts = []
+    for chosen, text in ((numbers, False), (texts, True)):
+        chosen = [name for name in chosen if columns is None or name in columns]
+        if chosen:
+            parts.append(_summary(df, chosen, text))
+    if not parts:
+        raise ValueError("there is no numeric or string column to describe")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def value_share(df: DataFrame, column: str) -> DataFrame:
     """Percentage of rows per value of ``column``; nulls are left out."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
@@ -78,19 +95,26 @@ def value_share(df: DataFrame, column: str) -> DataFrame:
 def correlation(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataFrame:
     """Pearson correlation of every pair of columns, over the rows where both are present.
 
-    All pairs are computed in one aggregation; the result is the full matrix in long form.
+    The result is the full matrix in long form. The pairs become rows that are combined map-side
+    by pair number: one aggregation of two columns, where one aggregation of all pairs side by
+    side would be too large to be compiled.
     """
     pairs = list(combinations_with_replacement(columns, 2))
-    measured = df.agg(
-        *(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs))
-    )
+    number = {name: F.col(name).cast("double") for name in columns}
+    values = [
+        F.struct(F.lit(i).alias("pair"), number[a].alias("a"), number[b].alias("b")) for i, (a, b) in enumerate(pairs)
+    ]
+    measured = _rows_of(df, values).groupBy("pair").agg(F.corr("a", "b").alias("correlation"))
+
+    def name_of(side: int) -> Column:
+        return F.array(*(F.lit(pair[side]) for pair in pairs))[F.col("pair")]
 
-    def entry(a: str, b: str, i: int) -> Column:
-        return F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("correlation"))
+    def entry(a: Column, b: Column) -> Column:
+        return F.struct(a.alias("column_a"), b.alias("column_b"), "correlation")
 
-    structs = [entry(a, b, i) for i, (a, b) in enumerate(pairs)]
-    structs += [entry(b, a, i) for i, (a, b) in enumerate(pairs) if a != b]
-    return _rows_of(measured, structs)
+    first, second = name_of(0), name_of(1)
+    one, both = F.array(entry(first, second)), F.array(entry(first, second), entry(second, first))
+    return measured.select(F.inline(F.when(first == second, one).otherwise(both)))
 
 
 def _long(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
@@ -123,13 +147,12 @@ def histogram(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS),
 
     Empty bins are rows too. A column with a single value falls into bin 0.
     """
-    # One row per column, so the broadcast is bounded by the number of columns.
-    ranges = F.broadcast(_ranges(df, columns, bins))
+    ranges = _ranges(df, columns, bins)
     position = F.floor((F.col("value") - F.col("low")) / F.nullif(F.col("width"), F.lit(0.0)))
     bin_of = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = (
         _long(df, columns, "double")
-        .join(ranges, "column_name")
+        .join(F.broadcast(ranges), "column_name")  # one row per column, whatever the table's size
         .groupBy("column_name", bin_of.alias("bin"))
         .agg(F.count("*").alias("rows"))
     )
