@@ -108,6 +108,8 @@ def test_order_facts_equal_the_full_outer_join(spark):
         tables.payments.filter("order_id % 3 > 0"), tables.items.filter("order_id % 5 > 0"), tables.reviews
     ).select(joined.columns)
     assert facts.exceptAll(joined).count() == 0 and joined.exceptAll(facts).count() == 0
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id") == 3 == plan.count("Exchange ")
     assert facts.filter("total_items IS NULL").count() > 0 and facts.filter("Total_Review_Number IS NULL").count() > 0
 
 
