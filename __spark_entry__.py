@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,24 @@ def _label_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.label_churn(features, active).select(customers.PERSON, customers.LABEL)
 
 
+def _gold_from_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table by way of stored order facts."""
+    tables = shop_tables(spark, sf_dir)
+    facts = jobs.silver(tables, working_folder(spark, "facts"))
+    return jobs.gold(tables, day_column=DAY_COLUMN, facts=facts).drop("snapshot_date")
+
+
+def _feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots a month apart, stored by snapshot and read back."""
+    tables = shop_tables(spark, sf_dir)
+    newest = orders.study_bounds(orders.clean_orders(tables.orders)).split
+    earlier = datetime.fromisoformat(newest) - timedelta(days=30)
+    facts = jobs.silver(tables, working_folder(spark, "facts"))
+    features = jobs.gold(tables, snapshots=[newest, earlier], day_column=DAY_COLUMN, facts=facts)
+    stored = jobs.store_gold(features, working_folder(spark, "gold"))
+    return stored.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 def _hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = balance.hash_split(_feature_table(spark, sf_dir), 0.7)
     return train.select(customers.PERSON, F.lit("train").alias("part")).unionByName(
@@ -247,6 +266,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_features": on_study(lambda master, bounds: customers.rfm_features(master, bounds.split)),
         "label_churn": _label_churn,
         "churn_gold": lambda spark, sf_dir: _rounded(_gold(spark, sf_dir)),
+        "gold_from_facts": lambda spark, sf_dir: _rounded(_gold_from_facts(spark, sf_dir)),
+        "feature_store": lambda spark, sf_dir: _rounded(_feature_store(spark, sf_dir)),
         "describe": on_features(explore.describe),
         "value_share": on_features(lambda gold: explore.value_share(gold, customers.LABEL)),
         "correlation": on_features(explore.correlation),
@@ -260,6 +281,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classification_metrics": on_features(
             lambda gold: evaluate.classification_metrics(_graded(gold, "rule_mixed"))
         ),
+        "risk_status": on_features(
+            lambda gold: _scored_by_rule(gold).select(customers.PERSON, "prediction", "risk_status")
+        ),
         "churn_report": on_features(
             lambda gold: scoring.churn_report(_scored_by_rule(gold)).drop("probability"), churn_probability=9
         ),

@@ -120,7 +120,7 @@ def tune(
     run_name: str | None = None,
     seed: int = 42,
     split: str = "hash",
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> SearchResult:
     """Draw ``max_evals`` points, fit each on 80 % of the people, keep the best on the others.
 

@@ -123,7 +123,7 @@ def tune(
     features: DataFrame,
     runs_path: str | None = None,
     max_evals: int | None = None,
-    parallelism: int = 2,
+    parallelism: int = 4,
     seed: int = 42,
 ) -> dict[str, search.SearchResult]:
     """The three searches; ``max_evals`` replaces the number of draws of every space."""

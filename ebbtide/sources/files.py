@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +40,13 @@ def read_csv(
 def csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
     """Table name and path of every ``.csv`` file, or folder of part files, in ``directory``."""
     root = directory.rstrip("/")
+    # Listed paths are absolute and carry their scheme; what follows the root is the entry.
+    below = re.sub(r"^([a-z0-9+.-]+:/*)?(\./)*", "", root, flags=re.IGNORECASE)
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(root)
-        .select(F.regexp_extract("path", r"/([^/]+\.csv)(/[^/]+)?$", 1).alias("entry"))
+        .select(F.regexp_extract("path", rf"\Q{below}\E/([^/]+\.csv)(/[^/]+)?$", 1).alias("entry"))
         .filter(F.col("entry") != "")
         .distinct()
     )

@@ -132,6 +132,16 @@ def _with_views(select: str) -> str:
     return f"WITH {views}\n{select}" if views else select
 
 
+def _snapshots(gold: str, *days_before_end: int) -> str:
+    """The feature table at several snapshots, each named by its date."""
+    parts = []
+    for days in days_before_end:
+        text = _with_views(f"SELECT g.*, CAST(CAST(split AS DATE) AS VARCHAR) AS snapshot_date "
+                           f"FROM ({gold}) AS g, study_bounds")
+        parts.append("SELECT * FROM (" + text.replace("INTERVAL 90 DAY AS split", f"INTERVAL {days} DAY AS split") + ")")
+    return "\nUNION ALL ".join(parts)
+
+
 FEATURES = [
     "recency",
     "frequency",
@@ -292,6 +302,8 @@ def _queries() -> dict[str, str]:
                    zip_code, city, state, primary_payment_type FROM rfm_features""",
         "label_churn": "SELECT customer_unique_id, CAST(churn AS INTEGER) AS churn FROM labelled",
         "churn_gold": gold,
+        "gold_from_facts": gold,
+        "feature_store": _snapshots(gold, 90, 120),
         "describe": _describe(),
         "value_share": """
             SELECT churn, count(*) AS "rows", round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS "percent"
@@ -325,6 +337,10 @@ def _queries() -> dict[str, str]:
             SELECT round(accuracy, 6) AS accuracy, round(weighted_precision, 6) AS weighted_precision,
                    round(weighted_recall, 6) AS weighted_recall, round(f1, 6) AS f1
             FROM ({_decisions('rule_mixed')})""",
+        "risk_status": f"""
+            SELECT customer_unique_id, CAST(CASE WHEN chance > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+                   CASE WHEN chance > 0.5 THEN '🔴 HIGH RISK' ELSE '🟢 LOW RISK' END AS risk_status
+            FROM (SELECT *, 1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)""",
         "churn_report": f"""
             SELECT customer_unique_id, {", ".join(f"round({name}, 6) AS {name}" if name == "avg_satisfaction" else name for name in FEATURES)}, '🔴 HIGH RISK' AS risk_status,
                    round(chance, 9) AS churn_probability
@@ -345,4 +361,5 @@ def _queries() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: text if text.lstrip().startswith("WITH") else _with_views(text) for name, text in _queries().items()}
+    complete = ("WITH", "SELECT * FROM (WITH")
+    return {name: text if text.lstrip().startswith(complete) else _with_views(text) for name, text in _queries().items()}
