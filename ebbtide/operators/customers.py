@@ -96,7 +96,8 @@ def _per_person(rows: DataFrame, snapshot: str | datetime, seen: Column) -> Data
         F.sum("items").alias("total_items_volume"),
         F.max("methods").alias("payment_method_count"),
         F.max("installments").alias("max_installments"),
-        F.try_divide(F.sum("score_sum"), F.sum("score_count")).alias("avg_satisfaction"),
+        # Rounded, so that the order in which doubles were added does not show in the last digits.
+        F.round(F.try_divide(F.sum("score_sum"), F.sum("score_count")), 12).alias("avg_satisfaction"),
         F.min("score_min").alias("min_review_score"),
         F.sum("reviews").alias("total_reviews_given"),
         F.max("came_back").alias("came_back"),

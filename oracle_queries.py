@@ -85,7 +85,7 @@ VIEWS = {
                arg_min(primary_payment_type, row(order_purchase_timestamp, order_id))
                    FILTER (WHERE primary_payment_type IS NOT NULL) AS primary_payment_type,
                max(max_installments) AS max_installments,
-               avg(Avg_review_score) AS avg_satisfaction,
+               round(avg(Avg_review_score), 12) AS avg_satisfaction,
                min(Min_review_score) AS min_review_score,
                sum(Total_Review_Number) AS total_reviews_given
         FROM observation, study_bounds GROUP BY customer_unique_id""",
