@@ -60,9 +60,14 @@ def active_customers(master: DataFrame, snapshot: str | datetime, churn_days: in
 
 
 def label_churn(features: DataFrame, active: DataFrame) -> DataFrame:
-    """Keep every row of ``features`` and flag those missing from ``active`` as churned."""
-    marked = features.join(active.withColumn("came_back", F.lit(1)), PERSON, "left")
-    return marked.withColumn(LABEL, F.when(F.col("came_back").isNull(), 1).otherwise(0)).drop("came_back")
+    """Keep every row of ``features`` and flag those missing from ``active`` as churned.
+
+    An EXISTS in the projection, which Spark runs as an existence join: ``active`` may repeat
+    people, and no row is multiplied.
+    """
+    same_person = F.col(f"active.{PERSON}") == F.col(f"features.{PERSON}").outer()
+    came_back = active.alias("active").where(same_person).exists()
+    return features.alias("features").select("*", F.when(came_back, 0).otherwise(1).alias(LABEL))
 
 
 def _per_person(rows: DataFrame, snapshot: str | datetime, seen: Column) -> DataFrame:

@@ -35,7 +35,7 @@ def _rows_of(wide: DataFrame, structs: Sequence[Column]) -> DataFrame:
 
 def _as_number(text: Column) -> Column:
     """Text as double, null where it is none. Looking first spares a failed parse per word."""
-    numeric = text.rlike(r"^\s*[-+]?(\d|\.\d|(?i:inf|nan))")
+    numeric = text.rlike(r"^[\x00-\x20]*[-+]?(\d|\.\d|(?i:inf|nan))")
     return F.when(numeric, text.try_cast("double"))
 
 

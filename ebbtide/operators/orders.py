@@ -6,11 +6,12 @@ join never multiplies rows and an order with very many detail rows is combined m
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import moment
@@ -18,6 +19,24 @@ from ebbtide.functions.columns import moment
 ORDER = "order_id"
 PURCHASED = "order_purchase_timestamp"
 
+# The measures of an order, each with its aggregate and source column.
+PAYMENT_MEASURES = {
+    "total_order_payment": (F.sum, "payment_value"),
+    "max_installments": (F.max, "payment_installments"),
+    "payment_method_count": (F.count, "payment_sequential"),
+}
+ITEM_MEASURES = {
+    "total_price": (F.sum, "price"),
+    "total_freight": (F.sum, "freight_value"),
+    "total_items": (F.count, "product_id"),
+    "shipping_limit_date": (F.min, "shipping_limit_date"),
+}
+REVIEW_MEASURES = {
+    "Avg_review_score": (F.avg, "review_score"),
+    "Min_review_score": (F.min, "review_score"),
+    "Total_Review_Number": (F.count, "review_id"),
+}
+
 
 class StudyBounds(NamedTuple):
     """The study period as timestamp text: ``[start, end)``, with the snapshot at ``split``."""
@@ -32,34 +51,29 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     return orders.dropna(subset=[PURCHASED, ORDER])
 
 
+def _by_order(details: DataFrame, measures: dict[str, tuple[Callable, str]], *more: Column) -> DataFrame:
+    own = (aggregate(source).alias(name) for name, (aggregate, source) in measures.items())
+    return details.groupBy(ORDER).agg(*own, *more)
+
+
 def payments_by_order(payments: DataFrame) -> DataFrame:
-    """Total, largest instalment count, number of payments and type of the first payment."""
-    first = F.min(F.struct(F.col("payment_sequential").isNull(), "payment_sequential", "payment_type"))
-    return payments.groupBy(ORDER).agg(
-        F.sum("payment_value").alias("total_order_payment"),
-        F.max("payment_installments").alias("max_installments"),
-        F.count("payment_sequential").alias("payment_method_count"),
-        first["payment_type"].alias("primary_payment_type"),
-    )
+    """Total, largest instalment count, number of payments and type of the first payment.
+
+    The first payment is the one with the lowest sequential number; without a number it comes last.
+    """
+    sequence = F.struct(F.col("payment_sequential").isNull(), "payment_sequential", "payment_type")
+    first_type = F.min(sequence)["payment_type"].alias("primary_payment_type")
+    return _by_order(payments, PAYMENT_MEASURES, first_type)
 
 
 def items_by_order(items: DataFrame) -> DataFrame:
     """Price, freight, number of products and the earliest shipping limit."""
-    return items.groupBy(ORDER).agg(
-        F.sum("price").alias("total_price"),
-        F.sum("freight_value").alias("total_freight"),
-        F.count("product_id").alias("total_items"),
-        F.min("shipping_limit_date").alias("shipping_limit_date"),
-    )
+    return _by_order(items, ITEM_MEASURES)
 
 
 def reviews_by_order(reviews: DataFrame) -> DataFrame:
     """Mean score, lowest score and number of reviews."""
-    return reviews.groupBy(ORDER).agg(
-        F.avg("review_score").alias("Avg_review_score"),
-        F.min("review_score").alias("Min_review_score"),
-        F.count("review_id").alias("Total_Review_Number"),
-    )
+    return _by_order(reviews, REVIEW_MEASURES)
 
 
 def order_facts(payments: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:

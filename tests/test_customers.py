@@ -115,6 +115,9 @@ def test_one_pass_equals_features_joined_with_active_customers(spark):
     joined = customers.label_churn(features, active).na.fill(0).select(*once.columns)
     assert once.exceptAll(joined).count() == 0 and joined.exceptAll(once).count() == 0
     assert once.count() == once.select("customer_unique_id").distinct().count() > 0
+    repeated = customers.label_churn(features, customers.response(master, bounds.split)).na.fill(0)
+    assert repeated.select(*once.columns).exceptAll(once).count() == 0 and repeated.count() == once.count()
+    assert "ExistenceJoin" in _plan(repeated)
     lost = features.join(active, "customer_unique_id", "left_anti").count()
     kept = features.join(active, "customer_unique_id", "left_semi").count()
     assert once.filter("churn = 1").count() == lost and once.filter("churn = 0").count() == kept

@@ -32,6 +32,14 @@ def test_summary_counts_present_values_only(spark):
     assert (found["n"]["count"], found["n"].mean, found["t"]["count"]) == (2, 2.0, 2)
 
 
+def test_summary_averages_text_that_reads_as_numbers(spark):
+    words = ["7", " -1.5 ", "+.5", "1e2", "nan x", "b12", "", "-"]
+    row = explore.describe(spark.createDataFrame([(w,) for w in words], "t string")).first()
+    assert (row["count"], row.mean, row.max_text) == (8, pytest.approx((7 - 1.5 + 0.5 + 100) / 4), "nan x")
+    with pytest.raises(ValueError, match="no numeric or string column"):
+        explore.describe(spark.createDataFrame([(True,)], "flag boolean"))
+
+
 def test_shares_add_up_and_skip_nulls(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (0,), (None,)], "churn int")
     assert {(r.churn, r.rows, r.percent) for r in explore.value_share(df, "churn").collect()} == {
