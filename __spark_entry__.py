@@ -22,6 +22,7 @@ from ebbtide.sources.shop import ShopTables  # noqa: E402
 from ebbtide.sources.star_schema import shop_tables  # noqa: E402
 
 DAY_COLUMN = "order_purchase_day"
+DAY = orders.StoredPeriod(DAY_COLUMN, "day")
 
 
 def _rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
@@ -42,11 +43,11 @@ def _master(tables: ShopTables) -> DataFrame:
 
 
 def _study(tables: ShopTables) -> tuple[DataFrame, orders.StudyBounds]:
-    return jobs.study(tables, day_column=DAY_COLUMN)
+    return jobs.study(tables, stored=DAY)
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.gold(shop_tables(spark, sf_dir), day_column=DAY_COLUMN).drop("snapshot_date")
+    return jobs.gold(shop_tables(spark, sf_dir), stored=DAY).drop("snapshot_date")
 
 
 _stored: dict[tuple[str, str], str] = {}
@@ -74,20 +75,26 @@ def _label_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.label_churn(features, active).select(customers.PERSON, customers.LABEL)
 
 
-def _gold_from_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table by way of stored order facts."""
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored orders with their details, without the partition column."""
+    stored = jobs.silver(shop_tables(spark, sf_dir), working_folder(spark, "silver"))
+    return stored.drop(DAY_COLUMN, jobs.SILVER_PERIOD.column)
+
+
+def _gold_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table by way of stored orders."""
     tables = shop_tables(spark, sf_dir)
-    facts = jobs.silver(tables, working_folder(spark, "facts"))
-    return jobs.gold(tables, day_column=DAY_COLUMN, facts=facts).drop("snapshot_date")
+    detailed = jobs.silver(tables, working_folder(spark, "silver"))
+    return jobs.gold(tables, detailed=detailed).drop("snapshot_date")
 
 
 def _feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots a month apart, stored by snapshot and read back."""
     tables = shop_tables(spark, sf_dir)
-    newest = orders.study_bounds(orders.clean_orders(tables.orders)).split
+    detailed = jobs.silver(tables, working_folder(spark, "silver"))
+    newest = orders.study_bounds(detailed).split
     earlier = datetime.fromisoformat(newest) - timedelta(days=30)
-    facts = jobs.silver(tables, working_folder(spark, "facts"))
-    features = jobs.gold(tables, snapshots=[newest, earlier], day_column=DAY_COLUMN, facts=facts)
+    features = jobs.gold(tables, snapshots=[newest, earlier], detailed=detailed)
     stored = jobs.store_gold(features, working_folder(spark, "gold"))
     return stored.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
@@ -266,7 +273,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_features": on_study(lambda master, bounds: customers.rfm_features(master, bounds.split)),
         "label_churn": _label_churn,
         "churn_gold": lambda spark, sf_dir: _rounded(_gold(spark, sf_dir)),
-        "gold_from_facts": lambda spark, sf_dir: _rounded(_gold_from_facts(spark, sf_dir)),
+        "silver_orders": lambda spark, sf_dir: _rounded(_silver(spark, sf_dir)),
+        "gold_from_silver": lambda spark, sf_dir: _rounded(_gold_from_silver(spark, sf_dir)),
         "feature_store": lambda spark, sf_dir: _rounded(_feature_store(spark, sf_dir)),
         "describe": on_features(explore.describe),
         "value_share": on_features(lambda gold: explore.value_share(gold, customers.LABEL)),

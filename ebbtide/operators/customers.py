@@ -119,12 +119,12 @@ def rfm_features(master: DataFrame, snapshot: str | datetime) -> DataFrame:
 def churn_gold(master: DataFrame, snapshot: str | datetime, churn_days: int = 90) -> DataFrame:
     """Features and label in one pass over the orders of both windows.
 
-    Equal to ``label_churn(rfm_features(...), active_customers(...))`` with numeric nulls set to
-    0, but it scans and joins the order tables once and needs no join for the label.
+    Equal to ``label_churn(rfm_features(...), active_customers(...))`` with the features'
+    nulls set to 0, but it scans and joins the order tables once and needs no join for the label.
     """
     purchased = F.col(PURCHASED)
     seen = purchased <= moment(master, PURCHASED, snapshot)
     rows = master.filter(seen | (purchased <= day_limit(master, PURCHASED, snapshot, churn_days)))
     stayed = (F.col("came_back") == 1) & F.col(PERSON).isNotNull()
     people = _per_person(rows, snapshot, seen).withColumn(LABEL, F.when(stayed, 0).otherwise(1))
-    return people.drop("came_back").na.fill(0)
+    return people.drop("came_back").na.fill(0, FEATURES)

@@ -46,6 +46,17 @@ class StudyBounds(NamedTuple):
     end: str
 
 
+class StoredPeriod(NamedTuple):
+    """A column that holds the first day of the ``unit`` (day, month, ...) of the purchase."""
+
+    column: str
+    unit: str
+
+    def of(self, time: Column) -> Column:
+        day = time.cast("date")
+        return day if self.unit == "day" else F.trunc(day, self.unit)
+
+
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Orders that have both a purchase time and an id."""
     return orders.dropna(subset=[PURCHASED, ORDER])
@@ -91,11 +102,10 @@ def order_facts(payments: DataFrame, items: DataFrame, reviews: DataFrame) -> Da
 def order_master(customers: DataFrame, orders: DataFrame, *details: DataFrame) -> DataFrame:
     """Customers with their orders, widened by the ``details`` known about each order.
 
-    The details are tables with one row per order: the three per-order tables, or the stored
-    ``order_facts``. The customer join comes first and both of its inputs are plain shuffles, so
-    adaptive execution can split a customer with very many orders. All joins after it share one
-    exchange on the order id. With stored facts that join can be split in the same way, should an
-    order id be repeated very often.
+    The details are tables with one row per order; orders that carry their details already need
+    none. The customer join comes first and both of its inputs are plain shuffles, so adaptive
+    execution can split a customer with very many orders. All joins after it share one exchange
+    on the order id.
     """
     master = customers.join(orders, "customer_id")
     for detail in details:
@@ -126,18 +136,17 @@ def study_period(
     df: DataFrame,
     start: str | datetime,
     end: str | datetime,
-    day_column: str | None = None,
+    stored: StoredPeriod | None = None,
 ) -> DataFrame:
     """Rows with ``start <= purchase time < end``.
 
-    ``day_column`` names a stored day (often the partition column) the purchase time falls on. It
-    adds the implied bound on that day, so that partitions and row groups outside are never read.
+    ``stored`` names a column with the day or month of purchase, often the partition column. It
+    adds the implied bound on that column, so that partitions and row groups outside are not read.
     """
     purchased = F.col(PURCHASED)
     kept = df.filter((purchased >= moment(df, PURCHASED, start)) & (purchased < moment(df, PURCHASED, end)))
-    if day_column:
-        first_day = F.lit(str(start)).cast("timestamp_ntz").cast("date")
-        last_day = F.lit(str(end)).cast("timestamp_ntz").cast("date")
-        kind = df.schema[day_column].dataType
-        kept = kept.filter(F.col(day_column).between(first_day.cast(kind), last_day.cast(kind)))
-    return kept
+    if stored is None:
+        return kept
+    kind = df.schema[stored.column].dataType
+    first, last = (stored.of(F.lit(str(bound)).cast("timestamp_ntz")).cast(kind) for bound in (start, end))
+    return kept.filter(F.col(stored.column).between(first, last))

@@ -15,6 +15,9 @@ from ebbtide.sources import files
 from ebbtide.sources.schemas import COLUMN_TYPES
 from ebbtide.sources.shop import ShopTables
 
+# How stored orders are partitioned.
+SILVER_PERIOD = orders.StoredPeriod("order_purchase_month", "month")
+
 
 def bronze(
     spark: SparkSession,
@@ -28,21 +31,27 @@ def bronze(
     return files.register_directory(spark, directory, database, types, splittable)
 
 
-def silver(tables: ShopTables, facts_path: str) -> DataFrame:
-    """Store what is known about each order, one row per order, and return the stored table.
+def silver(tables: ShopTables, path: str) -> DataFrame:
+    """Store the clean orders with all their details, by month of purchase, and return them.
 
-    Later feature jobs read this instead of payments, items and reviews, for any number of
-    snapshots, and their join with it is one that adaptive execution can split.
+    Feature jobs then read the months they need and join nothing but customers. The details are
+    stored first: both sides of the join with them are then plain shuffles, which adaptive
+    execution can split, should an order id be repeated very often.
     """
-    facts = orders.order_facts(tables.payments, tables.items, tables.reviews)
-    files.write_table(facts, facts_path)
-    return files.read_table(tables.orders.sparkSession, facts_path)
+    spark = tables.orders.sparkSession
+    files.write_table(orders.order_facts(tables.payments, tables.items, tables.reviews), f"{path}/order_facts")
+    facts = files.read_table(spark, f"{path}/order_facts")
+    month = SILVER_PERIOD.of(F.col(orders.PURCHASED)).alias(SILVER_PERIOD.column)
+    detailed = orders.clean_orders(tables.orders).select("*", month).join(facts, orders.ORDER, "left")
+    # Rebalancing gives each month few files and still splits a month that is very large.
+    files.write_table(
+        detailed.hint("rebalance", SILVER_PERIOD.column), f"{path}/orders", partition_by=[SILVER_PERIOD.column]
+    )
+    return files.read_table(spark, f"{path}/orders")
 
 
-def order_master(tables: ShopTables, placed: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """The orders ``placed`` with their customer and details, from stored ``facts`` if given."""
-    if facts is not None:
-        return orders.order_master(tables.customers, placed, facts)
+def order_master(tables: ShopTables, placed: DataFrame) -> DataFrame:
+    """The orders ``placed`` with their customer and details, from the source tables."""
     return orders.order_master(
         tables.customers,
         placed,
@@ -56,14 +65,21 @@ def study(
     tables: ShopTables,
     churn_days: int = 90,
     history_days: int = 365,
-    day_column: str | None = None,
-    facts: DataFrame | None = None,
+    stored: orders.StoredPeriod | None = None,
+    detailed: DataFrame | None = None,
 ) -> tuple[DataFrame, orders.StudyBounds]:
-    """The orders of the study period, which ends with the newest order, and its bounds."""
-    cleaned = orders.clean_orders(tables.orders)
-    bounds = orders.study_bounds(cleaned, churn_days, history_days)
-    placed = orders.study_period(cleaned, bounds.start, bounds.end, day_column)
-    return order_master(tables, placed, facts), bounds
+    """The orders of the study period, which ends with the newest order, and its bounds.
+
+    ``detailed`` are orders stored by ``silver``; without them the details come from the source
+    tables, whose orders may have a ``stored`` day or month.
+    """
+    placed = orders.clean_orders(tables.orders) if detailed is None else detailed
+    bounds = orders.study_bounds(placed, churn_days, history_days)
+    period = stored if detailed is None else SILVER_PERIOD
+    placed = orders.study_period(placed, bounds.start, bounds.end, period)
+    if detailed is None:
+        return order_master(tables, placed), bounds
+    return orders.order_master(tables.customers, placed), bounds
 
 
 def gold(
@@ -71,15 +87,15 @@ def gold(
     churn_days: int = 90,
     history_days: int = 365,
     snapshots: Sequence[str | datetime] | None = None,
-    day_column: str | None = None,
-    facts: DataFrame | None = None,
+    stored: orders.StoredPeriod | None = None,
+    detailed: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table with its label, one row per person and snapshot.
 
     Without ``snapshots`` there is one, ``churn_days`` before the newest order. For several, pass
-    stored ``facts``, so that the raw details are not aggregated once per snapshot.
+    the ``detailed`` orders of ``silver``, so that the details are not aggregated per snapshot.
     """
-    master, bounds = study(tables, churn_days, history_days, day_column, facts)
+    master, bounds = study(tables, churn_days, history_days, stored, detailed)
     parts = [
         customers.churn_gold(master, moment, churn_days).withColumn("snapshot_date", F.lit(str(moment)).cast("date"))
         for moment in snapshots or [bounds.split]
@@ -89,7 +105,7 @@ def gold(
 
 def store_gold(features: DataFrame, path: str) -> DataFrame:
     """Store the feature table by snapshot; a rerun replaces only the snapshots it has."""
-    files.write_table(features, path, partition_by=["snapshot_date"])
+    files.write_table(features, path, partition_by=["snapshot_date"], by_partition=True)
     return files.read_table(features.sparkSession, path)
 
 

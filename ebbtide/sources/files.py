@@ -84,11 +84,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str]):
-    writer = df.write.format(fmt).mode(mode)
-    if partition_by:
-        return writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    return writer.option("overwriteSchema", True)
+def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str], by_partition: bool):
+    overwritten = "dynamic" if by_partition else "static"
+    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", overwritten)
+    if not by_partition:
+        writer = writer.option("overwriteSchema", True)
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
 
 def write_table(
@@ -97,9 +98,14 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    by_partition: bool = False,
 ) -> None:
-    """Store ``df`` at ``path``. With ``partition_by`` only the partitions present are replaced."""
-    _writer(df, fmt, mode, partition_by).save(path)
+    """Store ``df`` at ``path``.
+
+    An overwrite replaces the table and its schema, or with ``by_partition`` only those
+    partitions that ``df`` has rows of.
+    """
+    _writer(df, fmt, mode, partition_by, by_partition).save(path)
 
 
 def save_as_table(
@@ -108,9 +114,10 @@ def save_as_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    by_partition: bool = False,
 ) -> None:
-    """Store ``df`` as the managed table ``name``; an overwrite also replaces its schema."""
-    _writer(df, fmt, mode, partition_by).saveAsTable(name)
+    """Store ``df`` as the managed table ``name``, in the same way."""
+    _writer(df, fmt, mode, partition_by, by_partition).saveAsTable(name)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

@@ -302,7 +302,14 @@ def _queries() -> dict[str, str]:
                    zip_code, city, state, primary_payment_type FROM rfm_features""",
         "label_churn": "SELECT customer_unique_id, CAST(churn AS INTEGER) AS churn FROM labelled",
         "churn_gold": gold,
-        "gold_from_facts": gold,
+        "silver_orders": """
+            SELECT clean_orders.*, CAST(total_order_payment AS DOUBLE) AS total_order_payment, max_installments,
+                   payment_method_count, primary_payment_type, CAST(total_price AS DOUBLE) AS total_price,
+                   CAST(total_freight AS DOUBLE) AS total_freight, total_items, shipping_limit_date,
+                   round(Avg_review_score, 6) AS Avg_review_score, Min_review_score, Total_Review_Number
+            FROM clean_orders LEFT JOIN payments_by_order USING (order_id)
+            LEFT JOIN items_by_order USING (order_id) LEFT JOIN reviews_by_order USING (order_id)""",
+        "gold_from_silver": gold,
         "feature_store": _snapshots(gold, 90, 120),
         "describe": _describe(),
         "value_share": """

@@ -37,5 +37,5 @@ def gold(spark, tmp_path_factory):
     from ebbtide.sources.star_schema import shop_tables
 
     path = str(tmp_path_factory.mktemp("features") / "gold")
-    write_table(jobs.gold(shop_tables(spark, DATA), day_column="order_purchase_day").drop("snapshot_date"), path)
+    write_table(jobs.gold(shop_tables(spark, DATA)).drop("snapshot_date"), path)
     return read_table(spark, path)

@@ -16,8 +16,8 @@ def test_csv_to_report(spark, tmp_path):
     tables = open_database(spark, "shop")
     assert dict(tables.payments.dtypes)["payment_value"] == "decimal(12,2)"
 
-    facts = jobs.silver(tables, str(tmp_path / "silver"))
-    features = jobs.store_gold(jobs.gold(tables, facts=facts), str(tmp_path / "gold"))
+    detailed = jobs.silver(tables, str(tmp_path / "silver"))
+    features = jobs.store_gold(jobs.gold(tables, detailed=detailed), str(tmp_path / "gold"))
     exact = [c for c in [*customers.FEATURES, "city", "state", "churn"] if c != "avg_satisfaction"]
     direct = jobs.gold(given).select(*exact)
     assert features.select(*exact).exceptAll(direct).count() == 0
