@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from ebbtide.operators import balance, customers, evaluate, explore, orders, registry, scoring, search, training  # noqa: E402
+from ebbtide.operators import balance, customers, evaluate, explore, orders  # noqa: E402
+from ebbtide.operators import registry, scoring, search, training  # noqa: E402
 from ebbtide.plans import jobs  # noqa: E402
 from ebbtide.session import working_folder  # noqa: E402
 from ebbtide.sources import files, schemas  # noqa: E402

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -24,11 +24,10 @@ def bronze(
     directory: str,
     database: str = "bronze",
     types: Mapping[str, str] | None = COLUMN_TYPES,
-    splittable: Collection[str] = (),
 ) -> list[str]:
     """Register every CSV of a directory as a table of ``database``; returns the table names."""
     files.ensure_database(spark, database)
-    return files.register_directory(spark, directory, database, types, splittable)
+    return files.register_directory(spark, directory, database, types)
 
 
 def silver(tables: ShopTables, path: str) -> DataFrame:

@@ -3,30 +3,43 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of the CSV at ``path`` contains a line break.
+
+    Such a field leaves an odd number of quotes on the line it starts on. Lines are read in
+    parallel, and the first one found ends the search.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     types: Mapping[str, str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """CSV with a header line and doubled quotes inside quoted fields.
+    """CSV with a header line and doubled quotes inside quoted fields, which may span lines.
 
     ``types`` gives column types by name; other columns are strings, and a value that does not fit
     stops the read instead of silently turning null (``mode``). Without ``types`` Spark infers
     them, at the cost of one more pass over the data.
 
-    A quoted field may span lines, which forces one task per file. For large files without such
-    fields pass ``multi_line=False``: the files are then split, and a field that does span lines
-    stops a typed read, because its first line lacks columns.
+    Fields that span lines force one task per file, so unless ``multi_line`` says what to expect,
+    the lines are checked first and files without such fields are split. Should they occur
+    against ``multi_line=False``, a typed read stops, because the broken line lacks columns.
     """
+    if multi_line is None:
+        multi_line = spans_lines(spark, path)
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
     if types is None:
         return reader.option("inferSchema", True).csv(path)
@@ -64,18 +77,13 @@ def register_directory(
     directory: str,
     database: str,
     types: Mapping[str, str] | None = None,
-    splittable: Collection[str] = (),
     fmt: str = "parquet",
 ) -> list[str]:
-    """Store every CSV of ``directory`` as table ``database.<file stem>``, replacing older ones.
-
-    ``splittable`` names the tables whose fields never span lines.
-    """
+    """Store every CSV of ``directory`` as table ``database.<file stem>``, replacing older ones."""
     names = []
     for stem, path in csv_tables(spark, directory).items():
-        rows = read_csv(spark, path, types, multi_line=stem not in splittable)
         names.append(f"{database}.{stem}")
-        save_as_table(rows, names[-1], fmt)
+        save_as_table(read_csv(spark, path, types), names[-1], fmt)
     return names
 
 

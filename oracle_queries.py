@@ -349,9 +349,10 @@ def _queries() -> dict[str, str]:
                    CASE WHEN chance > 0.5 THEN '🔴 HIGH RISK' ELSE '🟢 LOW RISK' END AS risk_status
             FROM (SELECT *, 1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)""",
         "churn_report": f"""
-            SELECT customer_unique_id, {", ".join(f"round({name}, 6) AS {name}" if name == "avg_satisfaction" else name for name in FEATURES)}, '🔴 HIGH RISK' AS risk_status,
+            SELECT customer_unique_id, {", ".join(FEATURES)}, '🔴 HIGH RISK' AS risk_status,
                    round(chance, 9) AS churn_probability
-            FROM (SELECT *, 1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)
+            FROM (SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction),
+                         1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)
             WHERE chance > 0.5""",
         "leaderboard": _rule_board(),
         "best_run": f"""

@@ -12,7 +12,7 @@ def test_csv_to_report(spark, tmp_path):
     for name in ("customers", "orders", "payments", "items", "reviews"):
         table = getattr(given, name).drop("order_purchase_day")
         table.coalesce(1).write.options(header=True, quote='"', escape='"').csv(str(tmp_path / "csv" / f"{name}.csv"))
-    jobs.bronze(spark, str(tmp_path / "csv"), "shop", splittable={"orders", "payments", "items"})
+    jobs.bronze(spark, str(tmp_path / "csv"), "shop")
     tables = open_database(spark, "shop")
     assert dict(tables.payments.dtypes)["payment_value"] == "decimal(12,2)"
 
