@@ -107,6 +107,22 @@ def _hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts of Spark's own split together: everyone, once."""
+    first, second = balance.random_split(_feature_table(spark, sf_dir), 0.7)
+    return first.select(customers.PERSON).unionByName(second.select(customers.PERSON))
+
+
+def _stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as a managed table, read back."""
+    report = scoring.churn_report(_scored_by_rule(_feature_table(spark, sf_dir)))
+    folder = working_folder(spark, "mart")
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    files.ensure_database(spark, database, folder)
+    files.save_as_table(report, f"{database}.churn_daily_report")
+    return spark.table(f"{database}.churn_daily_report").drop("probability")
+
+
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _feature_table(spark, sf_dir)
     return balance.with_class_weight(gold, balance.fitted_class_weights(gold))
@@ -225,11 +241,11 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _register_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source tables as CSV, registered as tables and counted there."""
-    folder, database = working_folder(spark, "bronze"), "bronze_check"
+    folder = working_folder(spark, "bronze")
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
     tables = shop_tables(spark, sf_dir)
     for name in ("customers", "orders", "payments", "items", "reviews"):
         getattr(tables, name).write.options(header=True, quote='"', escape='"').csv(f"{folder}/csv/{name}.csv")
-    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
     files.ensure_database(spark, database, f"{folder}/tables")
     names = files.register_directory(spark, f"{folder}/csv", database, schemas.COLUMN_TYPES)
     counted = None
@@ -286,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "class_weights": lambda spark, sf_dir: balance.class_weights(_feature_table(spark, sf_dir)),
         "weighted_gold": lambda spark, sf_dir: _rounded(_weighted(spark, sf_dir)),
         "hash_split": _hash_split,
+        "random_split": _random_split,
         "auc_roc": on_features(lambda gold: evaluate.auc_roc(_graded(gold, "rule_mixed")), auc_roc=9),
         "classification_metrics": on_features(
             lambda gold: evaluate.classification_metrics(_graded(gold, "rule_mixed"))
@@ -296,6 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "churn_report": on_features(
             lambda gold: scoring.churn_report(_scored_by_rule(gold)).drop("probability"), churn_probability=9
         ),
+        "stored_report": lambda spark, sf_dir: _rounded(_stored_report(spark, sf_dir), churn_probability=9),
         "leaderboard": lambda spark, sf_dir: _rounded(
             registry.leaderboard(_rule_runs(spark, sf_dir), registry.QUALITY_METRICS)
         ),

@@ -268,6 +268,15 @@ def _rule_board() -> str:
     )
 
 
+def _report() -> str:
+    return f"""
+        SELECT customer_unique_id, {", ".join(FEATURES)}, '🔴 HIGH RISK' AS risk_status,
+               round(chance, 9) AS churn_probability
+        FROM (SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction),
+                     1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)
+        WHERE chance > 0.5"""
+
+
 def _queries() -> dict[str, str]:
     gold = "SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction) FROM gold"
     return {
@@ -348,12 +357,9 @@ def _queries() -> dict[str, str]:
             SELECT customer_unique_id, CAST(CASE WHEN chance > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
                    CASE WHEN chance > 0.5 THEN '🔴 HIGH RISK' ELSE '🟢 LOW RISK' END AS risk_status
             FROM (SELECT *, 1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)""",
-        "churn_report": f"""
-            SELECT customer_unique_id, {", ".join(FEATURES)}, '🔴 HIGH RISK' AS risk_status,
-                   round(chance, 9) AS churn_probability
-            FROM (SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction),
-                         1 / (1 + exp(-({RULES['rule_mixed'][0]}) / CAST(100 AS DOUBLE))) AS chance FROM gold)
-            WHERE chance > 0.5""",
+        "churn_report": _report(),
+        "stored_report": _report(),
+        "random_split": "SELECT customer_unique_id FROM gold",
         "leaderboard": _rule_board(),
         "best_run": f"""
             SELECT run_id, run_name, auc_roc FROM ({_rule_board()}) ORDER BY auc_roc DESC, run_id LIMIT 1""",
