@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -261,7 +263,23 @@ def _register_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted
 
 
+def _there(module: str) -> bool:
+    """Whether a module is part of this copy; errors inside it are not hidden."""
+    found = importlib.util.find_spec(module)
+    return found is not None and found.origin is not None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All registered queries: the library's own, and those on training data if that package is there."""
+    found = core_queries()
+    if _there("ebbtide.llm"):
+        found |= importlib.import_module("ebbtide.llm.queries").QUERIES
+        if _there("corpus_pipeline"):
+            found["pipeline"] = importlib.import_module("corpus_pipeline").run
+    return found
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_study(operator: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             master, bounds = _study(shop_tables(spark, sf_dir))
@@ -332,4 +350,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    found = oracle_queries.oracle_sql()
+    if _there("ebbtide.llm"):
+        found |= importlib.import_module("ebbtide.llm.queries").SQL
+        if _there("corpus_pipeline") and (sql := importlib.import_module("corpus_pipeline").ORACLE_SQL):
+            found["pipeline"] = sql
+    return found

@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as registered
 from tests.conftest import DATA
 
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+QUERIES = registered.core_queries()
+SQL = {name: sql for name, sql in registered.oracle_sql().items() if name in QUERIES}
 LONG_RUNNING = {"train_rf", "train_gbt", "train_lr", "tune_gbt", "tune_rf", "tune_lr"}
 
 
