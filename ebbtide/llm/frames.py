@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import shutil
+import tempfile
+from collections.abc import Callable, Iterable
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +30,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@lru_cache(maxsize=8)
+def _ship(application: str) -> None:
+    package = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+    SparkSession.getActiveSession().sparkContext.addPyFile(archive)
+
+
+def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, after Spark has been given this package for its Python workers."""
+    _ship(df.sparkSession.sparkContext.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def fresh(taken: Iterable[str], wanted: str) -> str:
     """``wanted``, or with underscores in front until no column has that name."""
     names = {name.lower() for name in taken}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm import tokens
-from ebbtide.llm.frames import named, stored
+from ebbtide.llm.frames import mapped, named, stored
 
 #: Rows numbered by one task within a length; a length that a third of all pieces have is split into many.
 NUMBERED = 50_000
@@ -216,7 +216,7 @@ def pieces(
     rows = docs.select(*[named(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)], named(docs, text).alias("text"))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema[:-1])
     schema = f"{kept}{', ' * bool(kept)}piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return rows.mapInArrow(_piecewise(tokenizer, capacity, end_id, with_ids), schema)
+    return mapped(rows, _piecewise(tokenizer, capacity, end_id, with_ids), schema)
 
 
 def _placer(rows: list[tuple[int, int, int, int, int, int]]):
@@ -256,7 +256,7 @@ def pack(found: DataFrame, capacity: int, numbered: int = NUMBERED) -> DataFrame
     ranked = salted.withColumn("rank", F.row_number().over(within) - 1).join(base, ["length", "salt"])
     ranked = ranked.select(*found.columns, (F.col("base") + F.col("rank")).alias("number"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    return ranked.mapInArrow(_placer(layout.rows), f"{schema}, sequence_id long, offset long")
+    return mapped(ranked, _placer(layout.rows), f"{schema}, sequence_id long, offset long")
 
 
 def pack_texts(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import packing, secret_scan, sharding, token_cache
+from ebbtide.llm import decontaminate, jaccard, packing, secret_scan, sharding, token_cache
 from ebbtide.llm.frames import table
 from ebbtide.session import working_folder
 
@@ -63,11 +63,25 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a test item, with the item, the alignment's score and its words."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find(docs, "text", ["doc_id"], benchmark)
+    return found.select(F.col("keep_0").alias("doc_id"), "item_id", "score", "first_word", "end_word")
+
+
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op5_sharding": op5_sharding,
     "op6_secret_scan": op6_secret_scan,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 SQL: dict[str, str] = {}

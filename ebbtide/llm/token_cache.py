@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import tokens
-from ebbtide.llm.frames import named
+from ebbtide.llm.frames import mapped, named
 
 CACHE = "digest binary, n_tokens long, tokenizer string"
 
@@ -55,7 +55,7 @@ def count_tokens(docs: DataFrame, text: str, tokenizer: str, cache: str, keep: l
     texts = docs.select(digest.alias("digest"), content.alias("content"))
     # One shuffle of the texts, after copies within a task are combined; the cache comes to them by digest.
     misses = texts.dropDuplicates(["digest"]).join(cached(spark, cache, version), "digest", "left_anti")
-    counted = misses.mapInArrow(_counter(tokenizer), "digest binary, n_tokens long")
+    counted = mapped(misses, _counter(tokenizer), "digest binary, n_tokens long")
     counted.withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache)
     rows = docs.select(
         *[named(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)],
