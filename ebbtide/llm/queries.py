@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, jaccard, packing, secret_scan, sharding, token_cache
+from ebbtide.llm import decontaminate, jaccard, neighbours, packing, secret_scan, sharding, token_cache, warc
 from ebbtide.llm.frames import table
 from ebbtide.session import working_folder
 
@@ -18,6 +18,12 @@ END = 2
 SHARDS = 24
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = neighbours.search(vectors, "vec_id", "embedding", lambda key: key % 20 == 0, k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_texts(docs, "text", ["doc_id"], public_tokenizers.path(TOKENIZER), SEQUENCE, END)
@@ -30,6 +36,19 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as archives and read back from them."""
+    folder = working_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder, "page_id", "url", "html")
+    return warc.read(spark, folder, with_payload=False).select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records are ordered by the digest of their text, so that equal texts lie side by side."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,8 +95,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
+    "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
     "op6_secret_scan": op6_secret_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
