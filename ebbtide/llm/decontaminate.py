@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import hashing
-from ebbtide.llm.frames import fresh, mapped, named, stored
+from ebbtide.llm.frames import fresh, mapped, named, sized, stored
 
 SEED_WORDS = 4
 #: A seed in more than this share of all documents is not rare, unless it is in the rarer half of its item's.
@@ -273,5 +273,5 @@ def clean(docs: DataFrame, id_: str, text: str, benchmark: DataFrame, **options)
     digest = fresh(docs.columns, "_digest")
     keyed = docs.withColumn(digest, F.xxhash64(F.coalesce(named(docs, text), F.lit(""))))
     found = find(keyed, text, [digest], benchmark, **options)
-    gone = found.select(F.col("keep_0").alias(digest)).distinct()
-    return keyed.join(gone, digest, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = stored(found.select(F.col("keep_0").alias(digest)).distinct(), "found-digests")
+    return keyed.join(sized(gone), digest, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,3 +68,12 @@ def place_among(bounds: Column, key: Column, count: int) -> Column:
         return F.when(fits, there).otherwise(place)
 
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
+#: Keys up to this number may be broadcast (some 8 to 16 bytes each).
+BROADCAST_KEYS = 1_000_000
+
+
+def sized(keys: DataFrame) -> DataFrame:
+    """``keys`` (a stored table of a few numbers per row), marked for a broadcast if it is small; otherwise the join shuffles."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import hashing
-from ebbtide.llm.frames import fresh, mapped, named, stored
+from ebbtide.llm.frames import fresh, mapped, named, sized, stored
 
 WORDS = 5
 PERCENT = 75
@@ -41,8 +41,6 @@ PERCENT = 75
 CELL_BITS, FREQUENT, KEPT = 32, 24, 200_000
 #: Shingles that a task gathers before it sends their cells on.
 GATHERED = 4_000_000
-#: Up to so many sets to compare, their ids are broadcast (8 bytes each); beyond, texts are shuffled.
-BROADCAST_IDS = 1_000_000
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -344,8 +342,7 @@ def links(docs: DataFrame, text: str, described: DataFrame, width: int = WORDS,
     )
     one_text = described.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("digest").alias("digest"))
     active = stored(one_text.join(regions.select("cid").distinct(), "cid", "left_semi").select("digest"), "active")
-    wanted = F.broadcast(active) if active.count() <= BROADCAST_IDS else active
-    read = texts.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).join(wanted, "digest", "left_semi")
+    read = texts.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).join(sized(active), "digest", "left_semi")
     blobs = stored(
         mapped(read.dropDuplicates(["digest"]).select("text"), _blobs(width), "cid long, set binary"), "sets"
     )
@@ -422,7 +419,7 @@ def distinct_documents(docs: DataFrame, id_: str, text: str, width: int = WORDS,
 
     def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         keys = keys.select(F.col("id").alias("_k_id"), F.col("digest").alias("_k_digest"))
-        keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+        keys = sized(keys)
         return rows.join(keys, rows[id_name].eqNullSafe(keys["_k_id"]) & (rows[digest] == keys["_k_digest"]), how)
 
     gone = judged.where("goes").select("id", "digest")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, jaccard, neighbours, packing, secret_scan, sharding, token_cache, warc
+from ebbtide.llm import decontaminate, jaccard, neighbours, packing, quality, secret_scan, sharding, token_cache, warc
 from ebbtide.llm.frames import table
 from ebbtide.session import working_folder
 
@@ -82,6 +82,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the sources; a source's documents of one language are a path."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(
+        docs, "doc_id", "text", docs["source"], docs["lang"], {"doc_id": docs["doc_id"]}, labels, "doc_id", "quality"
+    )
+    return scored.withColumn("keep", F.col("quality") >= quality.KEEP)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a test item, with the item, the alignment's score and its words."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -101,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
     "op6_secret_scan": op6_secret_scan,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
