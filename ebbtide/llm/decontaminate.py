@@ -268,7 +268,7 @@ def find(
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def clean(docs: DataFrame, id_: str, text: str, benchmark: DataFrame, **options) -> DataFrame:
+def clean(docs: DataFrame, text: str, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose text holds a test item; all columns stay."""
     digest = fresh(docs.columns, "_digest")
     keyed = docs.withColumn(digest, F.xxhash64(F.coalesce(named(docs, text), F.lit(""))))

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, jaccard, neighbours, packing, quality, secret_scan, sharding, token_cache, warc
+from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, quality, secret_scan, sharding, token_cache, warc
 from ebbtide.llm.frames import table
+from ebbtide.llm.sql import SQL  # noqa: F401
 from ebbtide.session import working_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -91,6 +92,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("keep", F.col("quality") >= quality.KEEP)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a directory per source, one in it per language."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("/"), "source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"))
+    return licenses.scan(docs, path, "text", ["doc_id"]).withColumn("cosine", F.round("cosine", 6))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a test item, with the item, the alignment's score and its words."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -111,8 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
-
-SQL: dict[str, str] = {}
