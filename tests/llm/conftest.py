@@ -1,0 +1,15 @@
+import pytest
+
+from tests.llm import cases
+
+
+@pytest.fixture(scope="session")
+def messy(spark):
+    df = cases.messy(spark).cache()
+    df.count()
+    return df
+
+
+@pytest.fixture(scope="session")
+def empty(messy):
+    return messy.where("false")

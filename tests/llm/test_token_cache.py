@@ -1,0 +1,54 @@
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.llm import queries, token_cache, tokens
+from tests.conftest import DATA
+from tests.llm.cases import TEXTS
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _expected(texts):
+    encoder = tokens.encoder(PATH)
+    return sorted(((k, len((t or "").encode()), len(encoder.slow(t or ""))) for k, t in texts), key=repr)
+
+
+def test_awkward_rows_and_the_cache(spark, messy, tmp_path):
+    cache = str(tmp_path / "cache")
+
+    def run():
+        counted = token_cache.count_tokens(messy, "text", PATH, cache, ["doc_id", "digest"])
+        assert counted.columns == ["doc_id", "digest", "n_bytes", "n_tokens"]
+        return sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in counted.collect()), key=repr)
+
+    assert run() == _expected(TEXTS)
+    stored = spark.read.parquet(cache).count()
+    assert stored == len({t or "" for _, t in TEXTS})
+    # Poisoned counts come back: the second run encodes nothing, and appends nothing.
+    assert run() == _expected(TEXTS)
+    assert spark.read.parquet(cache).count() == stored
+    poisoned = str(tmp_path / "poisoned")
+    spark.read.parquet(cache).withColumn("n_tokens", F.lit(-5)).write.partitionBy("tokenizer").parquet(poisoned)
+    found = token_cache.count_tokens(messy, "text", PATH, poisoned, ["doc_id"])
+    assert {r.n_tokens for r in found.collect()} == {-5}
+
+
+def test_other_versions_are_not_mixed(messy, tmp_path):
+    cache = str(tmp_path / "cache")
+    one = token_cache.count_tokens(messy, "text", PATH, cache, ["doc_id"]).agg(F.sum("n_tokens")).first()
+    other = token_cache.count_tokens(messy, "text", public_tokenizers.path("piece_bpe_32k.model"), cache, ["doc_id"])
+    assert other.agg(F.sum("n_tokens")).first() != one
+    again = token_cache.count_tokens(messy, "text", PATH, cache, ["doc_id"]).agg(F.sum("n_tokens")).first()
+    assert again == one
+
+
+def test_empty(empty, tmp_path):
+    assert token_cache.count_tokens(empty, "text", PATH, str(tmp_path / "c"), ["doc_id"]).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op3_token_counts"])
+def test_query(spark, name):
+    mine = sorted((r.doc_id, r.n_bytes, r.n_tokens) for r in queries.QUERIES[name](spark, DATA).collect())
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    assert mine == sorted(_expected(texts))

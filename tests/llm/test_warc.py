@@ -1,0 +1,107 @@
+import base64
+import gzip
+import hashlib
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.llm import queries, warc
+from tests.conftest import DATA
+from tests.llm.cases import rows
+
+
+def _expected(pages):
+    """(key, bytes, digest, type, refers_to), by plain loops."""
+    groups = {}
+    for key, html in pages:
+        groups.setdefault((html or "").encode(), []).append(key)
+    out = []
+    for payload, keys in groups.items():
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        known = [k for k in keys if k is not None]
+        largest = max(known) if known else None
+        keys = list(keys)
+        keys.remove(largest)
+        out.append((largest, len(payload), digest, "response", None))
+        out += [(k, len(payload), digest, "revisit", largest) for k in keys]
+    return sorted(out, key=repr)
+
+
+PAGES = [
+    (1, "http://a/1", "<p>one</p>"), (2, "http://a/2", "<p>one</p>"), (2, "http://a/2", "<p>one</p>"), (3, None, None), (4, "http://b/\r\nX: y", ""),
+    (None, "http://c", "<p>null key</p>"), (None, "http://c", "<p>null key</p>"), (None, "http://c", "<p>one</p>"), (5, "http://d", "x" * 300_000),
+    (6, "http://e", "\r\n\r\nContent-Length: 7\r\n\r\nHTTP/1.1 é日本\x00"), (-7, "http://f", "<p>one</p>"),
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    clash = ("key", "digest", "size", "uri", "payload", "shard", "kind", "winner")
+    return df.withColumns({c: F.lit("x") for c in clash}).repartition(3).cache()
+
+
+def _read(spark, folder):
+    return warc.read(spark, folder).withColumn("key", F.col("key").cast("long")).withColumn("refers_to", F.col("refers_to").cast("long"))
+
+
+def test_awkward_rows(spark, pages, tmp_path):
+    folder = f"file://{tmp_path}/w"
+    manifest = warc.write(pages, folder, "page_id", "url", "html", roll=2000, shard_bytes=100_000)
+    found = _read(spark, folder)
+    assert rows(found, "key", "payload_bytes", "payload_digest", "record_type", "refers_to") == _expected([(k, h) for k, _, h in PAGES])
+    responses = {r.payload_digest: bytes(r.payload) for r in found.collect() if r.record_type == "response"}
+    assert set(responses.values()) == {(h or "").encode() for _, _, h in PAGES}
+    assert manifest.agg(F.sum("records")).first()[0] == len(PAGES)
+    # Each file is what the manifest says, and any gzip reader takes it.
+    for r in manifest.collect():
+        data = open(f"{tmp_path}/w/{r['name']}", "rb").read()
+        assert (len(data), hashlib.sha256(data).hexdigest()) == (r["bytes"], r["sha256"])
+        assert gzip.decompress(data).count(b"WARC/1.1\r\n") == r["records"]
+    assert os.listdir(f"{tmp_path}/w/_temporary") == []
+
+
+def test_same_rows_same_bytes(spark, pages, tmp_path):
+    def files(name, df):
+        found = warc.write(df, f"{tmp_path}/{name}", "page_id", "url", "html", roll=2000, shard_bytes=1000).collect()
+        return sorted((r["name"], r["sha256"], r["records"]) for r in found)
+
+    first = files("a", pages)
+    assert first == files("b", pages.repartition(9)) and len(first) > 2
+
+
+def test_leftovers_are_not_read_and_commit_may_be_repeated(spark, pages, tmp_path):
+    folder = f"{tmp_path}/w"
+    manifest = warc.write(pages, folder, "page_id", "url", "html")
+    before = rows(_read(spark, folder), "key", "payload_digest", "record_type")
+    for name in ("_temporary/0123-00000-00000", "shard-99999-00000.warc.gz"):
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(b"torn")
+    again = spark.createDataFrame(manifest.collect(), warc.MANIFEST)
+    warc.commit(again, folder)
+    assert rows(_read(spark, folder), "key", "payload_digest", "record_type") == before
+
+
+def test_small_payloads_may_all_be_responses(spark, pages, tmp_path):
+    warc.write(pages, f"{tmp_path}/w", "page_id", "url", "html", least=11)
+    kinds = {r.record_type for r in _read(spark, f"{tmp_path}/w").where("payload_bytes < 11").collect()}
+    assert kinds == {"response"}
+
+
+def test_broken_records_are_refused():
+    data = gzip.decompress(warc.record(1, "http://a", b"payload", warc.base32_sha1(b"payload"), 7, 0, None, warc.DATE))
+    assert warc.parsed(data)[2:5] == ("response", warc.base32_sha1(b"payload"), 7)
+    with pytest.raises(ValueError, match="broken"):
+        warc.parsed(data.replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n"))
+
+
+def test_empty(spark, pages, tmp_path):
+    assert warc.write(pages.where("false"), f"{tmp_path}/w", "page_id", "url", "html").collect() == []
+    assert warc.read(spark, f"{tmp_path}/w").collect() == []
+
+
+def test_query(spark):
+    texts = [(r.page_id, r.html) for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
+    found = queries.QUERIES["op4_warc"](spark, DATA)
+    assert rows(found, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == _expected(texts)
