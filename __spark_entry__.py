@@ -92,12 +92,13 @@ def _gold_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two snapshots a month apart, stored by snapshot and read back."""
+    """Four snapshots, stored by snapshot and read back: the usual one, one a month and one a year earlier, and one whose
+    response window is still open."""
     tables = shop_tables(spark, sf_dir)
     detailed = jobs.silver(tables, working_folder(spark, "silver"))
     newest = orders.study_bounds(detailed).split
-    earlier = datetime.fromisoformat(newest) - timedelta(days=30)
-    features = jobs.gold(tables, snapshots=[newest, earlier], detailed=detailed)
+    snapshots = [datetime.fromisoformat(newest) + timedelta(days=days) for days in (0, -30, -365, 60)]
+    features = jobs.gold(tables, snapshots=snapshots, detailed=detailed)
     stored = jobs.store_gold(features, working_folder(spark, "gold"))
     return stored.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
@@ -315,7 +316,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "value_share": on_features(lambda gold: explore.value_share(gold, customers.LABEL)),
         "correlation": on_features(explore.correlation),
         "histogram": on_features(lambda gold: explore.histogram(gold).drop("total", "spread")),
-        "density": on_features(explore.density, density=9),
+        "density": on_features(explore.density, density=7),
         "top_categories": on_features(explore.top_categories),
         "class_weights": lambda spark, sf_dir: balance.class_weights(_feature_table(spark, sf_dir)),
         "weighted_gold": lambda spark, sf_dir: _rounded(_weighted(spark, sf_dir)),

@@ -37,8 +37,7 @@ def earliest(value: str, *order: str, where: Column | None = None) -> Column:
     return F.min(F.when(known if where is None else known & where, F.struct(*order, value)))
 
 
-def hash_bucket(key: str | Column, buckets: int) -> Column:
-    """A stable bucket in ``[0, buckets)`` from the key's text, independent of partitioning."""
+def hash_number(key: str | Column) -> Column:
+    """A stable number in ``[0, 2^32)`` from the key's text, independent of partitioning."""
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.substring(F.md5(key.cast("string")), 1, 8)
-    return (F.conv(digest, 16, 10).cast("bigint") % F.lit(buckets)).cast("int")
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")

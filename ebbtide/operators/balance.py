@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import hash_bucket
+from ebbtide.functions.columns import hash_number
 from ebbtide.operators.customers import LABEL, PERSON
 
 WEIGHT = "weight"
@@ -54,7 +54,7 @@ def with_class_weight(df: DataFrame, weights: ClassWeights, label: str = LABEL)
     return df.withColumn(WEIGHT, chosen)
 
 
-def hash_split(df: DataFrame, share: float, key: str = PERSON, parts: int = 100) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, share: float, key: str = PERSON) -> tuple[DataFrame, DataFrame]:
     """Two disjoint parts, the first with about ``share`` of the keys.
 
     A row's part depends on its key alone, so it stays the same for every run, order and
@@ -62,7 +62,7 @@ def hash_split(df: DataFrame, share: float, key: str = PERSON, parts: int = 100)
     """
     if not 0 < share < 1:
         raise ValueError("share must lie between 0 and 1")
-    inside = F.coalesce(hash_bucket(key, parts), F.lit(0)) < round(share * parts)
+    inside = F.coalesce(hash_number(key), F.lit(0)) < F.lit(share * 2.0**32)
     return df.filter(inside), df.filter(~inside)
 
 

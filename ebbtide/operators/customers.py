@@ -8,13 +8,14 @@ Only people with a purchase up to the snapshot are rows; first-time buyers after
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import day_limit, earliest, moment
-from ebbtide.operators.orders import ORDER, PURCHASED
+from ebbtide.operators.orders import ORDER, PURCHASED, Window
 
 PERSON = "customer_unique_id"
 LABEL = "churn"
@@ -70,8 +71,8 @@ def label_churn(features: DataFrame, active: DataFrame) -> DataFrame:
     return features.alias("features").select("*", F.when(came_back, 0).otherwise(1).alias(LABEL))
 
 
-def _per_person(rows: DataFrame, snapshot: str | datetime, seen: Column) -> DataFrame:
-    """Features over the rows where ``seen`` holds, and whether any other row exists.
+def _per_person(rows: DataFrame, snapshot: Column, seen: Column, *keys: str) -> DataFrame:
+    """Features over the rows where ``seen`` holds, and whether any other row exists; per ``keys`` if there are any.
 
     Two aggregations: (person, order), so that each order counts once, then person. Rows joined
     on the order id are already clustered for the first one, so it adds no exchange. The second
@@ -81,7 +82,7 @@ def _per_person(rows: DataFrame, snapshot: str | datetime, seen: Column) -> Data
     def observed(name: str) -> Column:
         return F.when(seen, F.col(name))
 
-    per_order = rows.groupBy(PERSON, ORDER).agg(
+    per_order = rows.groupBy(*keys, PERSON, ORDER).agg(
         F.max(observed(PURCHASED)).alias("last_purchase"),
         F.max(F.when(seen, 0).otherwise(1)).alias("came_back"),
         F.sum(observed("total_order_payment")).alias("payment"),
@@ -94,8 +95,8 @@ def _per_person(rows: DataFrame, snapshot: str | datetime, seen: Column) -> Data
         F.sum(observed("Total_Review_Number")).alias("reviews"),
         *(earliest(source, PURCHASED, ORDER, where=seen).alias(name) for name, source in ATTRIBUTES.items()),
     )
-    people = per_order.groupBy(PERSON).agg(
-        F.datediff(moment(rows, PURCHASED, snapshot), F.max("last_purchase")).alias("recency"),
+    people = per_order.groupBy(*keys, PERSON).agg(
+        F.datediff(snapshot, F.max("last_purchase")).alias("recency"),
         F.count("last_purchase").alias("frequency"),
         F.sum("payment").cast("double").alias("monetary"),
         F.sum("items").alias("total_items_volume"),
@@ -108,12 +109,13 @@ def _per_person(rows: DataFrame, snapshot: str | datetime, seen: Column) -> Data
         F.max("came_back").alias("came_back"),
         *(F.min(name)[source].alias(name) for name, source in ATTRIBUTES.items()),
     )
-    return people.filter(F.col("frequency") > 0).select(PERSON, *FEATURES, *ATTRIBUTES, "came_back")
+    return people.filter(F.col("frequency") > 0).select(*keys, PERSON, *FEATURES, *ATTRIBUTES, "came_back")
 
 
 def rfm_features(master: DataFrame, snapshot: str | datetime) -> DataFrame:
     """Recency, frequency, monetary value and the other features of each person; nulls kept."""
-    return _per_person(observation(master, snapshot), snapshot, F.lit(True)).drop("came_back")
+    at = moment(master, PURCHASED, snapshot)
+    return _per_person(observation(master, snapshot), at, F.lit(True)).drop("came_back")
 
 
 def churn_gold(master: DataFrame, snapshot: str | datetime, churn_days: int = 90) -> DataFrame:
@@ -126,5 +128,42 @@ def churn_gold(master: DataFrame, snapshot: str | datetime, churn_days: int = 90
     seen = purchased <= moment(master, PURCHASED, snapshot)
     rows = master.filter(seen | (purchased <= day_limit(master, PURCHASED, snapshot, churn_days)))
     stayed = (F.col("came_back") == 1) & F.col(PERSON).isNotNull()
-    people = _per_person(rows, snapshot, seen).withColumn(LABEL, F.when(stayed, 0).otherwise(1))
+    people = _per_person(rows, moment(master, PURCHASED, snapshot), seen).withColumn(LABEL, F.when(stayed, 0).otherwise(1))
     return people.drop("came_back").na.fill(0, FEATURES)
+
+
+def churn_gold_at(master: DataFrame, windows: Sequence[Window], newest: str | datetime, churn_days: int = 90) -> DataFrame:
+    """Features and label of several snapshots, each over its own window, in one pass over the orders.
+
+    Every order is repeated for the snapshots whose window holds it, and the aggregations are per snapshot. Where the response
+    window ends after the ``newest`` order its outcome is not known yet, and the label is null.
+    """
+
+    def at(value: object) -> Column:
+        return moment(master, PURCHASED, value)
+
+    purchased = F.col(PURCHASED)
+    held = F.array(
+        *(
+            F.struct(
+                at(start).alias("start"),
+                at(snapshot).alias("snapshot_at"),
+                at(end).alias("end"),
+                day_limit(master, PURCHASED, snapshot, churn_days).alias("last"),
+            )
+            for start, snapshot, end in windows
+        )
+    )
+    inside = F.filter(
+        held,
+        lambda w: (purchased >= w["start"])
+        & (purchased < w["end"])
+        & ((purchased <= w["snapshot_at"]) | (purchased <= w["last"])),
+    )
+    rows = master.select("*", F.inline(F.transform(inside, lambda w: F.struct(w["snapshot_at"], w["last"]))))
+    people = _per_person(rows, F.col("snapshot_at"), purchased <= F.col("snapshot_at"), "snapshot_at", "last")
+    stayed = (F.col("came_back") == 1) & F.col(PERSON).isNotNull()
+    known = F.col("last") <= at(newest)
+    labelled = people.withColumn(LABEL, F.when(known, F.when(stayed, 0).otherwise(1)))
+    dated = labelled.withColumn("snapshot_date", F.col("snapshot_at").cast("date"))
+    return dated.drop("came_back", "snapshot_at", "last").na.fill(0, FEATURES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from typing import NamedTuple
 
@@ -53,7 +54,7 @@ def auc_roc(
     )
     shares = [i / ranges for i in range(1, ranges)]
     found = by_score.approxQuantile("score", shares, 0.5 / ranges) if shares else []
-    cuts = sorted(set(found)) or [0.0]
+    cuts = sorted({cut for cut in found if math.isfinite(cut)}) or [0.0]
     ranged = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
     ).transform(by_score)

@@ -168,31 +168,37 @@ def histogram(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS),
     )
 
 
-def density(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS), bins: int = 20) -> DataFrame:
-    """Gaussian kernel density at the bin midpoints, with the bins' counts as weights.
+#: The density's points lie half a bandwidth apart; a value adds to those within so many bandwidths.
+REACH = 6
 
-    The bandwidth is ``stddev * n^(-1/5)``. The sum at a point runs over that column's ``bins``
-    counts, held in one array, so its cost does not depend on the number of rows.
-    """
-    mid = (F.col("lower") + F.col("upper")) / 2
-    per_column = (
-        histogram(df, columns, bins)
-        .groupBy("column_name", "total", "spread")
-        .agg(F.sort_array(F.collect_list(F.struct("bin", mid.alias("mid"), "rows"))).alias("bins"))
-        .withColumn("bandwidth", F.col("spread") * F.pow(F.col("total"), F.lit(-0.2)))
-        .withColumn("point", F.explode("bins"))
-    )
-    bandwidth = F.nullif(F.col("bandwidth"), F.lit(0.0))
 
-    def add(total: Column, one: Column) -> Column:
-        return total + one["rows"] * F.exp(-0.5 * F.pow((F.col("point.mid") - one["mid"]) / bandwidth, F.lit(2)))
+def density(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS)) -> DataFrame:
+    """Gaussian kernel density over all values of each column, wherever it is not practically zero.
 
-    scale = F.col("total") * bandwidth * F.sqrt(2 * F.pi())
-    return per_column.select(
+    The bandwidth is ``stddev * n^(-1/5)``. Points are the multiples of half of it (``step``), so that their
+    densities times the step add up to 1 whatever the number of rows, and outliers cost no empty points.
+    Equal values are counted together first; each then adds to the 25 points around it, and points are summed
+    map-side. A column with one distinct value, or none, has no density and no rows.
+    """
+    ranges = _ranges(df, columns, 1)
+    bandwidth = F.col("spread") * F.pow(F.col("total"), F.lit(-0.2))
+    steps = ranges.filter(bandwidth > 0).select("column_name", "total", (bandwidth / 2).alias("step"))
+    values = _long(df, columns, "double").groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+    nearest = F.col("value") / F.col("step")
+    around = F.sequence(F.ceil(nearest - 2 * REACH), F.floor(nearest + 2 * REACH))
+    kernel = F.exp(-0.5 * F.pow((F.col("point") - nearest) / 2, F.lit(2)))
+    points = (
+        values.join(F.broadcast(steps), "column_name")  # one row per column, whatever the table's size
+        .withColumn("point", F.explode(around))
+        .groupBy("column_name", "step", "total", "point")
+        .agg(F.sum(F.col("rows") * kernel).alias("mass"))
+    )
+    return points.select(
         "column_name",
-        "point.bin",
-        F.col("point.mid").alias("midpoint"),
-        (F.aggregate("bins", F.lit(0.0), add) / scale).alias("density"),
+        "point",
+        (F.col("point") * F.col("step")).alias("x"),
+        "step",
+        (F.col("mass") / (F.col("total") * 2 * F.col("step") * F.sqrt(2 * F.pi()))).alias("density"),
     )
 
 

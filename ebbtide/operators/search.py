@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import time
 from collections.abc import Mapping, Sequence
@@ -97,8 +98,8 @@ def draws(space: Space, count: int, seed: int = 42) -> list[dict[str, object]]:
 
 
 def best_trial(trials: Sequence[Trial]) -> Trial:
-    """The trial with the highest value; the first one on a tie."""
-    finished = [trial for trial in trials if trial.value is not None]
+    """The trial with the highest value; the first one on a tie. A trial without a number for a value has failed."""
+    finished = [trial for trial in trials if trial.value is not None and not math.isnan(trial.value)]
     if not finished:
         reasons = "; ".join(sorted({trial.error or "no value" for trial in trials}))
         raise RuntimeError(f"no successful trial: {reasons}")
@@ -138,7 +139,7 @@ def tune(
     slim = [LABEL, balance.WEIGHT, "features"]
     train_rows = vectors.transform(weighted(train_part)).select(*slim)
     check_rows = vectors.transform(check_part).select(LABEL, "features")
-    measure = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName=metric)
+    measure = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName=metric, numBins=0)
 
     def attempt(params: dict[str, object]) -> Trial:
         started = time.perf_counter()

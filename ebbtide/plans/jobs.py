@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -91,15 +90,21 @@ def gold(
 ) -> DataFrame:
     """The feature table with its label, one row per person and snapshot.
 
-    Without ``snapshots`` there is one, ``churn_days`` before the newest order. For several, pass
-    the ``detailed`` orders of ``silver``, so that the details are not aggregated per snapshot.
+    Without ``snapshots`` there is one, ``churn_days`` before the newest order. Each given snapshot has its own
+    history and response window; all of them are one pass. A label is null while its response window is open.
     """
-    master, bounds = study(tables, churn_days, history_days, stored, detailed)
-    parts = [
-        customers.churn_gold(master, moment, churn_days).withColumn("snapshot_date", F.lit(str(moment)).cast("date"))
-        for moment in snapshots or [bounds.split]
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    if snapshots is None:
+        master, bounds = study(tables, churn_days, history_days, stored, detailed)
+        features = customers.churn_gold(master, bounds.split, churn_days)
+        return features.withColumn("snapshot_date", F.lit(bounds.split).cast("date"))
+    windows = orders.snapshot_windows(snapshots, churn_days, history_days)
+    if not windows:
+        raise ValueError("there is no snapshot")
+    placed = orders.clean_orders(tables.orders) if detailed is None else detailed
+    newest = orders.study_bounds(placed, churn_days, history_days).end
+    placed = orders.study_periods(placed, windows, stored if detailed is None else SILVER_PERIOD)
+    master = order_master(tables, placed) if detailed is None else orders.order_master(tables.customers, placed)
+    return customers.churn_gold_at(master, windows, newest, churn_days)
 
 
 def store_gold(features: DataFrame, path: str) -> DataFrame:

@@ -36,11 +36,17 @@ def read_csv(
 
     Fields that span lines force one task per file, so unless ``multi_line`` says what to expect,
     the lines are checked first and files without such fields are split. Should they occur
-    against ``multi_line=False``, a typed read stops, because the broken line lacks columns.
+    against ``multi_line=False``, a typed read stops, because the broken line lacks columns; for
+    that, all columns are parsed whatever is selected.
+
+    A folder's parts must have the same header; a part with other columns, or in another order, stops the read.
     """
+    forced = multi_line is False
     if multi_line is None:
         multi_line = spans_lines(spark, path)
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, enforceSchema=False)
+    if forced:
+        reader = reader.option("columnPruning", False)
     if types is None:
         return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path).columns
@@ -64,7 +70,13 @@ def csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
         .distinct()
     )
     entries = sorted(row["entry"] for row in listed.toLocalIterator())
-    return {entry.split(".")[0]: f"{root}/{entry}" for entry in entries}
+    found: dict[str, str] = {}
+    for entry in entries:
+        stem = entry.split(".")[0]
+        if stem in found:
+            raise ValueError(f"{found[stem]} and {root}/{entry} would both be table {stem}")
+        found[stem] = f"{root}/{entry}"
+    return found
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -124,7 +136,18 @@ def save_as_table(
     partition_by: Sequence[str] = (),
     by_partition: bool = False,
 ) -> None:
-    """Store ``df`` as the managed table ``name``, in the same way."""
+    """Store ``df`` as the managed table ``name``, in the same way.
+
+    Replacing partitions of a table that exists goes to its folder, because an overwrite by name replaces
+    the whole table; the catalogue is told of new partitions afterwards.
+    """
+    spark = df.sparkSession
+    if by_partition and mode == "overwrite" and spark.catalog.tableExists(name):
+        described = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()
+        write_table(df, described["data_type"], fmt, mode, partition_by, by_partition=True)
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+        return
     _writer(df, fmt, mode, partition_by, by_partition).saveAsTable(name)
 
 

@@ -133,15 +133,26 @@ def _with_views(select: str) -> str:
 
 
 def _snapshots(gold: str, *days_before_end: int) -> str:
-    """The feature table at several snapshots, each named by its date."""
+    """The feature table at several snapshots, each with its own window and named by its date.
+
+    While the response window is open the label is null."""
     parts = []
     for days in days_before_end:
-        text = _with_views(f"SELECT g.*, CAST(CAST(split AS DATE) AS VARCHAR) AS snapshot_date "
-                           f"FROM ({gold}) AS g, study_bounds")
-        parts.append("SELECT * FROM (" + text.replace("INTERVAL 90 DAY AS split", f"INTERVAL {days} DAY AS split") + ")")
+        text = _with_views(
+            f"SELECT g.* REPLACE (CASE WHEN CAST(CAST(split AS DATE) + 90 AS TIMESTAMP) <= newest THEN churn END AS churn), "
+            f"CAST(CAST(split AS DATE) AS VARCHAR) AS snapshot_date FROM ({gold}) AS g, study_bounds"
+        )
+        own = f"""
+        SELECT max(order_purchase_timestamp) - INTERVAL {days + 365} DAY AS start,
+               max(order_purchase_timestamp) - INTERVAL {days} DAY AS split,
+               max(order_purchase_timestamp) - INTERVAL {days} DAY + INTERVAL 90 DAY AS "end",
+               max(order_purchase_timestamp) AS newest
+        FROM clean_orders"""
+        parts.append("SELECT * FROM (" + text.replace(VIEWS["study_bounds"], own) + ")")
     return "\nUNION ALL ".join(parts)
 
 
+# The feature columns and those of the histograms.
 FEATURES = [
     "recency",
     "frequency",
@@ -214,12 +225,18 @@ def _histogram() -> str:
 
 
 def _density() -> str:
-    return _with_views("SELECT * FROM gold").replace("SELECT * FROM gold", "").rstrip() + f""", {_bins()}
-        SELECT a.column_name, a.bin, round((a.lower + a.upper) / 2, 6) AS midpoint,
-               round(sum(b.n * exp(-0.5 * power(((a.lower + a.upper) / 2 - (b.lower + b.upper) / 2)
-                     / (a.spread * power(a.total, -0.2)), 2)))
-                     / (any_value(a.total) * any_value(a.spread * power(a.total, -0.2)) * sqrt(2 * pi())), 9) AS density
-        FROM binned AS a JOIN binned AS b USING (column_name) GROUP BY a.column_name, a.bin, a.lower, a.upper"""
+    """The kernel summed over the raw rows at every point within six bandwidths of one of them."""
+    return _with_views("SELECT * FROM gold").replace("SELECT * FROM gold", "").rstrip() + f""", {_bins()},
+        steps AS (SELECT column_name, total, spread * power(total, -0.2) AS h FROM ranges WHERE spread > 0),
+        points AS (
+            SELECT DISTINCT column_name, unnest(range(CAST(ceil(v / (h / 2) - 12) AS BIGINT),
+                                                      CAST(floor(v / (h / 2) + 12) AS BIGINT) + 1)) AS point
+            FROM long_values JOIN steps USING (column_name) WHERE v IS NOT NULL)
+        SELECT column_name, point, round(point * any_value(h) / 2, 6) AS x, round(any_value(h) / 2, 6) AS step,
+               round(sum(exp(-0.5 * power((point * h / 2 - v) / h, 2)))
+                     / (any_value(total) * any_value(h) * sqrt(2 * pi())), 7) AS density
+        FROM points JOIN steps USING (column_name) JOIN long_values USING (column_name)
+        WHERE v IS NOT NULL GROUP BY column_name, point"""
 
 
 RULES = {
@@ -319,7 +336,7 @@ def _queries() -> dict[str, str]:
             FROM clean_orders LEFT JOIN payments_by_order USING (order_id)
             LEFT JOIN items_by_order USING (order_id) LEFT JOIN reviews_by_order USING (order_id)""",
         "gold_from_silver": gold,
-        "feature_store": _snapshots(gold, 90, 120),
+        "feature_store": _snapshots(gold, 90, 120, 455, 30),
         "describe": _describe(),
         "value_share": """
             SELECT churn, count(*) AS "rows", round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS "percent"
@@ -345,7 +362,7 @@ def _queries() -> dict[str, str]:
             FROM gold""",
         "hash_split": """
             SELECT customer_unique_id,
-                   CASE WHEN CAST('0x' || substr(md5(CAST(customer_unique_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 70
+                   CASE WHEN CAST('0x' || substr(md5(CAST(customer_unique_id AS VARCHAR)), 1, 8) AS BIGINT) < 0.7 * 4294967296
                         THEN 'train' ELSE 'test' END AS part
             FROM gold""",
         "auc_roc": f"SELECT round(auc_roc, 9) AS auc_roc, positives, negatives FROM ({_auc('rule_mixed')})",

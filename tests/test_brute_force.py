@@ -72,11 +72,12 @@ def _known(values):
     return [value for value in values if value is not None]
 
 
-def _expected(tables):
+def _expected(tables, split=None):
     """The feature table by the definitions, one person at a time."""
     clean = [row for row in tables["orders"] if row[0] is not None and row[2] is not None]
-    end = max(row[2] for row in clean)
-    split = end - timedelta(days=90)
+    newest = max(row[2] for row in clean)
+    split = split or newest - timedelta(days=90)
+    end = split + timedelta(days=90)
     start = split - timedelta(days=365)
     limit = datetime.combine(split.date() + timedelta(days=90), datetime.min.time())
     of_order = {name: defaultdict(list) for name in ("payments", "items", "reviews")}
@@ -137,7 +138,7 @@ def _expected(tables):
             "city": first(lambda o, who: who[3]),
             "state": first(lambda o, who: who[4]),
             "primary_payment_type": first(payment_type),
-            "churn": 0 if back else 1,
+            "churn": (0 if back else 1) if limit <= newest else None,
         }
     return result
 
@@ -156,3 +157,44 @@ def test_feature_table_equals_plain_loops(spark, tmp_path, seed):
         for person, values in expected.items():
             mine = {name: found[person][name] for name in values}
             assert mine == {**values, "avg_satisfaction": pytest.approx(values["avg_satisfaction"], abs=1e-9)}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_each_snapshot_has_its_own_window(spark, tmp_path, seed):
+    rows = _random_tables(seed)
+    newest = max(row[2] for row in rows["orders"] if row[0] is not None and row[2] is not None)
+    tables = ShopTables(
+        **{name: spark.createDataFrame(rows[name], schema).repartition(3) for name, schema in SCHEMAS.items()}
+    )
+    # The usual one, one that overlaps it, one long before, one at midnight and one with an open response window.
+    usual = newest - timedelta(days=90)
+    midnight = datetime.combine((newest - timedelta(days=200)).date(), datetime.min.time())
+    snapshots = [usual, usual - timedelta(days=31), usual - timedelta(days=400), midnight, newest - timedelta(days=20)]
+    for features in (
+        jobs.gold(tables, snapshots=snapshots),
+        jobs.gold(tables, snapshots=snapshots, detailed=jobs.silver(tables, str(tmp_path))),
+    ):
+        found = {(r["snapshot_date"], r[customers.PERSON]): r.asDict() for r in features.collect()}
+        expected = {(s.date(), person): v for s in snapshots for person, v in _expected(rows, s).items()}
+        assert set(found) == set(expected)
+        for key, values in expected.items():
+            mine = {name: found[key][name] for name in values}
+            assert mine == {**values, "avg_satisfaction": pytest.approx(values["avg_satisfaction"], abs=1e-9)}
+    assert None in {v["churn"] for v in expected.values()}
+
+
+def test_two_snapshots_of_one_day_are_refused(spark):
+    rows = _random_tables(0)
+    tables = ShopTables(**{name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()})
+    with pytest.raises(ValueError, match="two snapshots"):
+        jobs.gold(tables, snapshots=["2000-01-01 00:00:00", "2000-01-01 12:00:00"])
+
+
+def test_any_number_of_snapshots_is_one_pass(spark):
+    rows = _random_tables(0)
+    tables = ShopTables(**{name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()})
+    plans = []
+    for count in (1, 3):
+        days = [f"2001-0{i + 1}-01 00:00:00" for i in range(count)]
+        plans.append(jobs.gold(tables, snapshots=days)._jdf.queryExecution().optimizedPlan().toString())
+    assert plans[0].count("Join") == plans[1].count("Join") and plans[0].count("Aggregate") == plans[1].count("Aggregate")

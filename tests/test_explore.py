@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ebbtide.operators import customers, explore
 from ebbtide.plans import jobs
@@ -78,18 +79,25 @@ def test_histogram_keeps_empty_bins_closes_the_last_and_skips_nulls(spark):
 def test_histogram_of_one_value(spark):
     rows = explore.histogram(_numbers(spark, [3, 3, 3], "int"), ["x"], bins=4).orderBy("bin").collect()
     assert [r.rows for r in rows] == [3, 0, 0, 0]
-    assert {r.density for r in explore.density(_numbers(spark, [3, 3], "int"), ["x"], bins=4).collect()} == {None}
+    assert explore.density(_numbers(spark, [3, 3], "int"), ["x"]).collect() == []
 
 
-def test_density_is_the_gaussian_sum_over_bins(spark):
-    values = [0.0, 1.0, 1.5, 2.0, 7.0, 8.0]
-    df = _numbers(spark, values)
-    bins = explore.histogram(df, ["x"], 4).orderBy("bin").collect()
-    mids, weights = [(b.lower + b.upper) / 2 for b in bins], [b.rows for b in bins]
+def test_density_is_the_gaussian_sum_over_all_values(spark):
+    values = [0.0, 1.0, 1.5, 2.0, 2.0, 7.0, 8.0]
     width = np.std(values, ddof=1) * len(values) ** -0.2
-    for row in explore.density(df, ["x"], 4).collect():
-        kernel = sum(w * math.exp(-0.5 * ((row.midpoint - m) / width) ** 2) for m, w in zip(mids, weights))
-        assert row.density == pytest.approx(kernel / (len(values) * width * math.sqrt(2 * math.pi)))
+    rows = explore.density(_numbers(spark, values), ["x"]).collect()
+    for row in rows:
+        kernel = sum(math.exp(-0.5 * ((row.x - v) / width) ** 2) for v in values)
+        assert row.x == pytest.approx(row.point * width / 2)
+        assert row.density == pytest.approx(kernel / (len(values) * width * math.sqrt(2 * math.pi)), abs=1e-7)
+    assert {r.point for r in rows} >= set(range(math.ceil(min(values) / width * 2), math.floor(max(values) / width * 2)))
+
+
+@pytest.mark.parametrize("count", [1_000, 100_000, 1_000_000])
+def test_area_below_the_density_is_one(spark, count):
+    drawn = spark.range(count).select(F.randn(3).alias("normal"), F.exp(F.randn(5)).alias("lognormal"))
+    areas = explore.density(drawn, ["normal", "lognormal"]).groupBy("column_name").agg(F.sum(F.col("density") * F.col("step")).alias("area"))
+    assert {r.column_name: r.area for r in areas.collect()} == {"normal": pytest.approx(1, abs=1e-3), "lognormal": pytest.approx(1, abs=1e-3)}
 
 
 def test_top_categories_rank_by_count_then_value(spark):

@@ -43,6 +43,12 @@ def test_hash_split_is_whole_disjoint_and_independent_of_partitioning(spark):
     assert first.count() + second.count() == 2000
 
 
+def test_hash_split_takes_any_share(spark):
+    for share in (0.999, 0.0005):
+        first, second = balance.hash_split(spark.range(100_000).withColumnRenamed("id", "customer_unique_id"), share)
+        assert first.count() == pytest.approx(share * 100_000, abs=30) and first.count() + second.count() == 100_000
+
+
 def test_hash_split_keeps_rows_without_a_key(spark):
     df = spark.createDataFrame([(None,), ("a",)], f"{customers.PERSON} string")
     assert sum(part.count() for part in balance.hash_split(df, 0.7)) == 2
