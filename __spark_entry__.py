@@ -9,7 +9,8 @@ import sys
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,41 +182,188 @@ def _scored_by_rule(gold: DataFrame) -> DataFrame:
     )
 
 
-def _metrics_frame(spark: SparkSession, runs: list[tuple]) -> DataFrame:
-    """One row per logged metric of the runs."""
-    logged = registry.runs_frame(spark, runs)
-    return logged.filter(F.col("kind") == "metric").select("run_name", "name", F.col("value").cast("double"))
+def _facts(spark: SparkSession, facts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([(name, int(value)) for name, value in facts.items()], "fact string, value bigint")
+
+
+def _probability_facts(scored: DataFrame) -> DataFrame:
+    """Per scored row: whether probability, prediction and risk label belong together."""
+    chance = vector_to_array("probability")
+    return scored.select(
+        "*",
+        ((chance[1] >= 0) & (chance[1] <= 1) & (F.abs(chance[0] + chance[1] - 1) < 1e-9)).alias("is_probability"),
+        (F.col("prediction") == (chance[1] > 0.5).cast("double")).alias("prediction_fits"),
+    )
 
 
 def _train(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A baseline's fit, checked on the held-out people: how many, of which class, and whether what it says is consistent
+    and its logged metrics are those of MLlib's evaluators."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         gold = _feature_table(spark, sf_dir)
         trained = training.train(gold, training.baselines()[name], name, customers.FEATURES)
-        return _metrics_frame(spark, trained.rows)
+        _, held_out = balance.hash_split(gold, 0.7)
+        scored = trained.model.transform(held_out).cache()
+        counts = _probability_facts(scored).agg(
+            F.count("*").alias("held_out"),
+            F.sum(customers.LABEL).alias("churned"),
+            F.sum(F.col("is_probability").cast("int")).alias("probabilities"),
+            F.sum(F.col("prediction_fits").cast("int")).alias("fitting_predictions"),
+        )
+        facts = counts.first().asDict()
+        judge = MulticlassClassificationEvaluator(labelCol=customers.LABEL)
+        theirs = [judge.setMetricName(m).evaluate(scored) for m in ("accuracy", "weightedPrecision", "weightedRecall", "f1")]
+        theirs.append(BinaryClassificationEvaluator(labelCol=customers.LABEL, numBins=0).evaluate(scored))
+        scored.unpersist()
+        mine = [trained.metrics[m] for m in ("accuracy", "precision", "recall", "f1_score", "auc_roc")]
+        facts["equal_metrics"] = sum(abs(a - b) < 1e-9 for a, b in zip(mine, theirs, strict=True))
+        facts["speed_metrics"] = sum(trained.metrics[m] > 0 for m in registry.SPEED_METRICS)
+        logged = registry.runs_frame(spark, trained.rows).filter("kind = 'metric'")
+        facts["logged_metrics"] = logged.count()
+        return _facts(spark, facts)
 
     return run
 
 
-def _tune(name: str, evals: int = 3) -> Callable[[SparkSession, str], DataFrame]:
+def _on_step(entry, value) -> bool:
+    if isinstance(entry, search.Choice):
+        return value in entry.options
+    inside = entry.low - 1e-9 <= value <= entry.high + 1e-9
+    return inside and (not entry.step or abs(value / entry.step - round(value / entry.step)) < 1e-6)
+
+
+def _tune(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A whole search with all its draws, read back from the run table that it wrote trial by trial."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        estimator_cls, space, _ = search.SPACES[name]
-        gold = _feature_table(spark, sf_dir)
-        found = search.tune(gold, estimator_cls, space, customers.FEATURES, max_evals=evals, run_name=name)
-        return _metrics_frame(spark, found.rows)
+        estimator_cls, space, evals = search.SPACES[name]
+        gold, path = _feature_table(spark, sf_dir), working_folder(spark, "runs")
+        found = search.tune(
+            gold, estimator_cls, space, customers.FEATURES, max_evals=evals, run_name=name, parallelism=8,
+            log=lambda rows: registry.log_runs(spark, path, rows),
+        )
+        runs = files.read_table(spark, path)
+        trials = runs.filter(F.col("parent_id") == found.run_id)
+        values = trials.filter("kind = 'metric' AND name = 'auc_val'").select(F.col("value").cast("double").alias("v"))
+        measured = values.agg(F.count("*").alias("n"), F.max("v").alias("best"), F.sum((F.col("v").between(0, 1)).cast("int")).alias("areas")).first()
+        best = registry.best_run(runs, "best_auc_val").first()
+        return _facts(
+            spark,
+            {
+                "trials": trials.select("run_id").distinct().count(),
+                "finished": trials.filter("name = 'status' AND value = 'finished'").count(),
+                "areas": measured["areas"],
+                "draws_in_space": sum(
+                    all(_on_step(entry, t.params[key]) for key, entry in space.items()) for t in found.trials
+                ),
+                "best_is_largest": best["best_auc_val"] == measured["best"] == found.best.value,
+                "scored_people": found.model.transform(gold).select(customers.PERSON, "prediction").count(),
+            },
+        )
 
     return run
 
 
+def _saved_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job logs and saves; the best logged run's model, loaded by its logged path, scores as in memory."""
+    gold, folder = _feature_table(spark, sf_dir), working_folder(spark, "training")
+    done = jobs.train(gold, f"{folder}/runs", f"{folder}/models")
+    runs = files.read_table(spark, f"{folder}/runs")
+    best = registry.best_run(runs, "auc_roc").first()
+    loaded = registry.run_model(runs, best["run_id"])
+    before, after = (m.transform(gold).select(customers.PERSON, "probability") for m in (done[best["run_name"]].model, loaded))
+    joined = before.withColumnRenamed("probability", "trained").join(after, customers.PERSON)
+    return joined.select(customers.PERSON, (F.col("trained") == F.col("probability")).alias("same"))
+
+
+def _failing_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search whose third draw cannot be fitted: it is logged as failed and the others go on."""
+    gold = _feature_table(spark, sf_dir)
+    space = {"maxIter": search.Choice((2,)), "maxDepth": search.Choice((2, 99))}
+    drawn = search.draws({"weightCol": balance.WEIGHT, **space}, 4, seed=3)
+    found = search.tune(gold, training.GBTClassifier, space, customers.FEATURES, max_evals=4, seed=3)
+    statuses = registry.runs_frame(spark, found.rows).filter("name = 'status'")
+    too_deep = sum(d["maxDepth"] == 99 for d in drawn)
+    counted = statuses.agg(
+        F.count("*").alias("trials"), (F.sum((F.col("value") == "failed").cast("int")) == too_deep).alias("failed_as_drawn")
+    )
+    return counted.select("trials", "failed_as_drawn", F.lit(found.best.params["maxDepth"] == 2).alias("best_could_be_fitted"))
+
+
+def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules' metrics, appended to a run table rule by rule and read back."""
+    path = working_folder(spark, "runs")
+    for rule in RULES:
+        graded = _graded(_feature_table(spark, sf_dir), rule)
+        metrics = evaluate.classification_metrics(graded).first().asDict()
+        registry.log_runs(spark, path, registry.run_rows(rule, rule, {"rule": rule}, metrics))
+    logged = files.read_table(spark, path).filter("kind = 'metric'")
+    return logged.select("run_id", "name", F.col("value").cast("double").alias("value"))
+
+
+def _throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _feature_table(spark, sf_dir)
+    speed = evaluate.throughput(_fitted(gold), gold)
+    consistent = speed.seconds > 0 and abs(speed.rows_per_second * speed.seconds - speed.rows) < 1e-6 * speed.rows
+    return _facts(spark, {"rows": speed.rows, "consistent": consistent})
+
+
+def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five rows, each found again in the table."""
+    gold = _feature_table(spark, sf_dir)
+    seen = files.preview(gold, 5).select(customers.PERSON).alias("seen")
+    known = gold.select(customers.PERSON).distinct()
+    return seen.join(known, customers.PERSON, "left_semi").agg(F.count("*").alias("rows"))
+
+
+def _default_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors of the default features, sum by sum."""
+    vectors = training.assembler().transform(_feature_table(spark, sf_dir)).select(vector_to_array("features").alias("f"))
+    parts = vectors.select(F.posexplode("f").alias("place", "value"))
+    return parts.groupBy("place").agg(F.count("*").alias("rows"), F.round(F.sum("value"), 2).alias("total"))
+
+
+def _scored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scoring job with a fitted model, stored and read back: each person at risk, once, and the label that goes with it."""
+    gold, folder = _feature_table(spark, sf_dir), working_folder(spark, "mart")
+    model = _fitted(gold)
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    files.ensure_database(spark, database, folder)
+    report = jobs.score(model, gold, f"{database}.churn_daily_report")
+    predicted = model.transform(gold).filter("prediction = 1").select(customers.PERSON)
+    return _facts(
+        spark,
+        {
+            "predicted_but_not_reported": predicted.exceptAll(report.select(customers.PERSON)).count(),
+            "reported_but_not_predicted": report.select(customers.PERSON).exceptAll(predicted).count(),
+            "wrong_labels": report.filter(F.col("risk_status") != scoring.HIGH_RISK).count(),
+            "unlikely": report.filter("churn_probability <= 0.5").count(),
+        },
+    )
+
+
+def _window_30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(jobs.gold(shop_tables(spark, sf_dir), churn_days=30, stored=DAY).drop("snapshot_date"))
+
+
+def _split_80(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, check = balance.hash_split(_feature_table(spark, sf_dir), 0.8)
+    sides = train.select(F.lit("train").alias("part"), customers.LABEL).unionByName(check.select(F.lit("check").alias("part"), customers.LABEL))
+    return sides.groupBy("part").agg(F.count("*").alias("rows"), F.sum(customers.LABEL).alias("churned"))
+
+
 def _fitted(gold: DataFrame):
     model = training.baselines()["LogisticReg_Baseline"]
     return training.pipeline(model, customers.FEATURES).fit(training.weighted(gold))
 
 
 def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everyone scored by a fitted model, and whether probability, prediction and risk label belong together."""
     gold = _feature_table(spark, sf_dir)
-    return scoring.score(_fitted(gold), gold).select(
-        customers.PERSON, "prediction", "churn_probability", "risk_status"
-    )
+    scored = _probability_facts(scoring.score(_fitted(gold), gold))
+    fits = F.col("risk_status") == F.when(F.col("churn_probability") > 0.5, scoring.HIGH_RISK).otherwise(scoring.LOW_RISK)
+    return scored.select(customers.PERSON, "is_probability", "prediction_fits", fits.alias("risk_fits"))
 
 
 def _model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +489,15 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "register_directory": _register_directory,
         "model_roundtrip": _model_roundtrip,
         "score_batch": _score_batch,
+        "saved_run": _saved_run,
+        "failing_trial": _failing_trial,
+        "run_log": lambda spark, sf_dir: _rounded(_run_log(spark, sf_dir)),
+        "throughput": _throughput,
+        "preview": _preview,
+        "default_features": _default_features,
+        "scored_report": _scored_report,
+        "churn_window_30": _window_30,
+        "hash_split_80": _split_80,
         "train_rf": _train("RF_Baseline"),
         "train_gbt": _train("GBT_Baseline"),
         "train_lr": _train("LogisticReg_Baseline"),

@@ -20,6 +20,8 @@ REGISTRY_SCHEMA = (
     "model string, alias string, path string, input_schema string, output_schema string, "
     "sample_rows string, registered_at timestamp"
 )
+#: The tag of a run that names its saved model.
+MODEL_PATH = "model_path"
 # The quality and speed figures of a run.
 QUALITY_METRICS = ["accuracy", "auc_roc", "precision", "recall", "f1_score"]
 SPEED_METRICS = ["train_time_sec", "inference_time_sec", "throughput_rows_sec"]
@@ -110,6 +112,24 @@ def register_model(
     write_table(spark.createDataFrame([entry], REGISTRY_SCHEMA).coalesce(1), registry_path, fmt, mode="append")
 
 
+def saved_run(
+    spark: SparkSession, models_path: str, run_id: str, run_name: str, model: PipelineModel, sample: DataFrame, feature_cols: Sequence[str]
+) -> list[tuple]:
+    """Save a run's model with its signature and sample below ``models_path``; gives the log entry that names its place."""
+    place = f"{models_path.rstrip('/')}/{run_id}"
+    register_model(f"{models_path.rstrip('/')}/registry", run_name, run_id, model, place, sample, feature_cols)
+    return run_rows(run_id, run_name, tags={MODEL_PATH: place})
+
+
+def run_model(runs: DataFrame, run_id: str) -> PipelineModel:
+    """The model of a logged run, by the place that its log names."""
+    named = (F.col("run_id") == run_id) & (F.col("kind") == "tag") & (F.col("name") == MODEL_PATH)
+    entry = runs.filter(named).first()
+    if entry is None:
+        raise LookupError(f"run {run_id} logged no model")
+    return PipelineModel.load(entry["value"])
+
+
 def registered_models(spark: SparkSession, registry_path: str, fmt: str = "parquet") -> DataFrame:
     """The newest entry per model and alias."""
     newest = Window.partitionBy("model", "alias").orderBy(F.desc("registered_at"), F.desc("path"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import random
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
@@ -122,12 +123,14 @@ def tune(
     seed: int = 42,
     split: str = "hash",
     parallelism: int = 4,
+    log: Callable[[list[tuple]], None] | None = None,
 ) -> SearchResult:
     """Draw ``max_evals`` points, fit each on 80 % of the people, keep the best on the others.
 
     The feature vectors are assembled once and kept for all trials; up to ``parallelism`` trials
     run at a time, and each is itself distributed. A failing trial is recorded and cannot win.
     The winner is fitted again on all rows, so its value is a selection score, not a test score.
+    ``log`` gets each trial's entries when it ends, and the search's own at the end.
     """
     space = {"weightCol": balance.WEIGHT, **space}
     wanted = list(dict.fromkeys([PERSON, *(feature_cols or DEFAULT_FEATURES), LABEL]))
@@ -141,33 +144,49 @@ def tune(
     check_rows = vectors.transform(check_part).select(LABEL, "features")
     measure = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName=metric, numBins=0)
 
-    def attempt(params: dict[str, object]) -> Trial:
+    algorithm = estimator_cls.__name__
+    run_id, run_name = registry.new_run_id(), run_name or f"Search_{algorithm}"
+
+    one_writer = Lock()
+
+    def logged(rows: list[tuple]) -> list[tuple]:
+        if log:
+            with one_writer:  # two appends to one table at a time would remove each other's temporary files
+                log(rows)
+        return rows
+
+    def trial_rows(number: int, trial: Trial) -> list[tuple]:
+        figures = {"trial_duration": trial.seconds} | ({} if trial.value is None else {"auc_val": trial.value})
+        tags = {"stage": "tuning_trial", "status": "failed" if trial.error else "finished"}
+        tags |= {"error": trial.error} if trial.error else {}
+        return registry.run_rows(registry.new_run_id(), f"{run_name}_{number}", trial.params, figures, tags, parent_id=run_id)
+
+    def attempt(drawn: tuple[int, dict[str, object]]) -> tuple[Trial, list[tuple]]:
+        number, params = drawn
         started = time.perf_counter()
         try:
             model = _estimator(estimator_cls, params).fit(train_rows)
             value, error = measure.evaluate(model.transform(check_rows)), None
         except Exception as failure:  # noqa: BLE001 - any failure of one trial must not end the search
             value, error = None, f"{type(failure).__name__}: {failure}".splitlines()[0]
-        return Trial(params, value, time.perf_counter() - started, error)
+        trial = Trial(params, value, time.perf_counter() - started, error)
+        return trial, logged(trial_rows(number, trial))
 
     with kept(train_rows, check_rows), ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        trials = list(pool.map(inheritable_thread_target(df.sparkSession)(attempt), draws(space, max_evals, seed)))
+        run = inheritable_thread_target(df.sparkSession)(attempt)
+        done = list(pool.map(run, enumerate(draws(space, max_evals, seed))))
+    trials = [trial for trial, _ in done]
     best = best_trial(trials)
     model = pipeline(_estimator(estimator_cls, best.params), feature_cols).fit(weighted(df))
 
-    algorithm = estimator_cls.__name__
-    run_id, run_name = registry.new_run_id(), run_name or f"Search_{algorithm}"
-    rows = registry.run_rows(
-        run_id,
-        run_name,
-        {f"best_{name}": value for name, value in best.params.items()},
-        {"best_auc_val": best.value},
-        {"type": "hyperparameter_tuning", "algorithm": algorithm},
+    rows = logged(
+        registry.run_rows(
+            run_id,
+            run_name,
+            {f"best_{name}": value for name, value in best.params.items()},
+            {"best_auc_val": best.value},
+            {"type": "hyperparameter_tuning", "algorithm": algorithm},
+        )
     )
-    for number, trial in enumerate(trials):
-        figures = {"trial_duration": trial.seconds} | ({} if trial.value is None else {"auc_val": trial.value})
-        tags = {"stage": "tuning_trial", "status": "failed" if trial.error else "finished"}
-        tags |= {"error": trial.error} if trial.error else {}
-        name = f"{run_name}_{number}"
-        rows += registry.run_rows(registry.new_run_id(), name, trial.params, figures, tags, parent_id=run_id)
+    rows = rows + [row for _, own in done for row in own]
     return SearchResult(run_id, best, trials, model, rows)

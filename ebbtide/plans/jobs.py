@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -128,14 +129,22 @@ def eda(features: DataFrame) -> dict[str, DataFrame]:
     return {name: operator(features) for name, operator in EXPLORATIONS.items()}
 
 
-def train(features: DataFrame, runs_path: str | None = None) -> dict[str, training.TrainedRun]:
-    """The three baselines, fitted and measured; their log goes to the run table if there is one."""
-    done = {
-        name: training.train(features, estimator, name, customers.FEATURES)
-        for name, estimator in training.baselines().items()
-    }
+def _logged(spark: SparkSession, runs_path: str | None, rows: list[tuple]) -> None:
     if runs_path:
-        registry.log_runs(features.sparkSession, runs_path, [row for run in done.values() for row in run.rows])
+        registry.log_runs(spark, runs_path, rows)
+
+
+def train(
+    features: DataFrame, runs_path: str | None = None, models_path: str | None = None
+) -> dict[str, training.TrainedRun]:
+    """The three baselines, fitted and measured. Each is logged, and saved with its signature, as soon as it is done."""
+    spark, done = features.sparkSession, {}
+    for name, estimator in training.baselines().items():
+        run = done[name] = training.train(features, estimator, name, customers.FEATURES)
+        rows = list(run.rows)
+        if models_path:
+            rows += registry.saved_run(spark, models_path, run.run_id, name, run.model, features, customers.FEATURES)
+        _logged(spark, runs_path, rows)
     return done
 
 
@@ -145,9 +154,12 @@ def tune(
     max_evals: int | None = None,
     parallelism: int = 4,
     seed: int = 42,
+    models_path: str | None = None,
 ) -> dict[str, search.SearchResult]:
-    """The three searches; ``max_evals`` replaces the number of draws of every space."""
-    done = {}
+    """The three searches; ``max_evals`` replaces the number of draws of every space.
+
+    Every trial is logged when it ends, so that a lost driver loses only what was running; the refitted winner is saved."""
+    spark, done = features.sparkSession, {}
     for name, (estimator_cls, space, evals) in search.SPACES.items():
         done[name] = search.tune(
             features,
@@ -158,9 +170,12 @@ def tune(
             run_name=name,
             seed=seed,
             parallelism=parallelism,
+            log=partial(_logged, spark, runs_path),
         )
-        if runs_path:
-            registry.log_runs(features.sparkSession, runs_path, done[name].rows)
+        if models_path:
+            found = done[name]
+            rows = registry.saved_run(spark, models_path, found.run_id, name, found.model, features, customers.FEATURES)
+            _logged(spark, runs_path, rows)
     return done
 
 

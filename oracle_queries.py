@@ -294,6 +294,44 @@ def _report() -> str:
         WHERE chance > 0.5"""
 
 
+HASHED = "CAST('0x' || substr(md5(CAST(customer_unique_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296"
+
+
+def _fact_rows(facts: dict[str, str]) -> str:
+    """Rows (fact, value), each value an expression over the feature table."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS fact, CAST({value} AS BIGINT) AS \"value\"" for name, value in facts.items()
+    )
+
+
+def _train_facts() -> str:
+    held_out = f"(SELECT count(*) FROM gold WHERE {HASHED} >= 0.7)"
+    return _fact_rows(
+        {
+            "held_out": held_out,
+            "churned": f"(SELECT sum(churn) FROM gold WHERE {HASHED} >= 0.7)",
+            "probabilities": held_out,
+            "fitting_predictions": held_out,
+            "equal_metrics": "5",
+            "speed_metrics": "3",
+            "logged_metrics": "8",
+        }
+    )
+
+
+def _tune_facts(draws: int) -> str:
+    facts = {name: str(draws) for name in ("trials", "finished", "areas", "draws_in_space")}
+    return _fact_rows(facts | {"best_is_largest": "1", "scored_people": "(SELECT count(*) FROM gold)"})
+
+
+def _window(gold: str, days: int) -> str:
+    """The feature table with another response window."""
+    text = _with_views(gold)
+    return text.replace("INTERVAL 455 DAY", f"INTERVAL {365 + days} DAY").replace("INTERVAL 90 DAY", f"INTERVAL {days} DAY").replace(
+        "CAST(split AS DATE) + 90", f"CAST(split AS DATE) + {days}"
+    )
+
+
 def _queries() -> dict[str, str]:
     gold = "SELECT * REPLACE (round(avg_satisfaction, 6) AS avg_satisfaction) FROM gold"
     return {
@@ -388,6 +426,35 @@ def _queries() -> dict[str, str]:
             UNION ALL SELECT 'items', count(*), count(DISTINCT order_id) FROM items
             UNION ALL SELECT 'reviews', count(*), count(DISTINCT order_id) FROM reviews""",
         "model_roundtrip": "SELECT customer_unique_id, true AS same FROM gold",
+        "saved_run": "SELECT customer_unique_id, true AS same FROM gold",
+        "score_batch": """
+            SELECT customer_unique_id, true AS is_probability, true AS prediction_fits, true AS risk_fits FROM gold""",
+        "train_rf": _train_facts(),
+        "train_gbt": _train_facts(),
+        "train_lr": _train_facts(),
+        "tune_gbt": _tune_facts(30),
+        "tune_rf": _tune_facts(60),
+        "tune_lr": _tune_facts(120),
+        "failing_trial": """
+            SELECT CAST(4 AS BIGINT) AS trials, true AS failed_as_drawn, true AS best_could_be_fitted""",
+        "run_log": "\nUNION ALL ".join(
+            f"SELECT '{rule}' AS run_id, name, round(\"value\", 6) AS \"value\" FROM "
+            f"(UNPIVOT ({_decisions(rule)}) ON accuracy, weighted_precision, weighted_recall, f1 INTO NAME name VALUE \"value\")"
+            for rule in RULES
+        ),
+        "throughput": _fact_rows({"rows": "(SELECT count(*) FROM gold)", "consistent": "1"}),
+        "preview": "SELECT least(5, count(*)) AS \"rows\" FROM gold",
+        "default_features": "\nUNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS place, count(*) AS \"rows\", round(sum(CAST({name} AS DOUBLE)), 2) AS total FROM gold"
+            for i, name in enumerate(FEATURES[:3])
+        ),
+        "scored_report": _fact_rows(
+            dict.fromkeys(("predicted_but_not_reported", "reported_but_not_predicted", "wrong_labels", "unlikely"), "0")
+        ),
+        "churn_window_30": _window(gold, 30),
+        "hash_split_80": f"""
+            SELECT CASE WHEN {HASHED} < 0.8 THEN 'train' ELSE 'check' END AS part, count(*) AS "rows",
+                   CAST(sum(churn) AS BIGINT) AS churned FROM gold GROUP BY ALL""",
     }
 
 

@@ -245,10 +245,44 @@ def test_score_job_stores_the_report(spark, gold, tmp_path):
 
 def test_train_and_tune_jobs_log_all_runs(spark, gold, tmp_path):
     path = str(tmp_path / "runs")
-    done = jobs.train(gold, path)
+    models = str(tmp_path / "models")
+    done = jobs.train(gold, path, models)
     assert list(done) == ["RF_Baseline", "GBT_Baseline", "LogisticReg_Baseline"]
-    found = jobs.tune(gold, path, max_evals=1)
+    found = jobs.tune(gold, path, max_evals=1, models_path=models)
     assert list(found) == list(search.SPACES)
     runs = spark.read.parquet(path)
     assert {r.run_name for r in registry.leaderboard(runs).collect()} == set(done)
     assert runs.filter("name = 'stage' AND value = 'tuning_trial'").count() == 3
+    for run in [*done.values(), *found.values()]:
+        loaded = registry.run_model(runs, run.run_id)
+        assert loaded.transform(gold).select("probability").collect() == run.model.transform(gold).select("probability").collect()
+    assert registry.registered_models(spark, f"{models}/registry").count() == 6
+    with pytest.raises(LookupError, match="no model"):
+        registry.run_model(runs, "nothing")
+
+
+def test_trials_are_logged_when_they_end(gold):
+    seen = []
+    space = {"maxDepth": search.Choice((2, 99)), "maxIter": 2.0}
+    found = search.tune(gold, GBTClassifier, space, max_evals=4, seed=3, log=seen.append)
+    assert len(seen) == 5 and {r[0] for rows in seen for r in rows} == {r[0] for r in found.rows}
+    assert [r[3] for r in seen[-1]].count("metric") == 1
+
+
+def test_a_trial_without_a_number_cannot_win():
+    trials = [search.Trial({"p": 1}, float("nan"), 1.0), search.Trial({"p": 2}, 0.4, 1.0), search.Trial({"p": 3}, None, 1.0, "x")]
+    assert search.best_trial(trials).params == {"p": 2}
+    with pytest.raises(RuntimeError, match="no successful trial"):
+        search.best_trial(trials[:1])
+
+
+def test_area_with_infinite_scores(spark):
+    pairs = [(float("inf"), 1), (float("-inf"), 0), (float("inf"), 0), (0.5, 1), (0.2, 0), (float("-inf"), 1)]
+    df = spark.createDataFrame(pairs, "score double, churn int")
+    assert evaluate.auc_roc(df, ranges=4).first().auc_roc == pytest.approx(_brute_auc(pairs))
+
+
+def test_selection_scores_are_exact_beyond_the_evaluators_bins(spark):
+    drawn = spark.range(6000).select(F.rand(1).alias("score"), (F.rand(2) < 0.5).cast("int").alias("churn"))
+    judge = BinaryClassificationEvaluator(labelCol="churn", rawPredictionCol="score", numBins=0)
+    assert judge.evaluate(drawn) == pytest.approx(evaluate.auc_roc(drawn).first().auc_roc, abs=1e-12)
