@@ -67,6 +67,16 @@ def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_table(spark, _stored[key])
 
 
+def _silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored orders with their details, once per session and data."""
+    key = (spark.sparkContext.applicationId, f"silver {sf_dir}")
+    if key not in _stored:
+        path = working_folder(spark, "silver")
+        jobs.silver(shop_tables(spark, sf_dir), path)
+        _stored[key] = f"{path}/orders"
+    return files.read_table(spark, _stored[key])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The churn feature table with its label, from the smallest test set."""
     return _gold(spark, "/root/testdata/sf0.001")
@@ -81,22 +91,20 @@ def _label_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored orders with their details, without the partition column."""
-    stored = jobs.silver(shop_tables(spark, sf_dir), working_folder(spark, "silver"))
-    return stored.drop(DAY_COLUMN, jobs.SILVER_PERIOD.column)
+    return _silver_orders(spark, sf_dir).drop(DAY_COLUMN, jobs.SILVER_PERIOD.column)
 
 
 def _gold_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table by way of stored orders."""
     tables = shop_tables(spark, sf_dir)
-    detailed = jobs.silver(tables, working_folder(spark, "silver"))
-    return jobs.gold(tables, detailed=detailed).drop("snapshot_date")
+    return jobs.gold(tables, detailed=_silver_orders(spark, sf_dir)).drop("snapshot_date")
 
 
 def _feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four snapshots, stored by snapshot and read back: the usual one, one a month and one a year earlier, and one whose
     response window is still open."""
     tables = shop_tables(spark, sf_dir)
-    detailed = jobs.silver(tables, working_folder(spark, "silver"))
+    detailed = _silver_orders(spark, sf_dir)
     newest = orders.study_bounds(detailed).split
     snapshots = [datetime.fromisoformat(newest) + timedelta(days=days) for days in (0, -30, -365, 60)]
     features = jobs.gold(tables, snapshots=snapshots, detailed=detailed)

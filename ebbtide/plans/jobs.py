@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -30,21 +30,34 @@ def bronze(
     return files.register_directory(spark, directory, database, types)
 
 
-def silver(tables: ShopTables, path: str) -> DataFrame:
+def silver(tables: ShopTables, path: str, months: Sequence[str | date] | None = None) -> DataFrame:
     """Store the clean orders with all their details, by month of purchase, and return them.
 
+    With ``months`` (any day of each) only the orders of those months are read, joined and replaced; the other months'
+    files stay. The details of other orders are left out before they are aggregated.
+
     Feature jobs then read the months they need and join nothing but customers. The details are
     stored first: both sides of the join with them are then plain shuffles, which adaptive
     execution can split, should an order id be repeated very often.
     """
     spark = tables.orders.sparkSession
-    files.write_table(orders.order_facts(tables.payments, tables.items, tables.reviews), f"{path}/order_facts")
-    facts = files.read_table(spark, f"{path}/order_facts")
     month = SILVER_PERIOD.of(F.col(orders.PURCHASED)).alias(SILVER_PERIOD.column)
-    detailed = orders.clean_orders(tables.orders).select("*", month).join(facts, orders.ORDER, "left")
+    placed = orders.clean_orders(tables.orders).select("*", month)
+    details = (tables.payments, tables.items, tables.reviews)
+    if months is not None:
+        first_days = sorted({str(day)[:7] + "-01" for day in months})
+        placed = placed.filter(F.col(SILVER_PERIOD.column).isin([F.lit(day).cast("date") for day in first_days]))
+        ids = placed.select(orders.ORDER)
+        details = tuple(rows.join(ids, orders.ORDER, "left_semi") for rows in details)
+    files.write_table(orders.order_facts(*details), f"{path}/order_facts")
+    facts = files.read_table(spark, f"{path}/order_facts")
+    detailed = placed.join(facts, orders.ORDER, "left")
     # Rebalancing gives each month few files and still splits a month that is very large.
     files.write_table(
-        detailed.hint("rebalance", SILVER_PERIOD.column), f"{path}/orders", partition_by=[SILVER_PERIOD.column]
+        detailed.hint("rebalance", SILVER_PERIOD.column),
+        f"{path}/orders",
+        partition_by=[SILVER_PERIOD.column],
+        by_partition=months is not None,
     )
     return files.read_table(spark, f"{path}/orders")
 

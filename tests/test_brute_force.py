@@ -198,3 +198,26 @@ def test_any_number_of_snapshots_is_one_pass(spark):
         days = [f"2001-0{i + 1}-01 00:00:00" for i in range(count)]
         plans.append(jobs.gold(tables, snapshots=days)._jdf.queryExecution().optimizedPlan().toString())
     assert plans[0].count("Join") == plans[1].count("Join") and plans[0].count("Aggregate") == plans[1].count("Aggregate")
+
+
+def test_silver_replaces_the_changed_month_alone(spark, tmp_path):
+    rows = _random_tables(1)
+    tables = ShopTables(**{name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()})
+    path = str(tmp_path / "silver")
+    jobs.silver(tables, path)
+
+    def parts():
+        found = tmp_path.glob("silver/orders/order_purchase_month=*/*.parquet")
+        return {(f.parent.name, f.name): f.stat().st_mtime_ns for f in found}
+
+    before = parts()
+    month = sorted({folder for folder, _ in before if "HIVE" not in folder})[3]
+    day = month.split("=")[1]
+    changed = [(i, c, t + timedelta(minutes=1) if t and t.strftime("%Y-%m-01") == day else t) for i, c, t in rows["orders"]]
+    later = ShopTables(**{n: spark.createDataFrame(changed if n == "orders" else rows[n], s) for n, s in SCHEMAS.items()})
+    stored = jobs.silver(later, path, months=[day])
+    after = parts()
+    assert {k for k in before if k[0] != month} == {k for k in after if k[0] != month}
+    assert all(after[k] == before[k] for k in before if k[0] != month) and {k for k in after if k[0] == month} != {k for k in before if k[0] == month}
+    whole = jobs.silver(later, str(tmp_path / "whole")).select(*stored.columns)
+    assert stored.exceptAll(whole).count() == 0 and whole.exceptAll(stored).count() == 0
