@@ -147,23 +147,22 @@ def _ordered(found: np.ndarray, cells: np.ndarray, sets: np.ndarray) -> np.ndarr
 
 
 def _windows(width: int, percent: int, cells: np.ndarray, sets: np.ndarray):
-    """Rows (pivot shingle, class, set size, whether the smaller of a pair would be here), once per class and task."""
+    """Rows (pivot shingle, class, set size, the shingle's place in the order), once per class and task."""
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            keys, own, sizes, small = [], [], [], []
+            keys, own, sizes, places = [], [], [], []
             for found in _sets(batch.column(0), width):
                 n = len(found)
                 if not n or (cid := _class_of(found)) in seen:
                     continue
                 seen.add(cid)
-                as_larger = n - -(-percent * n // 100) + 1
-                as_smaller = n - -(-2 * percent * n // (100 + percent)) + 1
-                keys.append(_ordered(found, cells, sets)[:as_larger].view(np.int64))
+                windows = n - -(-percent * n // 100) + 1
+                keys.append(_ordered(found, cells, sets)[:windows].view(np.int64))
                 own.append(cid)
                 sizes.append(n)
-                small.append(np.arange(as_larger) < as_smaller)
+                places.append(np.arange(windows, dtype=np.int32))
             if keys:
                 times = [len(k) for k in keys]
                 yield pa.RecordBatch.from_arrays(
@@ -171,9 +170,9 @@ def _windows(width: int, percent: int, cells: np.ndarray, sets: np.ndarray):
                         pa.array(np.concatenate(keys)),
                         pa.array(np.repeat(np.array(own, np.int64), times)),
                         pa.array(np.repeat(np.array(sizes, np.int32), times)),
-                        pa.array(np.concatenate(small)),
+                        pa.array(np.concatenate(places)),
                     ],
-                    ["key", "cid", "n", "small"],
+                    ["key", "cid", "n", "place"],
                 )
             if len(seen) > 2_000_000:
                 seen.clear()
@@ -184,11 +183,11 @@ def _windows(width: int, percent: int, cells: np.ndarray, sets: np.ndarray):
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in the order (key, n, cid): those of keys with two distinct classes or more, with the region's
     pivot, its first class. A region's rows pass one by one; only its first is held."""
-    names = ["key", "cid", "n", "small"]
-    last = None  # (key, cid, n, small) of the row before this batch
-    pivot = None  # (key, cid, n, small, whether it was sent)
+    names = ["key", "cid", "n", "place"]
+    last = None  # key and class of the row before this batch
+    pivot = None  # (key, cid, n, place, whether it was sent)
     for batch in batches:
-        key, cid, n, small = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+        key, cid, n, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
         if not len(key):
             continue
         again = np.zeros(len(key), bool)
@@ -196,85 +195,122 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None:
             again[0] = key[0] == last[0] and cid[0] == last[1]
         last = (key[-1], cid[-1])
-        key, cid, n, small = (x[~again] for x in (key, cid, n, small))
+        key, cid, n, place = (x[~again] for x in (key, cid, n, place))
         if not len(key):
             continue
         held = 0
         if pivot is not None and pivot[0] == key[0] and not pivot[4]:
-            key, cid, n, small = (np.concatenate(([v], x)) for v, x in zip(pivot[:4], (key, cid, n, small), strict=True))
+            key, cid, n, place = (np.concatenate(([v], x)) for v, x in zip(pivot[:4], (key, cid, n, place), strict=True))
         elif pivot is not None and pivot[0] == key[0]:
             held = 1  # the pivot has gone out with an earlier batch
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]).astype(np.int64))))
         of = cid[first].copy()
         of_n = n[first].copy()
+        of_place = place[first].copy()
         if held:
-            of[0], of_n[0] = pivot[1], pivot[2]
+            of[0], of_n[0], of_place[0] = pivot[1:4]
         sizes = np.diff(np.append(first, len(key)))
         sent = sizes[group] > 1
         if held:
             sent |= group == 0
         tail = first[-1]
         if not (held and len(first) == 1):
-            pivot = (key[tail], cid[tail], n[tail], small[tail], bool(sizes[-1] > 1))
+            pivot = (key[tail], cid[tail], n[tail], place[tail], bool(sizes[-1] > 1))
         if sent.any():
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(key[sent].astype(np.int64)),
                     pa.array(cid[sent].astype(np.int64)),
                     pa.array(n[sent].astype(np.int32)),
-                    pa.array(small[sent].astype(bool)),
+                    pa.array(place[sent].astype(np.int32)),
                     pa.array(of[group][sent].astype(np.int64)),
                     pa.array(of_n[group][sent].astype(np.int32)),
+                    pa.array(of_place[group][sent].astype(np.int32)),
                 ],
-                [*names, "pivot", "pivot_n"],
+                [*names, "pivot", "pivot_n", "pivot_place"],
             )
 
 
-def _near_in_size(percent: int, a: Column, b: Column) -> Column:
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+def _reachable(percent: int, n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
+    """Whether two sets that first meet in this region can be linked: they share this shingle and at most what follows
+    it in both. A pair that is linked passes in the first region that both are in, so no other test is needed."""
+    return F.least(n_a - place_a, n_b - place_b) * (100 + percent) >= (n_a + n_b) * percent
 
 
 # -- exact comparison -------------------------------------------------------------------------------
 
+#: Sets compared with one pivot in one group, on average.
+COMPARED = 4096
 
-def _blobs(width: int):
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _sent(width: int):
+    """From (text, cid, groups that need its set): rows (group's pivot, part, whether another set, class, set), once per task."""
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, seen = ["a", "part", "other", "b", "set"], set()
         for batch in batches:
-            own, blobs = [], []
-            for found in _sets(batch.column(0), width):
-                own.append(_class_of(found) if len(found) else None)
-                blobs.append(found.tobytes())
-                if len(own) >= 512:
-                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["cid", "set"])
-                    own, blobs = [], []
-            if own:
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["cid", "set"])
+            out, size = [[], [], [], [], []], 0
+            cids, groups = batch.column("cid").to_pylist(), batch.column("groups").to_pylist()
+            for cid, wanted, found in zip(cids, groups, _sets(batch.column("text"), width), strict=True):
+                if cid in seen:
+                    continue
+                seen.add(cid)
+                blob = found.tobytes()
+                for group in wanted:
+                    for column, value in zip(out, (group["a"], group["part"], cid != group["a"], cid, blob), strict=True):
+                        column.append(value)
+                    size += len(blob)
+                    if size > 4 << 20:
+                        yield _group_rows(out, names)
+                        out, size = [[], [], [], [], []], 0
+            yield _group_rows(out, names)
 
-    return read
+    return send
 
 
-def _overlap(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        both = []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both.append((int((y[at] == x).sum()), len(x) + len(y)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array([b[0] for b in both], pa.int64()), pa.array([b[1] for b in both], pa.int64())],
-            ["a", "b", "both", "sizes"],
-        )
+def _group_rows(out: list[list], names: list[str]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, purpose: str) -> DataFrame:
-    """Distinct pairs (``a``, ``b``) with the sizes of their intersection and of both sets."""
-    left = sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b")
-    return stored(mapped(joined, _overlap, "a long, b long, both long, sizes long"), purpose)
+def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows in the order (a, part, other): the pivot's set first, then every set to compare. One pivot is held."""
+    own, pivot = None, None
+    for batch in batches:
+        rows = []
+        for a, part, other, b, blob in zip(*(batch.column(c) for c in ("a", "part", "other", "b", "set")), strict=True):
+            found = np.frombuffer(blob.as_buffer(), np.uint64)
+            group = (a.as_py(), part.as_py())
+            if not other.as_py():
+                own, pivot = group, found.copy()
+            elif group == own:
+                x, y = (found, pivot) if len(found) <= len(pivot) else (pivot, found)
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                rows.append((group[0], b.as_py(), int((y[at] == x).sum()), len(x) + len(y)))
+            else:
+                raise ValueError("a pivot's set is missing")
+        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "both", "sizes"])
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) with the sizes of their intersection and of both sets.
+
+    Every set is made again from one of its texts and sent once to each pivot it is compared with. A pivot with
+    very many partners has several groups."""
+    pairs = stored(pairs, f"{purpose}-pairs")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("parts"))
+    group = lambda part: F.struct("a", part.cast("int").alias("part"))
+    partners = pairs.join(parts, "a").select(F.col("b").alias("cid"), group(F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"))
+    pivots = parts.select(F.col("a").alias("cid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("nth"))
+    pivots = pivots.select("cid", group(F.col("nth")).alias("group"))
+    needed = partners.unionByName(pivots).groupBy("cid").agg(F.collect_list("group").alias("groups"))
+    needed = stored(needed.join(one_text, "cid").select(F.col("best.digest").alias("digest"), F.col("best.id").alias("one"), "cid", "groups"), f"{purpose}-sets")
+    read = texts.join(sized(needed), (texts["digest"] == needed["digest"]) & texts["id"].eqNullSafe(needed["one"]))
+    sent = mapped(read.select("text", "cid", "groups"), _sent(width), "a long, part int, other boolean, b long, set binary")
+    dealt = sent.repartition("a", "part").sortWithinPartitions("a", "part", "other")
+    return stored(mapped(dealt, _overlaps, "a long, b long, both long, sizes long").distinct(), purpose)
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -331,26 +367,24 @@ def classes(docs: DataFrame, id_: str, text: str, width: int = WORDS) -> DataFra
     return mapped(rows, _described(width, 2), f"id {kind}, digest long, cid long, n_shingles long")
 
 
-def links(docs: DataFrame, text: str, described: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Links between classes that span every component: (``cid``, ``root``) for all classes with a partner."""
     texts = docs.select(named(docs, text).alias("text"))
     cells, sets = frequent_cells(texts, width)
-    windows = mapped(texts, _windows(width, percent, cells, sets), "key long, cid long, n int, small boolean")
+    windows = mapped(texts, _windows(width, percent, cells, sets), "key long, cid long, n int, place int")
     dealt = windows.repartition(F.col("key")).sortWithinPartitions("key", "n", "cid")
-    regions = stored(
-        mapped(dealt, _shared, "key long, cid long, n int, small boolean, pivot long, pivot_n int"), "regions"
-    )
-    one_text = described.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("digest").alias("digest"))
-    active = stored(one_text.join(regions.select("cid").distinct(), "cid", "left_semi").select("digest"), "active")
-    read = texts.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")))).join(sized(active), "digest", "left_semi")
-    blobs = stored(
-        mapped(read.dropDuplicates(["digest"]).select("text"), _blobs(width), "cid long, set binary"), "sets"
+    schema = "key long, cid long, n int, place int, pivot long, pivot_n int, pivot_place int"
+    regions = stored(mapped(dealt, _shared, schema), "regions")
+    # Each class is compared by one of its texts.
+    one_text = described.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min(F.struct("digest", "id")).alias("best"))
+    texts = docs.select(
+        named(docs, id_).alias("id"), named(docs, text).alias("text"), F.xxhash64(F.coalesce(named(docs, text), F.lit(""))).alias("digest")
     )
     # The pivot's distances: a star of comparisons in each region.
-    star = regions.where(
-        (F.col("cid") != F.col("pivot")) & _near_in_size(percent, F.col("n"), F.col("pivot_n"))
-    ).select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
-    near = _compared(star.distinct(), blobs, "pivot-distances")
+    reached = _reachable(percent, F.col("n"), F.col("place"), F.col("pivot_n"), F.col("pivot_place"))
+    star = regions.where((F.col("cid") != F.col("pivot")) & reached)
+    star = star.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
+    near = _compared(star, texts, one_text, width, "pivot-distances")
     roots = components(_linked(near, percent))
     # What is left of the regions: those that still hold several components.
     region = regions.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
@@ -360,23 +394,21 @@ def links(docs: DataFrame, text: str, described: DataFrame, width: int = WORDS,
     rest = region.join(mixed, "key", "left_semi").where(F.col("cid") != F.col("pivot")).join(
         near.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), distance), ["pivot", "cid"], "left"
     )
-    rest = stored(rest.select("key", "cid", "n", "small", "root", "distance"), "windows")
-    other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "small", "root", "distance")])
-    smaller = F.when(F.col("n") < F.col("n_b"), F.col("small")).when(F.col("n") > F.col("n_b"), F.col("small_b"))
+    rest = stored(rest.select("key", "cid", "n", "place", "root", "distance"), "windows")
+    other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root", "distance")])
     apart = F.coalesce(F.abs(F.col("distance") - F.col("distance_b")), F.lit(0.0))
     pairs = (
         rest.join(other, "key")
         .where(
             (F.col("root") < F.col("root_b"))
-            & F.coalesce(smaller, F.col("small") & F.col("small_b"))
-            & _near_in_size(percent, F.col("n"), F.col("n_b"))
+            & _reachable(percent, F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"))
             & (apart <= 1 - percent / 100 + 1e-9)
         )
         .select(F.least("cid", "cid_b").alias("a"), F.greatest("cid", "cid_b").alias("b"))
         .distinct()
     )
     done = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    far = _compared(stored(pairs.join(done, ["a", "b"], "left_anti"), "window-pairs"), blobs, "window-distances")
+    far = _compared(pairs.join(done, ["a", "b"], "left_anti"), texts, one_text, width, "window-distances")
     more = _linked(far, percent)
     if more.isEmpty():
         return roots
@@ -388,7 +420,7 @@ def join(docs: DataFrame, id_: str, text: str, width: int = WORDS, percent: int
     """One row per document: ``id``, ``digest`` of its text, ``n_shingles``, ``component_id`` (the smallest id that
     links reach) and ``root`` (one number for the component, null for the empty set)."""
     described = stored(classes(docs, id_, text, width), "shingle-classes")
-    roots = links(docs, text, described, width, percent)
+    roots = links(docs, id_, text, described, width, percent)
     full = described.where(F.col("cid").isNotNull())
     rooted = stored(
         full.join(roots, "cid", "left").select("id", "digest", "n_shingles", F.coalesce("root", "cid").alias("root")), "rooted"

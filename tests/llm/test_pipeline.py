@@ -1,0 +1,100 @@
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ebbtide.llm import decontaminate, quality, secret_scan
+from ebbtide.llm.frames import table
+from tests.conftest import DATA
+from tests.llm import cases
+from tests.llm.test_decontaminate import _words
+from tests.llm.test_jaccard import _expected as components
+from tests.llm.test_packing import _check
+from tests.llm.test_secret_scan import BASE
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What each stage of the registered run leaves, as lists of rows; the first is the input."""
+    docs, out = table(spark, DATA, "documents"), []
+    out.append(docs.collect())
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DATA).cache()
+        out.append(docs.collect())
+    return out
+
+
+def test_order_and_columns(spark, stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "n-gram Jaccard join", "benchmark decontamination", "secret scans", "best-fit packing"]
+    columns = table(spark, DATA, "documents").columns
+    assert all(rows[0].__fields__ == columns for rows in stages[:-1])
+
+
+def test_quality_keeps_the_clean(spark, stages):
+    labels = {r.doc_id: r.quality for r in table(spark, DATA, "labels").collect()}
+    kept = {r.doc_id for r in stages[1]}
+    good = [k for k, q in labels.items() if q == 1]
+    assert sum(k in kept for k in good) >= 0.97 * len(good)
+    docs, given = table(spark, DATA, "documents"), table(spark, DATA, "labels")
+    scored = quality.score(docs, "doc_id", "text", docs["source"], docs["lang"], {"doc_id": docs["doc_id"]}, given, "doc_id", "quality")
+    assert kept == {r.doc_id for r in scored.where(F.col("quality") >= quality.KEEP).collect()}
+
+
+def test_one_of_each_group_stays(stages):
+    found = components([(r.doc_id, r.text) for r in stages[1]])
+    assert sorted(r.doc_id for r in stages[2]) == sorted({c for _, n, c in found if n} | {k for k, n, _ in found if not n})
+
+
+def test_no_test_items_stay(spark, stages):
+    items = [_words(r.text) for r in table(spark, DATA, "benchmark").collect()]
+
+    def holds(text):
+        words = _words(text)
+        return any(len(i) and len(words) and decontaminate.align(words, i)[0] >= decontaminate.SCORE * decontaminate.MATCH * len(i) for i in items)
+
+    assert sorted(r.doc_id for r in stages[3]) == sorted(r.doc_id for r in stages[2] if not holds(r.text))
+
+
+def test_live_credentials_are_masked(stages):
+    spans = {}
+    for r in stages[3]:
+        found = [(m.start(), m.end(), m[2] if kind == "assign" else m[0]) for kind, p, good in BASE for m in p.finditer(r.text or "") if good(m)]
+        spans[r.doc_id] = (r, sorted(found))
+    owners = {}
+    for r, found in spans.values():
+        for _, _, value in found:
+            owners.setdefault(value, set()).add(r.source)
+    fixed = {r.doc_id: r for r in stages[4]}
+    assert len(fixed) == len(stages[4]) == len(stages[3])
+    for key, (r, found) in spans.items():
+        text, at = "", 0
+        for start, end, value in found:
+            if len(owners[value]) < secret_scan.WIDELY and len(set(value)) >= secret_scan.VARIED and any(c.isdigit() for c in value if c.isascii()):
+                if start >= at:
+                    text += (r.text or "")[at:start] + secret_scan.MASK
+                at = max(at, end)
+        text = text + r.text[at:] if r.text is not None else None
+        assert fixed[key].text == text and fixed[key].n_chars == len(text or "")
+
+
+def test_the_rest_is_packed(stages):
+    used, least = _check(stages[5], [(r.doc_id, r.text) for r in stages[4]], 1024)
+    assert used <= 1.05 * least + 2
+
+
+def test_the_registered_run_gives_the_same(spark, stages):
+    found = corpus_pipeline.run(spark, DATA).collect()
+    assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in found) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in stages[5])
+
+
+def test_awkward_rows_and_an_empty_table_pass_through(spark):
+    docs = cases.messy(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DATA).cache()
+        assert docs.columns == cases.messy(spark).columns
+    packed = corpus_pipeline.best_fit_packing(spark, docs, DATA)
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    docs = cases.messy(spark).where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DATA)
+        assert docs.collect() == []
