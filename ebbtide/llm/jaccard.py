@@ -40,7 +40,7 @@ PERCENT = 75
 #: keeps this many of them at most (8 bytes each).
 CELL_BITS, FREQUENT, KEPT = 32, 24, 200_000
 #: Shingles that a task gathers before it sends their cells on.
-GATHERED = 4_000_000
+GATHERED = 2_000_000
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -181,8 +181,9 @@ def _windows(width: int, percent: int, cells: np.ndarray, sets: np.ndarray):
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in the order (key, n, cid): those of keys with two distinct classes or more, with the region's
-    pivot, its first class. A region's rows pass one by one; only its first is held."""
+    """From rows in the order (key, place, cid): those of keys with two distinct classes or more, with the region's
+    pivot, its first class. That is the set with the fewest rarer shingles, so in a group of near copies the one with the
+    fewest words of its own: it is close to most others, and the same one in most of the group's regions. A region's rows pass one by one; only its first is held."""
     names = ["key", "cid", "n", "place"]
     last = None  # key and class of the row before this batch
     pivot = None  # (key, cid, n, place, whether it was sent)
@@ -372,7 +373,7 @@ def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int
     texts = docs.select(named(docs, text).alias("text"))
     cells, sets = frequent_cells(texts, width)
     windows = mapped(texts, _windows(width, percent, cells, sets), "key long, cid long, n int, place int")
-    dealt = windows.repartition(F.col("key")).sortWithinPartitions("key", "n", "cid")
+    dealt = windows.repartition(F.col("key")).sortWithinPartitions("key", "place", "cid")
     schema = "key long, cid long, n int, place int, pivot long, pivot_n int, pivot_place int"
     regions = stored(mapped(dealt, _shared, schema), "regions")
     # Each class is compared by one of its texts.

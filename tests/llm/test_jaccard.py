@@ -88,12 +88,12 @@ def test_regions_across_batches(spark):
     rng = np.random.default_rng(0)
     key = np.sort(rng.integers(0, 60, 400))
     rows_ = sorted({(int(k), int(rng.integers(0, 5)), int(rng.integers(0, 12))) for k in key})
-    rows_ = sorted((k, c % 4, c) for k, _, c in rows_ + rows_[::3])  # repeated classes too
+    rows_ = sorted(((k, c % 4, c) for k, _, c in rows_ + rows_[::3]), key=lambda r: (r[0], r[2]))  # repeated classes too
     expected = []
     for k in {r[0] for r in rows_}:
-        members = sorted({(r[1], r[2]) for r in rows_ if r[0] == k})
+        members = sorted({(r[2], r[1]) for r in rows_ if r[0] == k})
         if len(members) > 1:
-            expected += [(k, c, n, members[0][1], members[0][0]) for n, c in members]
+            expected += [(k, c, n, *members[0]) for c, n in members]
     for size in (1, 2, 3, 7, 1000):
         batches = [
             pa.RecordBatch.from_arrays(
