@@ -63,11 +63,12 @@ def units(text: Column) -> Column:
 
 
 def weighed(texts: DataFrame) -> DataFrame:
-    """(``unit``, ``license``, ``cosine``) of every distinct unit of rows (``unit``, ``copies``) that reaches the cosine."""
+    """(``unit``, ``license``, ``cosine``) of every distinct unit of rows (``unit``, ``statement``, ``copies``) that reaches the
+    cosine. ``unit`` is a digest: the text itself goes no further than to its words."""
     spark = texts.sparkSession
     templates = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(TEMPLATES)], "template int, license string, statement string")
     terms = stored(
-        texts.select("unit", "copies", F.explode(_words(F.col("unit"))).alias("term"))
+        texts.select("unit", "copies", F.explode(_words(F.col("statement"))).alias("term"))
         .groupBy("unit", "copies", "term").agg(F.count("*").alias("tf")),
         "license-terms",
     )
@@ -81,12 +82,10 @@ def weighed(texts: DataFrame) -> DataFrame:
         .groupBy("term").agg(F.sum("copies").alias("df"))
     )
     often = often.select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("df"))) + 1).alias("idf"))
-    often = stored(often, "license-idf")
     weight = (F.col("tf") * F.col("idf")).alias("weight")
     own = terms.join(often, "term").select("unit", "term", weight)
     # A few hundred rows: the templates are fixed.
     theirs = F.broadcast(template_terms).join(often, "term").select("template", "license", "term", weight)
-    theirs = stored(theirs, "license-templates")
     norms = own.groupBy("unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     sides = theirs.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("side"))
     dots = own.join(F.broadcast(theirs.withColumnRenamed("weight", "other")), "term").groupBy("unit", "template", "license").agg(
@@ -126,11 +125,15 @@ def scan(files: DataFrame, path: Column, text: str, keep: list[str]) -> DataFram
     some = rows.where(F.size("units") > 0).withColumn("list", F.sha2(F.array_join("units", "\n"), 256))
     # Each distinct list of units, and each distinct unit, is looked at once.
     lists = stored(some.groupBy("list").agg(F.first("units").alias("units"), F.count("*").alias("copies")), "license-lists")
-    each = lists.select("list", "copies", F.explode("units").alias("unit"))
-    judged = weighed(each.groupBy("unit").agg(F.sum("copies").alias("copies")))
+    each = lists.select("list", "copies", F.explode("units").alias("statement"))
+    each = each.withColumn("unit", F.unhex(F.md5("statement")))
+    # A unit's text travels once per task that has it.
+    distinct = each.groupBy("unit").agg(F.sum("copies").alias("copies"), F.first("statement").alias("statement"))
+    judged = weighed(stored(distinct, "license-distinct"))
+    each = each.select("list", "unit", F.length("statement").alias("size"))
     best = (
         each.join(judged, "unit").groupBy("list")
-        .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "license", (-F.length("unit")).alias("size"))).alias("best"))
+        .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "license", (-F.col("size")).alias("size"))).alias("best"))
         .select("list", F.col("best.license").alias("own_license"), (-F.col("best.minus")).alias("cosine"), (-F.col("best.size")).alias("size"))
     )
     none = rows.where(F.size("units") == 0).select(
