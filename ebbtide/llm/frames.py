@@ -26,7 +26,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     This cuts the lineage: a lost executor costs the tasks it ran and not the steps before.
     """
     path = working_folder(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -129,7 +129,7 @@ def scan(files: DataFrame, path: Column, text: str, keep: list[str]) -> DataFram
     each = each.withColumn("unit", F.unhex(F.md5("statement")))
     # A unit's text travels once per task that has it.
     distinct = each.groupBy("unit").agg(F.sum("copies").alias("copies"), F.first("statement").alias("statement"))
-    judged = weighed(stored(distinct, "license-distinct"))
+    judged = weighed(distinct)
     each = each.select("list", "unit", F.length("statement").alias("size"))
     best = (
         each.join(judged, "unit").groupBy("list")
