@@ -5,7 +5,6 @@ from __future__ import annotations
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable
-from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,16 +29,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@lru_cache(maxsize=8)
-def _ship(application: str) -> None:
-    package = Path(__file__).resolve().parents[1]
-    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
-    SparkSession.getActiveSession().sparkContext.addPyFile(archive)
+_shipped: set[str] = set()
 
 
 def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow``, after Spark has been given this package for its Python workers."""
-    _ship(df.sparkSession.sparkContext.applicationId)
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
     return df.mapInArrow(function, schema)
 
 
