@@ -1,8 +1,11 @@
 """Approximate nearest neighbours by inner product: cross-polytope hashing with several probes.
 
-Vectors are scaled by the largest norm and get one more coordinate that makes them unit vectors; the query's extra
-coordinate is 0. That turns the largest inner product into the smallest angle. Each table applies its own
-pseudo-rotation (three rounds of random signs and a fast Hadamard transform) and puts a vector
+Vectors are split into ranges of doubling norms. Within a range they are scaled by its largest norm and get one more
+coordinate that makes them unit vectors; the query's extra coordinate is 0. That turns the largest inner product into the
+smallest angle, and keeps the extra coordinate small whatever other norms there are. A query probes every range that can
+still hold a better score. Ranges of few vectors are not hashed: every query is compared with all of theirs.
+
+Each table applies its own pseudo-rotation (three rounds of random signs and a fast Hadamard transform) and puts a vector
 into the bucket of its nearest signed axis. A query probes, in each table, the buckets of the axes
 nearest to it, and what the buckets hold is ranked by the exact inner product of the original vectors.
 
@@ -37,6 +40,9 @@ TABLES, FIRST, PROBED = 10, 0.02, 0.12
 SEED = 20_240_601
 #: Vectors in a cell, and queries in a block, on average.
 CELL, QUERIES = 8192, 2048
+#: A range of norms with so many vectors at most is compared as a whole. Such ranges share one bucket of the first table.
+WHOLE = 1024
+POOL, ALL = 1 << 20, -1
 
 
 def padded(dimension: int) -> int:
@@ -101,30 +107,40 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bucketed(tables: int, largest: float):
+def _bucketed(tables: int, largest: dict[int, float]):
+    """(table, range, bucket) of each vector; ``largest`` has the largest norms of the ranges that are hashed."""
+
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unit(_matrix(batch.column("vector")), largest, query=False)
-            for table in range(tables):
-                bucket = axes(x, table).argmax(axis=1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), table, np.int32)), pa.array(bucket), batch.column("entry"), batch.column("vector")],
-                    ["table", "bucket", "entry", "vector"],
-                )
+            norms = batch.column("range").to_numpy()
+            for level in np.unique(norms).tolist():
+                some = batch.take(pa.array(np.flatnonzero(norms == level)))
+                level, within = (level, tables) if level in largest else (POOL, 1)
+                x = unit(_matrix(some.column("vector")), largest[level], query=False) if level != POOL else None
+                for table in range(within):
+                    bucket = np.full(some.num_rows, ALL) if x is None else axes(x, table).argmax(axis=1)
+                    place = [np.full(some.num_rows, table), np.full(some.num_rows, level), bucket]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(p.astype(np.int32)) for p in place), some.column("entry"), some.column("vector")],
+                        ["table", "range", "bucket", "entry", "vector"],
+                    )
 
     return assign
 
 
 def _probes(tables: int, begin: int, end: int):
-    """(table, bucket, query) for the nearest axes from the ``begin``-th to the ``end``-th."""
+    """(table, bucket, query) for the nearest axes from the ``begin``-th to the ``end``-th. What is
+    compared as a whole comes with the first of them."""
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = unit(_matrix(batch.column("vector")), 1.0, query=True)
+            if begin == 0:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), n, np.int32)) for n in (0, ALL)] + [batch.column("query")], ["table", "bucket", "query"]
+                )
             for table in range(tables):
                 near = np.argsort(-axes(x, table), axis=1, kind="stable")[:, begin:end].astype(np.int32)
                 rows = np.repeat(np.arange(len(x)), near.shape[1])
@@ -197,7 +213,7 @@ def search(
     packed = mapped(rows, _packed, "id long, vector binary, norm double")
     packed = stored(packed, "vectors")
     # The length that most vectors have; others take no part.
-    lengths = packed.groupBy(F.octet_length("vector").alias("bytes")).agg(F.count("*").alias("n"), F.max("norm").alias("largest"))
+    lengths = packed.groupBy(F.octet_length("vector").alias("bytes")).agg(F.count("*").alias("n"))
     usual = lengths.orderBy(F.desc("n"), "bytes").first()
     empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
     if usual is None:
@@ -207,18 +223,24 @@ def search(
     # Entries are distinct vectors, numbered by their smallest id. An answer needs k ids of one and another k for its query.
     own = Window.partitionBy("vector").orderBy("id")
     members = packed.dropDuplicates(["vector", "id"]).withColumn("nth", F.row_number().over(own)).where(F.col("nth") <= k + 1)
-    entries = packed.groupBy("vector").agg(F.min("id").alias("entry"))
+    # Norms around a power of two share a range, so that those of unit vectors do.
+    level = F.floor(F.log2(F.max("norm")) + 0.5).cast("int")
+    entries = packed.groupBy("vector").agg(F.min("id").alias("entry"), F.max("norm").alias("norm"), level.alias("range"))
     entries = stored(entries, "entries")
     # Several vectors may have the same smallest id if ids repeat.
     entries = entries.withColumn("entry", F.xxhash64("entry", "vector"))
     members = stored(members.select(F.xxhash64(F.min("id").over(Window.partitionBy("vector")), "vector").alias("entry"), "id", "vector"), "members")
     asking = packed.where(is_query(F.col("id"))).select("id", "vector").distinct()
-    asking = stored(asking.join(entries, "vector").select(F.col("id").alias("query_id"), F.col("entry").alias("query"), "vector"), "queries")
-    queries = stored(asking.groupBy("query").agg(F.first("vector").alias("vector")), "query-vectors")
-
-    index = mapped(entries.select("entry", "vector"), _bucketed(tables, usual["largest"]), "table int, bucket int, entry long, vector binary")
+    asking = stored(asking.join(entries, "vector").select(F.col("id").alias("query_id"), F.col("entry").alias("query"), "vector", "norm"), "queries")
+    queries = stored(asking.groupBy("query").agg(F.first("vector").alias("vector"), F.first("norm").alias("norm")), "query-vectors")
+
+    # A double's norm is in one of about 2,100 ranges.
+    ranges = entries.groupBy("range").agg(F.max("norm").alias("largest"), F.count("*").alias("n")).where(F.col("n") > WHOLE).collect()
+    largest = {r["range"]: r["largest"] for r in ranges}
+    placed = "table int, range int, bucket int, entry long, vector binary"
+    index = mapped(entries.select("range", "entry", "vector"), _bucketed(tables, largest), placed)
     index = stored(index, "index")
-    held = index.groupBy("table", "bucket").agg(F.count("*").alias("held"))
+    held = index.groupBy("table", "range", "bucket").agg(F.count("*").alias("held"))
     per_cell = max(1, CELL * buckets // max(1, entries.count()))  # buckets in a cell, if they are small
     parts = F.ceil(F.col("held") / CELL).cast("int")
     cell = F.floor(F.col("bucket") / per_cell).cast("int")
@@ -226,20 +248,27 @@ def search(
     def round_(begin: int, end: int, bound: DataFrame | None) -> DataFrame:
         """One round of probes: dealt to cells, ranked there."""
         asked = mapped(queries, _probes(tables, begin, end), "table int, bucket int, query long")
-        asked = asked.join(held, ["table", "bucket"]).select("table", "bucket", "query", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-        dealt = asked.groupBy("table", cell.alias("cell"), "part").agg(F.approx_count_distinct("query").alias("asking"))
-        dealt = dealt.select("table", "cell", "part", F.ceil(F.col("asking") / QUERIES).cast("int").alias("blocks"))
-        asked = asked.withColumn("cell", cell).join(dealt, ["table", "cell", "part"])
+        asked = asked.join(held, ["table", "bucket"])
+        if bound is not None and len(largest) > 1:
+            # A score is at most the product of the norms.
+            reach = F.col("norm") * F.pow(F.lit(2.0), F.col("range") + 0.5) * (1 + 1e-6)
+            limits = queries.select("query", "norm").join(bound, "query")
+            asked = asked.join(limits, "query", "left").where(F.col("bound").isNull() | (F.col("bound") <= reach))
+        # The alias tells the column from the index's own in the join of cells.
+        asked = asked.select("table", F.col("range").alias("range"), "bucket", "query", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        dealt = asked.groupBy("table", "range", cell.alias("cell"), "part").agg(F.approx_count_distinct("query").alias("asking"))
+        dealt = dealt.select("table", "range", "cell", "part", F.ceil(F.col("asking") / QUERIES).cast("int").alias("blocks"))
+        asked = asked.withColumn("cell", cell).join(dealt, ["table", "range", "cell", "part"])
         asked = asked.withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int"))
-        asked = asked.groupBy("table", "cell", "part", "block", "query").agg(F.collect_list("bucket").alias("buckets"))
-        asked = asked.join(queries, "query")
+        keys = ["table", "range", "cell", "part", "block"]
+        asked = asked.groupBy(*keys, "query").agg(F.collect_list("bucket").alias("buckets"))
+        asked = asked.join(queries.select("query", "vector"), "query")
         asked = asked.join(bound, "query", "left") if bound is not None else asked.withColumn("bound", F.lit(None).cast("double"))
-        asked = asked.select("table", "cell", "part", "block", "buckets", "query", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
-        there = index.join(held, ["table", "bucket"]).select(
-            "table", cell.alias("cell"), F.pmod(F.xxhash64("entry"), parts).cast("int").alias("part"), "bucket", "entry", "vector"
+        asked = asked.select(*keys, "buckets", "query", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
+        there = index.join(held, ["table", "range", "bucket"]).select(
+            "table", "range", cell.alias("cell"), F.pmod(F.xxhash64("entry"), parts).cast("int").alias("part"), "bucket", "entry", "vector"
         )
-        there = there.join(dealt, ["table", "cell", "part"]).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        keys = ["table", "cell", "part", "block"]
+        there = there.join(dealt, ["table", "range", "cell", "part"]).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         cells = there.groupBy(*keys).cogroup(asked.groupBy(*keys))
         return _best(cells.applyInArrow(_ranked(k + 1), "query long, entry long, score double"), k + 1)
 

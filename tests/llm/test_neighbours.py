@@ -59,6 +59,22 @@ def test_recall_with_norms_that_differ(spark):
     _check(found, _exact(rows, lambda i: i % 30 == 0, 10), 0.9)
 
 
+@pytest.mark.parametrize("lengths", ["one 100 times as long", "lognormal(1)"])
+@pytest.mark.parametrize("whole", [0, neighbours.WHOLE])
+def test_recall_with_skewed_norms(spark, monkeypatch, lengths, whole):
+    monkeypatch.setattr(neighbours, "WHOLE", whole)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    if lengths == "lognormal(1)":
+        x *= rng.lognormal(0, 1, size=(4000, 1))
+    else:
+        x[1234] *= 100
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(4)
+    found = neighbours.search(df, "id", "v", lambda i: i % 40 == 0, 20).collect()
+    _check(found, _exact(rows, lambda i: i % 40 == 0, 20), 0.9)
+
+
 def test_overfull_buckets_and_many_queries_are_split(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "CELL", 20)
     monkeypatch.setattr(neighbours, "QUERIES", 5)
