@@ -16,12 +16,14 @@ A table's buckets are dealt to cells of bounded size: an overfull bucket is spli
 and many queries on one cell are split into blocks. Within a cell the inner products are one matrix
 product. A first round over the nearest buckets gives each query its provisional k-th score; the
 second, over the other probes, passes on only what beats it. So what is passed on stays close to
-k per query and table, whatever the buckets hold.
+k per query and table, whatever the buckets hold. Queries that still lack candidates get a third round: all
+buckets of the first table, which hold every vector.
 
 Defined results: vectors that are null, zero or of another length than the first, or hold null or
 non-finite components, take no part, neither as queries nor as candidates. Rows with a null id take no part.
 Ties in the score go to the smaller id. Repeated rows with the same id count once per distinct vector.
-A query with fewer candidates in its buckets than asked for gets those. An empty table gives an empty result.
+A query whose probes hold fewer candidates than asked for is compared with all vectors; there are fewer rows only if there
+are fewer candidates. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -245,7 +247,7 @@ def search(
     parts = F.ceil(F.col("held") / CELL).cast("int")
     cell = F.floor(F.col("bucket") / per_cell).cast("int")
 
-    def round_(begin: int, end: int, bound: DataFrame | None) -> DataFrame:
+    def round_(queries: DataFrame, tables: int, begin: int, end: int, bound: DataFrame | None) -> DataFrame:
         """One round of probes: dealt to cells, ranked there."""
         asked = mapped(queries, _probes(tables, begin, end), "table int, bucket int, query long")
         asked = asked.join(held, ["table", "bucket"])
@@ -274,11 +276,17 @@ def search(
 
     near = max(1, round(first * buckets))
     far = min(buckets, max(near + 1, round(probed * buckets)))
-    early = stored(round_(0, near, None), "early")
+    early = stored(round_(queries, tables, 0, near, None), "early")
     bound = early.groupBy("query").agg(F.min("score").alias("bound"), F.count("*").alias("n")).where(F.col("n") > k).select("query", "bound")
-    late = round_(near, far, bound)
+    late = round_(queries, tables, near, far, bound)
     best = _best(early.select("query", "entry", "score").unionByName(late.select("query", "entry", "score")), k + 1)
     best = stored(best, "best-entries")
+    enough = best.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k).select("query")
+    short = stored(queries.join(enough, "query", "left_anti"), "short-queries")
+    if largest and not short.isEmpty():
+        whole = round_(short, 1, 0, buckets, None)
+        full = best.join(short.select("query"), "query", "left_anti").select("query", "entry", "score")
+        best = stored(full.unionByName(whole.select("query", "entry", "score")), "filled-entries")
     # From entries to rows: at most k + 1 ids each, without the query's own.
     answers = (
         asking.select("query_id", "query").join(best, "query").join(members.select("entry", "id"), "entry")

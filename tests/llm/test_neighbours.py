@@ -101,6 +101,24 @@ def test_awkward_rows(spark):
     assert [r.id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 2][:8] != []
 
 
+@pytest.mark.parametrize("n", [21, 41])
+@pytest.mark.parametrize("whole", [0, neighbours.WHOLE])
+def test_small_tables_are_answered_in_full(spark, monkeypatch, n, whole):
+    """With the registered parameters; where small tables are hashed too, the lists are full all the same."""
+    monkeypatch.setattr(neighbours, "WHOLE", whole)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(n).normal(size=(n, 64)))]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(2)
+    found = neighbours.search(df, "id", "v", lambda i: i % 20 == 0, 20).collect()
+    assert len(found) == len(range(0, n, 20)) * min(20, n - 1)
+    _check(found, _exact(rows, lambda i: i % 20 == 0, 20), 1.0 if whole or n <= 21 else 0.0)
+
+
+def test_awkward_rows_with_the_registered_parameters(spark):
+    df = spark.createDataFrame(AWKWARD, "id long, v array<double>").repartition(3)
+    found = neighbours.search(df, "id", "v", lambda i: i % 2 == 0, 20).collect()
+    _check(found, _exact(AWKWARD, lambda i: i % 2 == 0, 20))
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "id long, v array<float>")
     found = neighbours.search(df, "id", "v", lambda i: i == 0, 20, probed=1.0).collect()
