@@ -45,6 +45,8 @@ CELL, QUERIES = 8192, 2048
 #: A range of norms with so many vectors at most is compared as a whole. Such ranges share one bucket of the first table.
 WHOLE = 1024
 POOL, ALL = 1 << 20, -1
+#: Pairs of vectors whose exact products are taken at once.
+PAIRS = 1 << 16
 
 
 def padded(dimension: int) -> int:
@@ -123,8 +125,8 @@ def _bucketed(tables: int, largest: dict[int, float]):
                     bucket = np.full(some.num_rows, ALL) if x is None else axes(x, table).argmax(axis=1)
                     place = [np.full(some.num_rows, table), np.full(some.num_rows, level), bucket]
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(p.astype(np.int32)) for p in place), some.column("entry"), some.column("vector")],
-                        ["table", "range", "bucket", "entry", "vector"],
+                        [*(pa.array(p.astype(np.int32)) for p in place), some.column("entry"), some.column("least"), some.column("vector")],
+                        ["table", "range", "bucket", "entry", "least", "vector"],
                     )
 
     return assign
@@ -156,14 +158,14 @@ def _probes(tables: int, begin: int, end: int):
 
 def _ranked(k: int):
     def rank(_: tuple, entries: pa.Table, queries: pa.Table) -> pa.Table:
-        """The best of a cell for each of its queries: ``k``, and only what reaches the query's bound."""
-        found = [[], [], []]
+        """The best of a cell for each of its queries: ``k``, and only what reaches the query's bound. Ties go to the smaller id."""
+        found = [[], [], [], []]
         if entries.num_rows and queries.num_rows:
-            entry = entries.column("entry").to_numpy()
+            entry, least = entries.column("entry").to_numpy(), entries.column("least").to_numpy()
             x = _matrix(entries.column("vector").combine_chunks())
             bucket = entries.column("bucket").to_numpy()
             order = np.argsort(bucket, kind="stable")
-            entry, x, bucket = entry[order], x[order], bucket[order]
+            entry, least, x, bucket = entry[order], least[order], x[order], bucket[order]
             lists = queries.column("buckets").combine_chunks()
             asked = lists.flatten().to_numpy()
             whose = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
@@ -183,19 +185,26 @@ def _ranked(k: int):
                     else:
                         kth = np.full(len(q), -np.inf)
                     row, column = np.nonzero(scores >= np.maximum(kth, bound[some])[:, None] - slack)
-                    found[0].append(query[some][row])
-                    found[1].append(entry[low:high][column])
-                    found[2].append(np.einsum("ij,ij->i", q[row], x[low:high][column]))
-        columns = [np.concatenate(f) if f else np.zeros(0, t) for f, t in zip(found, (np.int64, np.int64, float), strict=True)]
-        return pa.table(dict(zip(("query", "entry", "score"), columns, strict=True)))
+                    exact = np.concatenate([
+                        np.einsum("ij,ij->i", q[row[i : i + PAIRS]], x[low + column[i : i + PAIRS]]) for i in range(0, len(row) or 1, PAIRS)
+                    ])
+                    best = np.lexsort((entry[low + column], least[low + column], -exact, row))
+                    row, column, exact = row[best], column[best], exact[best]
+                    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+                    found[0].append(query[some][row[kept]])
+                    found[1].append(entry[low + column[kept]])
+                    found[2].append(least[low + column[kept]])
+                    found[3].append(exact[kept])
+        columns = [np.concatenate(f) if f else np.zeros(0, t) for f, t in zip(found, (np.int64, np.int64, np.int64, float), strict=True)]
+        return pa.table(dict(zip(("query", "entry", "least", "score"), columns, strict=True)))
 
     return rank
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The best ``k`` distinct entries of each query."""
-    once = found.groupBy("query", "entry").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    once = found.groupBy("query", "entry").agg(F.max("score").alias("score"), F.min("least").alias("least"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "least", "entry")
     return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
@@ -230,7 +239,7 @@ def search(
     entries = packed.groupBy("vector").agg(F.min("id").alias("entry"), F.max("norm").alias("norm"), level.alias("range"))
     entries = stored(entries, "entries")
     # Several vectors may have the same smallest id if ids repeat.
-    entries = entries.withColumn("entry", F.xxhash64("entry", "vector"))
+    entries = entries.withColumn("least", F.col("entry")).withColumn("entry", F.xxhash64("entry", "vector"))
     members = stored(members.select(F.xxhash64(F.min("id").over(Window.partitionBy("vector")), "vector").alias("entry"), "id", "vector"), "members")
     asking = packed.where(is_query(F.col("id"))).select("id", "vector").distinct()
     asking = stored(asking.join(entries, "vector").select(F.col("id").alias("query_id"), F.col("entry").alias("query"), "vector", "norm"), "queries")
@@ -239,8 +248,8 @@ def search(
     # A double's norm is in one of about 2,100 ranges.
     ranges = entries.groupBy("range").agg(F.max("norm").alias("largest"), F.count("*").alias("n")).where(F.col("n") > WHOLE).collect()
     largest = {r["range"]: r["largest"] for r in ranges}
-    placed = "table int, range int, bucket int, entry long, vector binary"
-    index = mapped(entries.select("range", "entry", "vector"), _bucketed(tables, largest), placed)
+    placed = "table int, range int, bucket int, entry long, least long, vector binary"
+    index = mapped(entries.select("range", "entry", "least", "vector"), _bucketed(tables, largest), placed)
     index = stored(index, "index")
     held = index.groupBy("table", "range", "bucket").agg(F.count("*").alias("held"))
     per_cell = max(1, CELL * buckets // max(1, entries.count()))  # buckets in a cell, if they are small
@@ -268,25 +277,25 @@ def search(
         asked = asked.join(bound, "query", "left") if bound is not None else asked.withColumn("bound", F.lit(None).cast("double"))
         asked = asked.select(*keys, "buckets", "query", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
         there = index.join(held, ["table", "range", "bucket"]).select(
-            "table", "range", cell.alias("cell"), F.pmod(F.xxhash64("entry"), parts).cast("int").alias("part"), "bucket", "entry", "vector"
+            "table", "range", cell.alias("cell"), F.pmod(F.xxhash64("entry"), parts).cast("int").alias("part"), "bucket", "entry", "least", "vector"
         )
         there = there.join(dealt, ["table", "range", "cell", "part"]).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         cells = there.groupBy(*keys).cogroup(asked.groupBy(*keys))
-        return _best(cells.applyInArrow(_ranked(k + 1), "query long, entry long, score double"), k + 1)
+        return _best(cells.applyInArrow(_ranked(k + 1), "query long, entry long, least long, score double"), k + 1)
 
     near = max(1, round(first * buckets))
     far = min(buckets, max(near + 1, round(probed * buckets)))
     early = stored(round_(queries, tables, 0, near, None), "early")
     bound = early.groupBy("query").agg(F.min("score").alias("bound"), F.count("*").alias("n")).where(F.col("n") > k).select("query", "bound")
     late = round_(queries, tables, near, far, bound)
-    best = _best(early.select("query", "entry", "score").unionByName(late.select("query", "entry", "score")), k + 1)
+    best = _best(early.select("query", "entry", "least", "score").unionByName(late.select("query", "entry", "least", "score")), k + 1)
     best = stored(best, "best-entries")
     enough = best.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k).select("query")
     short = stored(queries.join(enough, "query", "left_anti"), "short-queries")
     if largest and not short.isEmpty():
         whole = round_(short, 1, 0, buckets, None)
-        full = best.join(short.select("query"), "query", "left_anti").select("query", "entry", "score")
-        best = stored(full.unionByName(whole.select("query", "entry", "score")), "filled-entries")
+        full = best.join(short.select("query"), "query", "left_anti").select("query", "entry", "least", "score")
+        best = stored(full.unionByName(whole.select("query", "entry", "least", "score")), "filled-entries")
     # From entries to rows: at most k + 1 ids each, without the query's own.
     answers = (
         asking.select("query_id", "query").join(best, "query").join(members.select("entry", "id"), "entry")

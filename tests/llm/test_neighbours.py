@@ -119,6 +119,16 @@ def test_awkward_rows_with_the_registered_parameters(spark):
     _check(found, _exact(AWKWARD, lambda i: i % 2 == 0, 20))
 
 
+def test_ties_at_the_cut_go_to_the_smaller_id(spark):
+    """The query and 60 distinct vectors that tie with each other, far more than are asked for."""
+    rows = [(i, [1.0, *(float(n) for n in np.eye(64)[i])]) for i in range(61)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(4)
+    found = neighbours.search(df, "id", "v", lambda i: i % 30 == 0, 20, probed=1.0).collect()
+    for q in (0, 30, 60):
+        mine = [(r.id, r.score) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q]
+        assert mine == [(i, 1.0) for i in range(61) if i != q][:20]
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "id long, v array<float>")
     found = neighbours.search(df, "id", "v", lambda i: i == 0, 20, probed=1.0).collect()
