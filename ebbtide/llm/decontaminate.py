@@ -13,7 +13,8 @@ The score is the alignment's share of the best that the item could reach, 0 to 1
 Words are runs of letters and digits in lower case (ASCII letters; other characters are kept as they are).
 Defined results: null and empty texts hold no item. Items with fewer words than a seed have themselves as
 their only seed; items without words are never found. Repeated items are found each under their id,
-repeated documents each get their rows. Without items, or without documents, nothing is found.
+repeated documents each get their rows. Items with a null id have no id to be found under in ``find``; ``clean`` removes their
+copies like all others'. Without items, or without documents, nothing is found.
 """
 
 from __future__ import annotations
@@ -272,6 +273,10 @@ def clean(docs: DataFrame, text: str, benchmark: DataFrame, **options) -> DataFr
     """``docs`` without the rows whose text holds a test item; all columns stay."""
     digest = fresh(docs.columns, "_digest")
     keyed = docs.withColumn(digest, F.xxhash64(F.coalesce(named(docs, text), F.lit(""))))
-    found = find(keyed, text, [digest], benchmark, **options)
+    # Only the texts count here: items get ids of their own, so that those without one are looked for too.
+    options.pop("item_id", None)
+    given = named(benchmark, options.pop("item_text", "text")).alias("text")
+    items = benchmark.select(given).distinct().select(F.monotonically_increasing_id().alias("item_id"), "text")
+    found = find(keyed, text, [digest], items, **options)
     gone = stored(found.select(F.col("keep_0").alias(digest)).distinct(), "found-digests")
     return keyed.join(sized(gone), digest, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

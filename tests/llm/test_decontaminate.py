@@ -103,6 +103,14 @@ def test_awkward_rows(spark, empty):
     assert decontaminate.clean(empty, "text", benchmark).collect() == []
 
 
+def test_copies_of_items_without_an_id_go(spark):
+    texts = [(1, "see alpha beta gamma delta epsilon there"), (2, "nothing of the kind is in this one")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, "alpha beta gamma delta epsilon")], "key long, body string")
+    kept = decontaminate.clean(docs, "text", benchmark, item_id="key", item_text="body")
+    assert [r.doc_id for r in kept.collect()] == [2]
+
+
 @pytest.mark.parametrize("name", ["op9_benchmark_decontamination"])
 def test_query(spark, name):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
