@@ -22,6 +22,11 @@ def spaced_words() -> np.ndarray:
     return _distinct(table, {32, *range(9, 14)})
 
 
+def exact_words() -> np.ndarray:
+    """Byte table: white space (space, tab to carriage return) is 0, all else as it is."""
+    return _distinct(np.arange(256, dtype=np.uint8), {32, *range(9, 14)})
+
+
 def plain_words() -> np.ndarray:
     """Byte table: every ASCII byte but letters and digits is 0, A-Z are lower case."""
     table = np.arange(256, dtype=np.uint8)

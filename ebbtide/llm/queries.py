@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, quality, secret_scan, sharding, token_cache, warc
+from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, quality, rules, secret_scan, sharding, token_cache, warc
 from ebbtide.llm.frames import table
 from ebbtide.llm.sql import SQL  # noqa: F401
 from ebbtide.session import working_folder
@@ -111,6 +111,20 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the sources."""
+    docs = table(spark, sf_dir, "documents")
+    judged = rules.judge(docs, docs["text"], docs["source"], {"doc_id": docs["doc_id"]})
+    return judged.select(
+        "doc_id",
+        *[m for m in rules.MEASURES if m != "n_lines"],
+        F.col("failed")[rules.BASE].alias("base_failed"),
+        "kept",
+        "host_rejected",
+        "reason",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -122,4 +136,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_quality_rules": op13_quality_rules,
 }

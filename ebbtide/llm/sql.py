@@ -132,9 +132,64 @@ FROM numbered n JOIN reached r ON r.row = n.row JOIN numbered o ON o.row = r.oth
 GROUP BY n.row, n.doc_id
 """
 
+RULES = """
+WITH numbered AS (
+    SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS body FROM documents
+), parts AS (
+    SELECT row, doc_id, source, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') AS words,
+           list_filter(string_split(body, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines,
+           len(regexp_extract_all(body, '[#*$%&|<>]')) AS n_symbols
+    FROM numbered
+), windows AS (
+    SELECT row, unnest(range(1, len(words) - 1)) AS place,
+           unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) AS run
+    FROM parts WHERE len(words) >= 3
+), repeated AS (
+    SELECT row, count(*) AS n FROM (
+        SELECT DISTINCT row, place + unnest([0, 1, 2]) AS word
+        FROM (SELECT row, place, count(*) OVER (PARTITION BY row, run) AS times FROM windows) WHERE times > 1
+    ) GROUP BY row
+), measured AS (
+    SELECT p.row, doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, n_symbols,
+           len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+    FROM parts p LEFT JOIN repeated r USING (row)
+), ruled AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 10 * n_symbols > n_words AS symbols,
+           10 * n_dup_lines > 3 * n_lines AS lines, word_chars < 3 * n_words AS short_words,
+           word_chars > 12 * n_words AS long_words
+    FROM measured
+), failures AS (
+    UNPIVOT (SELECT row, source, base_failed, symbols, lines, short_words, long_words FROM ruled)
+    ON base_failed, symbols, lines, short_words, long_words INTO NAME rule VALUE failed
+), hosts AS (
+    SELECT rule, source, count(*) AS n, sum(failed::INT) AS f FROM failures GROUP BY ALL
+), means AS (SELECT rule, sum(f) / sum(n) AS mean, sum(n) AS total, count(*) AS hosts FROM hosts GROUP BY rule),
+priors AS (
+    SELECT rule, mean, least(greatest(mean * (1 - mean)
+               / greatest((sum(n * (f / n - mean) ** 2) - any_value(hosts) * mean * (1 - mean)) / any_value(total), 1e-9) - 1, 1), 1e6) AS strength
+    FROM hosts JOIN means USING (rule) GROUP BY rule, mean
+), known AS (
+    SELECT source, rule FROM hosts JOIN priors USING (rule)
+    WHERE 100 * (f + mean * strength) / (n + strength) >= CASE rule WHEN 'base_failed' THEN 90 ELSE 30 END
+), told AS (
+    SELECT r.*, EXISTS (FROM known k WHERE k.source IS NOT DISTINCT FROM r.source AND rule = 'base_failed') AS host_rejected,
+           (SELECT list(rule) FROM known k WHERE k.source IS NOT DISTINCT FROM r.source) AS bad
+    FROM ruled r
+), reasoned AS (
+    SELECT *, CASE WHEN base_failed THEN 'base' WHEN host_rejected THEN 'host'
+                   WHEN symbols AND list_contains(bad, 'symbols') THEN 'symbols' WHEN lines AND list_contains(bad, 'lines') THEN 'lines'
+                   WHEN short_words AND list_contains(bad, 'short_words') THEN 'short_words'
+                   WHEN long_words AND list_contains(bad, 'long_words') THEN 'long_words' END AS reason
+    FROM told
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason IS NULL AS kept, host_rejected, reason
+FROM reasoned
+"""
+
 SQL = {
     "op4_warc": WARC,
     "op6_secret_scan": SECRETS,
     "op8_license_scan": LICENSES,
     "op10_ngram_jaccard_join": JACCARD,
+    "op13_quality_rules": RULES,
 }

@@ -1,0 +1,96 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.llm import queries, rules
+from tests.conftest import DATA
+from tests.llm.cases import TEXTS, rows
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _measures(text):
+    """The contract in plain loops."""
+    text = text or ""
+    words = WORDS.findall(text)
+    lines = [line for line in text.split("\n") if WORDS.search(line)]
+    places = {}
+    for i in range(len(words) - 2):
+        places.setdefault(tuple(words[i : i + 3]), []).append(i)
+    repeated = {i + j for found in places.values() if len(found) > 1 for i in found for j in range(3)}
+    doubled = sum(line in lines[:i] for i, line in enumerate(lines)) if len(lines) < 3000 else len(lines) - len(set(lines))
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines), doubled, len(repeated)
+
+
+def _judged(spark, data):
+    docs = spark.createDataFrame([(i, *d) for i, d in enumerate(data)], "doc_id long, host string, text string").repartition(4)
+    found = rules.judge(docs, docs["text"], docs["host"], {"doc_id": docs["doc_id"]})
+    return {r.doc_id: r for r in found.collect()}
+
+
+def test_measures_are_those_of_plain_loops(spark):
+    source = random.Random(3)
+    alphabet = ["a", "b", "cc", "é", "日本", "#x", "$", " y", "\x1c", "zz|zz"]
+    gaps = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", " \n "]
+    data = [("h", "".join(source.choice(alphabet[: 2 + i % 9]) + source.choice(gaps) for _ in range(source.randint(0, 80)))) for i in range(300)]
+    data += [("h", "x " * 200_000), ("h", "\n".join(f"line {i % 1000} é" for i in range(90_000))), ("h", "w" * 600_000 + " v"), ("h", "\n \n\t\n")]
+    got = _judged(spark, data)
+    assert len(got) == len(data)
+    for i, (_, text) in enumerate(data):
+        assert tuple(got[i][m] for m in rules.MEASURES) == _measures(text), i
+        n_words, *_, n_repeat = _measures(text)
+        assert got[i].failed.base == (n_words < 50 or 100 * n_repeat > 50 * n_words)
+
+
+def _prose(seed, extra=""):
+    source = random.Random(seed)
+    return " ".join(f"word{source.randint(0, 10**6)}" for _ in range(60)) + extra
+
+
+def test_hosts_are_shrunk_and_their_verdict_reaches_their_documents(spark):
+    symbols = " # # # # # # # # # #"
+    data = [("good", _prose(i)) for i in range(300)] + [("good", _prose(1000, symbols))]
+    data += [("odd", _prose(2000 + i, symbols if i % 2 else "")) for i in range(100)]
+    data += [("spam", "buy now") for _ in range(400)] + [("spam", _prose(5000))]
+    data += [("tiny", "one line")] + [(None, _prose(6000))] + [("tiny", _prose(6001))]
+    got = _judged(spark, data)
+    kept = {host: [got[i].kept for i, d in enumerate(data) if d[0] == host] for host in {d[0] for d in data}}
+    assert all(kept["good"])  # a single odd document on a good host stays
+    assert kept["odd"] == [i % 2 == 0 for i in range(100)]  # those that fail what their host is known for go
+    assert not any(kept["spam"]) and got[801].reason == "host" and got[801].host_rejected
+    assert kept["tiny"] == [False, True] and kept[None] == [True]
+
+
+def test_the_prior_is_that_of_plain_sums(spark):
+    hosts = [(None, 50, 5), ("a", 1000, 30), ("b", 10, 9), ("c", 1, 0), ("d", 200, 150)]
+    names = list(rules.rules())
+    frame = spark.createDataFrame([(h, n, *[f] * len(names)) for h, n, f in hosts], "host string, n long, " + ", ".join(f"{x} long" for x in names))
+    total = sum(n for _, n, _ in hosts)
+    mean = sum(f for *_, f in hosts) / total
+    spread = (sum(n * (f / n - mean) ** 2 for _, n, f in hosts) - len(hosts) * mean * (1 - mean)) / total
+    strength = max(mean * (1 - mean) / spread - 1, 1)
+    for a, b in rules.prior(frame).values():
+        assert a == pytest.approx(mean * strength) and b == pytest.approx((1 - mean) * strength)
+    got = {r.host: r[f"rate_{rules.BASE}"] for r in rules.verdicts(frame).collect()}
+    for host, n, f in hosts:
+        assert got[host] == pytest.approx(100 * (f + mean * strength) / (n + strength))
+
+
+def test_awkward_rows(spark, messy, empty):
+    found = rules.judge(messy, messy["text"], messy["source"], {"doc_id": messy["doc_id"], "n": messy["n"]})
+    got = found.select("doc_id", *[F.col(m) for m in rules.MEASURES])
+    assert rows(got) == sorted(((k, *_measures(t)) for k, t in TEXTS), key=repr)
+    assert found.where("kept and n_words < 50").count() == 0 and found.where("n_words = 0 and not failed.base").count() == 0
+    assert rules.judge(empty, empty["text"], empty["source"], {"doc_id": empty["doc_id"]}).collect() == []
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    found = queries.QUERIES["op13_quality_rules"](spark, DATA).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        n_words, chars, symbols, _, doubled, repeated = _measures(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n_words, chars, symbols, doubled, repeated)
+        assert r.base_failed == (n_words < 50 or 100 * repeated > 50 * n_words) and r.kept == (r.reason is None)
