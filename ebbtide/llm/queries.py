@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, quality, rules, secret_scan, sharding, token_cache, warc
+from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, periodic, quality, rules, secret_scan, sharding, token_cache, warc
 from ebbtide.llm.frames import table
 from ebbtide.llm.sql import SQL  # noqa: F401
 from ebbtide.session import working_folder
@@ -111,6 +111,43 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def _made_periodic(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """``docs`` with every tenth text, by the key's checksum, continued from some word on by words of its own."""
+    h = F.crc32(F.col(key).cast("string").cast("binary"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    with_words = docs.withColumn("g", F.floor(h / 10)).withColumn("words", F.when(h % 10 == 0, words))
+    n, g = F.size("words"), F.col("g")
+    with_a = with_words.withColumn("a", g % F.nullif(n, F.lit(0)))
+    with_p = with_a.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    source = lambda i: (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    made = F.transform("words", lambda w, i: F.when(i >= F.col("a"), F.get("words", source(i))).otherwise(w))
+    return with_p.withColumn(text, F.when(n > 0, F.array_join(made, " ")).otherwise(F.col(text)))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every text, a tenth of them made periodic first, as digests and the run with the most turns."""
+    docs = _made_periodic(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id")
+    found = periodic.find(docs, docs["text"], {"doc_id": docs["doc_id"]})
+    run = "struct<start:long,length:long,period:long>"
+
+    def better(best: Column, other: Column) -> Column:
+        more = other["length"] * best["period"] > best["length"] * other["period"]
+        return F.when(best.isNull() | more, other).otherwise(best)
+
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", F.aggregate("runs", F.lit(None).cast(run), better))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts are the sources."""
     docs = table(spark, sf_dir, "documents")
@@ -136,5 +173,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_quality_rules": op13_quality_rules,
 }
