@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, periodic, quality, rules, secret_scan, sharding, token_cache, warc
+from ebbtide.llm import decontaminate, jaccard, licenses, neighbours, packing, periodic, prefix_trie, quality, rules, secret_scan, sharding, token_cache, warc
 from ebbtide.llm.frames import table
 from ebbtide.llm.sql import SQL  # noqa: F401
 from ebbtide.session import working_folder
@@ -148,6 +148,25 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: So many first turns at most are taken from another conversation.
+GIVEN = 8
+
+
+def _rebuilt(lists: DataFrame) -> DataFrame:
+    """Conversations that begin with turns of the one whose id is the next lower multiple of five."""
+    donors = lists.where("conv_id % 5 = 0").select(F.col("conv_id").alias("donor"), F.slice("turns", 1, GIVEN).alias("given"))
+    joined = lists.withColumn("donor", F.col("conv_id") - F.col("conv_id") % 5).join(donors, "donor", "left")
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % (GIVEN + 1)).cast("int")
+    given = F.slice(F.coalesce("given", F.slice("turns", 1, 0)), F.lit(1), h)
+    return joined.select("conv_id", F.concat(given, F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    lists = prefix_trie.gathered(rows, rows["conv_id"], rows["turn"], rows["role"], rows["text"])
+    return prefix_trie.trie(_rebuilt(lists))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts are the sources."""
     docs = table(spark, sf_dir, "documents")
@@ -174,5 +193,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_quality_rules": op13_quality_rules,
 }

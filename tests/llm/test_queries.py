@@ -26,4 +26,4 @@ def test_same_rows_as_sql(spark, name):
 def test_every_operator_is_registered():
     names = registered.queries()
     assert set(queries.QUERIES) < set(names) and "pipeline" in names
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
