@@ -1,13 +1,13 @@
 import pytest
 
+from ebbtide.llm.frames import stored
 from tests.llm import cases
 
 
 @pytest.fixture(scope="session")
 def messy(spark):
-    df = cases.messy(spark).cache()
-    df.count()
-    return df
+    """Stored, not cached: a session's caches are looked at by the library's own tests."""
+    return stored(cases.messy(spark), "messy")
 
 
 @pytest.fixture(scope="session")

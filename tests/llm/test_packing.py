@@ -90,7 +90,7 @@ def test_awkward_rows_with_their_ids(messy):
 
 def test_a_length_that_most_pieces_have_is_numbered_in_parts(spark):
     found = spark.range(5000).selectExpr("id AS keep_0", "0 AS piece", "0L AS start", "IF(id % 10 = 0, 30L, 50L) AS length", "id AS ids_crc32")
-    packed = packing.pack(found.cache(), 100, numbered=100).collect()
+    packed = packing.pack(found, 100, numbered=100).collect()
     places = {(r.sequence_id, r.offset) for r in packed}
     assert len(places) == len(packed) == 5000
     assert len({r.sequence_id for r in packed}) <= 2250 + 170

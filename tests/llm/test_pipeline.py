@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ebbtide.llm import decontaminate, quality, secret_scan
-from ebbtide.llm.frames import table
+from ebbtide.llm.frames import stored, table
 from tests.conftest import DATA
 from tests.llm import cases
 from tests.llm.test_decontaminate import _words
@@ -19,7 +19,7 @@ def stages(spark):
     docs, out = table(spark, DATA, "documents"), []
     out.append(docs.collect())
     for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, DATA).cache()
+        docs = stored(stage(spark, docs, DATA), "stage")
         out.append(docs.collect())
     return out
 
@@ -90,7 +90,7 @@ def test_the_registered_run_gives_the_same(spark, stages):
 def test_awkward_rows_and_an_empty_table_pass_through(spark):
     docs = cases.messy(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, DATA).cache()
+        docs = stored(stage(spark, docs, DATA), "stage")
         assert docs.columns == cases.messy(spark).columns
     packed = corpus_pipeline.best_fit_packing(spark, docs, DATA)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()

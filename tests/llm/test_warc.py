@@ -39,7 +39,7 @@ PAGES = [
 def pages(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     clash = ("key", "digest", "size", "uri", "payload", "shard", "kind", "winner")
-    return df.withColumns({c: F.lit("x") for c in clash}).repartition(3).cache()
+    return df.withColumns({c: F.lit("x") for c in clash}).repartition(3)
 
 
 def _read(spark, folder):
