@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from types import ModuleType
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -420,19 +420,21 @@ def _register_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted
 
 
-def _there(module: str) -> bool:
-    """Whether a module is part of this copy; errors inside it are not hidden."""
-    found = importlib.util.find_spec(module)
-    return found is not None and found.origin is not None
+def _optional(module: str) -> ModuleType | None:
+    """A module that this copy, or this machine, may lack: also where something that it imports is missing."""
+    try:
+        return importlib.import_module(module)
+    except ImportError:
+        return None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All registered queries: the library's own, and those on training data if that package is there."""
     found = core_queries()
-    if _there("ebbtide.llm"):
-        found |= importlib.import_module("ebbtide.llm.queries").QUERIES
-        if _there("corpus_pipeline"):
-            found["pipeline"] = importlib.import_module("corpus_pipeline").run
+    if training_data := _optional("ebbtide.llm.queries"):
+        found |= training_data.QUERIES
+        if pipeline := _optional("corpus_pipeline"):
+            found["pipeline"] = pipeline.run
     return found
 
 
@@ -517,8 +519,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     found = oracle_queries.oracle_sql()
-    if _there("ebbtide.llm"):
-        found |= importlib.import_module("ebbtide.llm.queries").SQL
-        if _there("corpus_pipeline") and (sql := importlib.import_module("corpus_pipeline").ORACLE_SQL):
-            found["pipeline"] = sql
+    if training_data := _optional("ebbtide.llm.queries"):
+        found |= training_data.SQL
+        pipeline = _optional("corpus_pipeline")
+        if pipeline and pipeline.ORACLE_SQL:
+            found["pipeline"] = pipeline.ORACLE_SQL
     return found

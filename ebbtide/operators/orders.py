@@ -123,6 +123,62 @@ def study_bounds(orders: DataFrame, churn_days: int = 90, history_days: int = 36
     return StudyBounds(*row)
 
 
+#: Words (64 bits each) of the run-time filter: at most so many rows are broadcast, whatever the number of orders.
+FILTER_WORDS = 1 << 20
+#: Orders on one word of the filter, beyond which their ids are dealt to several tasks.
+HOT_ORDERS = 200_000
+_WORD, _BITS, _SALT, _SALTS = "_word", "_bits", "_salt", "_salts"
+
+
+def _word_of(order: Column) -> Column:
+    return F.pmod(F.xxhash64(order), F.lit(FILTER_WORDS))
+
+
+def _bits_of(order: Column) -> Column:
+    """Three of a word's 64 bits."""
+    spread = F.xxhash64(order, F.lit("bits"))
+    each = [F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.pmod(F.shiftright(spread, by), F.lit(64))).cast("int")) for by in (0, 6, 12)]
+    return each[0].bitwiseOR(each[1]).bitwiseOR(each[2])
+
+
+def order_filter(placed: DataFrame) -> DataFrame:
+    """A Bloom filter of the ids of ``placed``: rows (word, bits), and the orders on each word.
+
+    It has at most ``FILTER_WORDS`` rows. Up to some ten million orders it lets less than a tenth of the others
+    pass; with more it lets more pass, and joins still decide."""
+    words = placed.groupBy(_word_of(F.col(ORDER)).alias(_WORD))
+    return words.agg(F.bit_or(_bits_of(F.col(ORDER))).alias(_BITS), F.count("*").alias("orders"))
+
+
+def of_orders(details: DataFrame, words: DataFrame) -> DataFrame:
+    """The ``details`` whose order may be among those of the filter, looked up inside the scan's own tasks."""
+    known = F.broadcast(words.select(_WORD, _BITS))  # FILTER_WORDS rows at most
+    bits = _bits_of(F.col(ORDER))
+    found = details.join(known, _word_of(F.col(ORDER)) == F.col(_WORD))
+    return found.where(F.col(_BITS).bitwiseAND(bits) == bits).select(*details.columns)
+
+
+def hot_words(words: DataFrame, most: int | None = None) -> DataFrame:
+    """The words on which very many orders lie, with the number of tasks to deal them to. Ids that are not repeated
+    share words evenly, so there are none unless an id is on very many orders."""
+    most = HOT_ORDERS if most is None else most
+    return words.where(F.col("orders") > most).select(_WORD, F.ceil(F.col("orders") / most).cast("int").alias(_SALTS))
+
+
+def with_facts(placed: DataFrame, facts: DataFrame, hot: DataFrame, dealt_by: Sequence[str]) -> DataFrame:
+    """``placed`` with the one row of ``facts`` of each order, where an id may be on very many orders: these are dealt to
+    several tasks by the columns ``dealt_by``, and their facts go to each of the tasks."""
+    salts = F.broadcast(hot)  # FILTER_WORDS rows at most
+
+    def salted(rows: DataFrame) -> DataFrame:
+        known = rows.join(salts, _word_of(F.col(ORDER)) == F.col(_WORD), "left").drop(_WORD)
+        return known.withColumn(_SALTS, F.coalesce(_SALTS, F.lit(1)))
+
+    dealt = salted(placed).withColumn(_SALT, F.pmod(F.xxhash64(*dealt_by), F.col(_SALTS)).cast("int")).drop(_SALTS)
+    copies = salted(facts).withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))).drop(_SALTS)
+    return dealt.join(copies, [ORDER, _SALT], "left").drop(_SALT)
+
+
 class Window(NamedTuple):
     """What one snapshot looks at: orders from ``start`` up to, and without, ``end``."""
 

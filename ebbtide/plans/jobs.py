@@ -62,14 +62,27 @@ def silver(tables: ShopTables, path: str, months: Sequence[str | date] | None =
     return files.read_table(spark, f"{path}/orders")
 
 
-def order_master(tables: ShopTables, placed: DataFrame) -> DataFrame:
-    """The orders ``placed`` with their customer and details, from the source tables."""
+def order_master(tables: ShopTables, placed: DataFrame, part: bool = False) -> DataFrame:
+    """The orders ``placed`` with their customer and details, from the source tables.
+
+    If they are ``part`` of all orders, details of the others are left out by a filter of the ids inside the scans, before they
+    are aggregated and sent. Ids that are on very many orders are dealt to several tasks."""
+    details = (tables.payments, tables.items, tables.reviews)
+    if part:
+        words = orders.order_filter(placed)
+        details = tuple(orders.of_orders(rows, words) for rows in details)
+        hot = orders.hot_words(words)
+        if not hot.isEmpty():
+            with_customers = orders.order_master(tables.customers, placed)
+            dealt_by = [customers.PERSON, orders.PURCHASED]
+            return orders.with_facts(with_customers, orders.order_facts(*details), hot, dealt_by)
+    payments, items, reviews = details
     return orders.order_master(
         tables.customers,
         placed,
-        orders.payments_by_order(tables.payments),
-        orders.items_by_order(tables.items),
-        orders.reviews_by_order(tables.reviews),
+        orders.payments_by_order(payments),
+        orders.items_by_order(items),
+        orders.reviews_by_order(reviews),
     )
 
 
@@ -90,7 +103,7 @@ def study(
     period = stored if detailed is None else SILVER_PERIOD
     placed = orders.study_period(placed, bounds.start, bounds.end, period)
     if detailed is None:
-        return order_master(tables, placed), bounds
+        return order_master(tables, placed, part=True), bounds
     return orders.order_master(tables.customers, placed), bounds
 
 
@@ -117,7 +130,7 @@ def gold(
     placed = orders.clean_orders(tables.orders) if detailed is None else detailed
     newest = orders.study_bounds(placed, churn_days, history_days).end
     placed = orders.study_periods(placed, windows, stored if detailed is None else SILVER_PERIOD)
-    master = order_master(tables, placed) if detailed is None else orders.order_master(tables.customers, placed)
+    master = order_master(tables, placed, part=True) if detailed is None else orders.order_master(tables.customers, placed)
     return customers.churn_gold_at(master, windows, newest, churn_days)
 
 

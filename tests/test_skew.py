@@ -76,6 +76,43 @@ def test_an_order_id_on_a_third_of_the_orders(spark, tables, small_thresholds, t
     assert _rows(jobs.gold(skewed, detailed=detailed)) == _without_adaptive(spark, lambda: jobs.gold(skewed))
 
 
+def test_an_order_id_on_a_third_of_the_orders_directly(spark, tables, small_thresholds, monkeypatch):
+    """From the source tables: the id's orders are dealt to several tasks, and the features are those without any of it."""
+    placed = tables.orders.repartition(8).withColumn("order_id", _third_on("order_id", 11))
+    skewed = replace(tables, orders=placed)
+    plain = _rows(jobs.gold(skewed))
+    monkeypatch.setattr(orders, "HOT_ORDERS", 100)
+    words = orders.order_filter(placed)
+    hot = orders.hot_words(words).collect()
+    assert len(hot) == 1 and hot[0]["_salts"] >= 50_000 // 100
+    master, _ = jobs.study(skewed)
+    assert "_salt" in _final_plan(master)
+    # One task would hold all of the id's rows; dealt, none holds a tenth of them.
+    most = master.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < master.filter("order_id = 11").count() / 5
+    assert _rows(jobs.gold(skewed)) == plain
+
+
+def test_details_of_other_orders_do_not_leave_the_scan(spark, tables):
+    placed = tables.orders.filter("order_purchase_timestamp >= '2000-06-01'")
+    other = tables.orders.filter("order_purchase_timestamp < '2000-06-01'")
+    words = orders.order_filter(placed)
+    for details in (tables.payments, tables.items, tables.reviews):
+        passed = orders.of_orders(details, words)
+        assert passed.columns == details.columns
+        wanted = details.join(placed, "order_id", "left_semi")
+        assert wanted.select(*details.columns).exceptAll(passed).count() == 0
+        assert passed.join(other, "order_id", "left_semi").count() <= 0.02 * details.count()
+    plan = jobs.gold(tables)._jdf.queryExecution().executedPlan().toString()
+    for aggregate in ("partial_sum(payment_value", "partial_count(product_id", "partial_min(review_score"):
+        below = plan[plan.index(aggregate) :]
+        assert "_bits" in below[: below.index("Scan parquet")]
+    # Hash collisions and null ids lose and double nothing.
+    odd = spark.createDataFrame([(None, 1), (1, 2), (1, 2), (2, 3)], "order_id bigint, v int")
+    few = orders.order_filter(spark.createDataFrame([(1,), (1,), (None,)], "order_id bigint"))
+    assert sorted(r.v for r in orders.of_orders(odd, few).collect() if r.order_id is not None) == [2, 2]
+
+
 def test_an_order_with_a_third_of_the_payments_is_combined_before_the_shuffle(spark, tables):
     hot = tables.payments.withColumn("order_id", _third_on("order_id", 5, "payment_value"))
     df = orders.payments_by_order(hot)
