@@ -7,10 +7,11 @@ from datetime import date, datetime
 from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators import customers, explore, orders, registry, scoring, search, training
+from ebbtide.operators import customers, explore, manifest, orders, registry, scoring, search, training
+from ebbtide.session import working_folder
 from ebbtide.sources import files
 from ebbtide.sources.schemas import COLUMN_TYPES
 from ebbtide.sources.shop import ShopTables
@@ -33,25 +34,52 @@ def bronze(
 def silver(tables: ShopTables, path: str, months: Sequence[str | date] | None = None) -> DataFrame:
     """Store the clean orders with all their details, by month of purchase, and return them.
 
-    With ``months`` (any day of each) only the orders of those months are read, joined and replaced; the other months'
-    files stay. The details of other orders are left out before they are aggregated.
+    With ``months`` (any day of each) only the orders of those months are read, joined and replaced, and a month that has
+    none any more is removed; the other months' files stay. The details of other orders are left out before they are
+    aggregated. Orders that are stored in a month that is not named, and have left it, would be lost or
+    doubled: that is refused. ``refresh_silver`` finds out itself which months it must name.
 
     Feature jobs then read the months they need and join nothing but customers. The details are
     stored first: both sides of the join with them are then plain shuffles, which adaptive
     execution can split, should an order id be repeated very often.
     """
+    if months is None:
+        return _store_silver(tables, path, None)
+    first_days = sorted({str(day)[:7] + "-01" for day in months})
+    moved = _moved_orders(tables, path, first_days)
+    if moved:
+        raise ValueError(f"orders have left months that are not named: {', '.join(moved)}")
+    return _store_silver(tables, path, first_days)
+
+
+def _in_months(months: Sequence[str]) -> Column:
+    return F.col(SILVER_PERIOD.column).isin([F.lit(day).cast("date") for day in months])
+
+
+def _moved_orders(tables: ShopTables, path: str, months: Sequence[str]) -> list[str]:
+    """Other months that still hold orders which now lie in one of ``months``."""
+    key = [orders.ORDER, orders.PURCHASED]
+    month = SILVER_PERIOD.of(F.col(orders.PURCHASED)).alias(SILVER_PERIOD.column)
+    placed = orders.clean_orders(tables.orders).select(*key, month)
+    elsewhere = files.read_table(tables.orders.sparkSession, f"{path}/orders").where(~_in_months(months))
+    elsewhere = elsewhere.select(*key, SILVER_PERIOD.column).join(placed.where(_in_months(months)), orders.ORDER, "left_semi")
+    gone = elsewhere.join(placed, key, "left_anti").select(F.col(SILVER_PERIOD.column).cast("string")).distinct()
+    return sorted(row[0] for row in gone.collect())
+
+
+def _store_silver(tables: ShopTables, path: str, months: Sequence[str] | None) -> DataFrame:
+    """Stores the orders of ``months`` (first days), or all, in place of those that are there."""
     spark = tables.orders.sparkSession
     month = SILVER_PERIOD.of(F.col(orders.PURCHASED)).alias(SILVER_PERIOD.column)
     placed = orders.clean_orders(tables.orders).select("*", month)
     details = (tables.payments, tables.items, tables.reviews)
     if months is not None:
-        first_days = sorted({str(day)[:7] + "-01" for day in months})
-        placed = placed.filter(F.col(SILVER_PERIOD.column).isin([F.lit(day).cast("date") for day in first_days]))
-        ids = placed.select(orders.ORDER)
-        details = tuple(rows.join(ids, orders.ORDER, "left_semi") for rows in details)
-    files.write_table(orders.order_facts(*details), f"{path}/order_facts")
-    facts = files.read_table(spark, f"{path}/order_facts")
-    detailed = placed.join(facts, orders.ORDER, "left")
+        placed = placed.filter(_in_months(months))
+        words = orders.order_filter(placed)
+        details = tuple(orders.of_orders(rows, words) for rows in details)
+    facts_path = working_folder(spark, "order-facts")
+    files.write_table(orders.order_facts(*details), facts_path)
+    detailed = placed.join(files.read_table(spark, facts_path), orders.ORDER, "left")
     # Rebalancing gives each month few files and still splits a month that is very large.
     files.write_table(
         detailed.hint("rebalance", SILVER_PERIOD.column),
@@ -59,6 +87,29 @@ def silver(tables: ShopTables, path: str, months: Sequence[str | date] | None =
         partition_by=[SILVER_PERIOD.column],
         by_partition=months is not None,
     )
+    if months is not None:
+        there = {str(row[0]) for row in placed.select(SILVER_PERIOD.column).distinct().collect()}  # of the months named
+        files.drop_partitions(spark, f"{path}/orders", SILVER_PERIOD.column, sorted(set(months) - there))
+    return files.read_table(spark, f"{path}/orders")
+
+
+def refresh_silver(tables: ShopTables, path: str) -> DataFrame:
+    """Bring stored orders up to date with their sources, and return them.
+
+    Each month's rows are counted and digested and compared with the manifest of the last run. Months that are new or whose
+    orders or details differ are computed again, months without orders are removed, all others stay as they are. An
+    order that has moved changes both its months. The new manifest is written last."""
+    spark = tables.orders.sparkSession
+    now_path = working_folder(spark, "manifest")
+    files.write_table(manifest.of_orders(tables, SILVER_PERIOD).coalesce(1), now_path)
+    now, before = files.read_table(spark, now_path), manifest.newest(spark, f"{path}/manifest")
+    if before is None:
+        _store_silver(tables, path, None)
+    else:
+        found = manifest.changes(now, before).all()
+        if found:
+            _store_silver(tables, path, found)
+    manifest.append(now, f"{path}/manifest")
     return files.read_table(spark, f"{path}/orders")
 
 

@@ -128,6 +128,14 @@ def write_table(
     _writer(df, fmt, mode, partition_by, by_partition).save(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Remove the partitions of the table at ``path`` that hold these values of ``column``, if they are there."""
+    context = spark.sparkContext
+    for value in values:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def save_as_table(
     df: DataFrame,
     name: str,

@@ -1,0 +1,112 @@
+"""Stored orders that follow their sources: orders deleted, moved, added and cancelled, and details that change."""
+
+import random
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import pytest
+
+from ebbtide.operators import manifest, orders
+from ebbtide.plans import jobs
+from ebbtide.sources.shop import ShopTables
+from tests.test_brute_force import SCHEMAS, _random_tables
+
+
+def _tables(spark, rows):
+    return ShopTables(**{name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()})
+
+
+def _files(folder):
+    return {str(f): f.stat().st_mtime_ns for f in folder.glob("orders/order_purchase_month=*/*.parquet")}
+
+
+def _same(one, other):
+    other = other.select(*one.columns)
+    return one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+
+
+def _month(order):
+    return order[2].strftime("%Y-%m") if order[2] else None
+
+
+def _changed(rows, seed):
+    """Some orders deleted, moved by up to a year, with another customer, or new; one month emptied; details changed."""
+    source, out = random.Random(seed), []
+    emptied = source.choice(sorted({_month(o) for o in rows["orders"] if o[2]}))
+    for order, customer, time in rows["orders"]:
+        lot = source.random()
+        if lot < 0.05 or (time and _month((0, 0, time)) == emptied):
+            continue
+        if lot < 0.1 and time:
+            time += timedelta(days=source.randint(-300, 300))
+        if 0.1 <= lot < 0.12:
+            customer = None
+        out.append((order, customer, time))
+    out += [(f"new{i}", rows["orders"][0][1], datetime(2001, 3, 1 + i)) for i in range(3)]
+    payments = [p for p in rows["payments"] if source.random() > 0.02]
+    return {**rows, "orders": out, "payments": payments + payments[:2], "reviews": rows["reviews"][:-3]}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_refreshed_orders_equal_a_whole_run(spark, tmp_path, seed):
+    rows = _random_tables(seed)
+    path = str(tmp_path / "silver")
+    assert _same(jobs.refresh_silver(_tables(spark, rows), path), jobs.silver(_tables(spark, rows), str(tmp_path / "first")))
+    for round_ in range(2):
+        rows = _changed(rows, 10 * seed + round_)
+        now = _tables(spark, rows)
+        assert _same(jobs.refresh_silver(now, path), jobs.silver(now, str(tmp_path / f"whole{round_}")))
+    before = _files(tmp_path / "silver")
+    jobs.refresh_silver(now, path)
+    assert _files(tmp_path / "silver") == before  # nothing has changed, nothing is written
+
+
+def test_only_months_that_differ_are_written(spark, tmp_path):
+    rows = _random_tables(1)
+    path = str(tmp_path / "silver")
+    jobs.refresh_silver(_tables(spark, rows), path)
+    before = _files(tmp_path / "silver")
+    order = next(o for o in rows["orders"] if o[0] and o[2] and sum(p[0] == o[0] for p in rows["orders"]) == 1)
+    later = {**rows, "payments": [*rows["payments"], (order[0], *rows["payments"][0][1:])]}
+    stored = jobs.refresh_silver(_tables(spark, later), path)
+    after = _files(tmp_path / "silver")
+    touched = {f.split("order_purchase_month=")[1][:7] for f in set(before.items()) ^ set(after.items()) for f in f[:1]}
+    assert touched == {_month(order)}
+    assert _same(stored, jobs.silver(_tables(spark, later), str(tmp_path / "whole")))
+
+
+def test_named_months_are_emptied_and_moves_are_refused(spark, tmp_path):
+    rows = _random_tables(1)
+    path = str(tmp_path / "silver")
+    jobs.silver(_tables(spark, rows), path)
+    months = sorted({_month(o) for o in rows["orders"] if o[0] and o[2]})
+    gone = [o for o in rows["orders"] if _month(o) != months[2]]
+    later = _tables(spark, {**rows, "orders": gone})
+    assert _same(jobs.silver(later, path, months=[f"{months[2]}-17"]), jobs.silver(later, str(tmp_path / "whole")))
+    mover = next(o for o in gone if o[0] and _month(o) == months[0] and sum(p[0] == o[0] for p in gone) == 1)
+    there = datetime.fromisoformat(f"{months[4]}-05T01:02:03")
+    moved = _tables(spark, {**rows, "orders": [(o[0], o[1], there) if o == mover else o for o in gone]})
+    with pytest.raises(ValueError, match=months[0]):
+        jobs.silver(moved, path, months=[f"{months[4]}-01"])
+    both = jobs.silver(moved, path, months=[f"{months[4]}-01", f"{months[0]}-01"])
+    assert _same(both, jobs.silver(moved, str(tmp_path / "moved")))
+
+
+def test_manifest_knows_orderings_copies_and_nulls(spark, tmp_path):
+    rows = _random_tables(3)
+    tables = _tables(spark, rows)
+    first = manifest.of_orders(tables, jobs.SILVER_PERIOD)
+    shuffled = ShopTables(**{n: getattr(tables, n).repartition(5) for n in SCHEMAS})
+    assert _same(first, manifest.of_orders(shuffled, jobs.SILVER_PERIOD))
+    doubled = replace(tables, payments=tables.payments.unionByName(tables.payments))
+    found = manifest.changes(manifest.of_orders(doubled, jobs.SILVER_PERIOD), first)
+    assert found.changed and not found.emptied
+    swapped = spark.createDataFrame([(None, 5), (5, None)], "a int, b int")
+    digests = [r[0] for r in swapped.select(manifest.row_digest(swapped)).collect()]
+    assert digests[0] != digests[1]
+    path = str(tmp_path / "manifest")
+    assert manifest.newest(spark, path) is None
+    manifest.append(first, path)
+    manifest.append(first.limit(1), path)
+    assert manifest.newest(spark, path).count() == 1
+    assert first.agg({"rows": "sum"}).first()[0] == orders.clean_orders(tables.orders).count()
