@@ -132,6 +132,16 @@ def _feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
+def _daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty snapshots, one a day, from stored months of partial results."""
+    tables = shop_tables(spark, sf_dir)
+    detailed = _silver_orders(spark, sf_dir)
+    newest = datetime.fromisoformat(orders.study_bounds(detailed).split)
+    path = jobs.store_states(tables, detailed, working_folder(spark, "states"))
+    features = jobs.gold_from_states(tables, detailed, path, [newest - timedelta(days=days) for days in range(30)])
+    return features.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 def _hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = balance.hash_split(_feature_table(spark, sf_dir), 0.7)
     return train.select(customers.PERSON, F.lit("train").alias("part")).unionByName(
@@ -491,6 +501,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_refresh": lambda spark, sf_dir: _rounded(_silver_refresh(spark, sf_dir)),
         "gold_from_silver": lambda spark, sf_dir: _rounded(_gold_from_silver(spark, sf_dir)),
         "feature_store": lambda spark, sf_dir: _rounded(_feature_store(spark, sf_dir)),
+        "daily_snapshots": lambda spark, sf_dir: _rounded(_daily_snapshots(spark, sf_dir)),
         "describe": on_features(explore.describe),
         "value_share": on_features(lambda gold: explore.value_share(gold, customers.LABEL)),
         "correlation": on_features(explore.correlation),

@@ -185,6 +185,41 @@ def gold(
     return customers.churn_gold_at(master, windows, newest, churn_days)
 
 
+def store_states(tables: ShopTables, detailed: DataFrame, path: str) -> str:
+    """Store partial results per month and person of all ``detailed`` orders, for many snapshots; returns ``path``."""
+    master = orders.order_master(tables.customers, detailed)
+    states, spread = customers.month_states(master)
+    files.write_table(states.hint("rebalance", customers.STATE_MONTH), f"{path}/states", partition_by=[customers.STATE_MONTH])
+    files.write_table(spread, f"{path}/spread")
+    files.write_table(orders.bounds(detailed).select(F.col("end").cast("string")), f"{path}/newest")
+    return path
+
+
+def gold_from_states(
+    tables: ShopTables,
+    detailed: DataFrame,
+    path: str,
+    snapshots: Sequence[str | datetime],
+    churn_days: int = 90,
+    history_days: int = 365,
+) -> DataFrame:
+    """The feature table of many snapshots, such as one a day: equal to ``gold`` with these, but whole months
+    come from the partial results at ``path``, and orders are read from the months alone in which a window begins or ends."""
+    spark = detailed.sparkSession
+    windows = orders.snapshot_windows(snapshots, churn_days, history_days)
+    if not windows:
+        raise ValueError("there is no snapshot")
+    newest = files.read_table(spark, f"{path}/newest").first()["end"]
+    cells = customers.window_cells(windows, churn_days)
+    edges = sorted({cell.month for cell in cells if cell.part == "border"})
+    whole = sorted({cell.month for cell in cells if cell.part != "border"})
+    border = orders.order_master(tables.customers, detailed.filter(_in_months(edges)))
+    states = files.read_table(spark, f"{path}/states")
+    states = states.filter(F.col(customers.STATE_MONTH).isin([F.lit(day).cast("date") for day in whole]))
+    spread = files.read_table(spark, f"{path}/spread").select(*border.columns)
+    return customers.churn_gold_from_states(states, spread, border, windows, newest, churn_days)
+
+
 def store_gold(features: DataFrame, path: str) -> DataFrame:
     """Store the feature table by snapshot; a rerun replaces only the snapshots it has."""
     files.write_table(features, path, partition_by=["snapshot_date"], by_partition=True)

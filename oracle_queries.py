@@ -382,6 +382,7 @@ def _queries() -> dict[str, str]:
             LEFT JOIN items_by_order USING (order_id) LEFT JOIN reviews_by_order USING (order_id)""",
         "gold_from_silver": gold,
         "feature_store": _snapshots(gold, 90, 120, 455, 30),
+        "daily_snapshots": _snapshots(gold, *range(90, 120)),
         "describe": _describe(),
         "value_share": """
             SELECT churn, count(*) AS "rows", round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS "percent"

@@ -1,0 +1,98 @@
+"""Snapshots from stored months of partial results, and windows that are met by their months."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from ebbtide.operators import customers, orders
+from ebbtide.plans import jobs
+from ebbtide.sources.shop import ShopTables
+from ebbtide.sources.star_schema import shop_tables
+from tests.test_brute_force import SCHEMAS, _random_tables
+
+DATA = "/root/testdata/sf0.001"
+
+
+def _tables(spark, rows):
+    return ShopTables(**{name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()})
+
+
+def _same(one, other):
+    other = other.select(*one.columns)
+    return one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_tables_with_copies_over_months(spark, tmp_path, seed):
+    """Orders whose copies lie in several months, nulls, loose ends; snapshots at midnight, at a month's first moment, open ones."""
+    rows, source = _random_tables(seed), random.Random(seed)
+    copies = [(i, c, t + timedelta(days=source.randint(-70, 70))) for i, c, t in source.choices([o for o in rows["orders"] if o[2]], k=30)]
+    rows = {**rows, "orders": rows["orders"] + copies}
+    tables = _tables(spark, rows)
+    detailed = jobs.silver(tables, str(tmp_path / "silver"))
+    path = jobs.store_states(tables, detailed, str(tmp_path / "states"))
+    assert spark.read.parquet(f"{path}/spread").count() > 0
+    times = sorted(o[2] for o in rows["orders"] if o[2])
+    first = times[len(times) // 2]
+    snapshots = [first + timedelta(days=i) for i in range(30)] + [datetime(first.year, first.month, 1), times[-1] + timedelta(days=400)]
+    snapshots = list({s.date(): s for s in snapshots}.values())
+    for churn_days, history_days in ((90, 365), (5, 20)):
+        direct = jobs.gold(tables, churn_days, history_days, snapshots=snapshots, detailed=detailed)
+        merged = jobs.gold_from_states(tables, detailed, path, snapshots, churn_days, history_days)
+        assert _same(direct, merged)
+    assert {r[0] for r in direct.select("churn").distinct().collect()} >= {0, 1}
+
+
+def test_rows_read_do_not_grow_with_the_snapshots(spark, tmp_path):
+    tables = shop_tables(spark, DATA)
+    detailed = jobs.silver(tables, str(tmp_path / "silver"))
+    path = jobs.store_states(tables, detailed, str(tmp_path / "states"))
+    snapshots = [datetime(2000, 9, 1, 17) + timedelta(days=i) for i in range(30)]
+    read = []
+    for count in (1, 30):
+        features = jobs.gold_from_states(tables, detailed, path, snapshots[:count])
+        assert _same(features, jobs.gold(tables, snapshots=snapshots[:count], detailed=detailed))
+        cells = customers.window_cells(orders.snapshot_windows(snapshots[:count]))
+        read.append(len({cell.month for cell in cells if cell.part == "border"}))
+        plan = features._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [order_purchase_month" in plan and "PartitionFilters: [state_month" in plan
+    assert read[0] == 3 and read[1] <= 6
+
+
+def test_cells_cover_each_window_once(spark):
+    source = random.Random(4)
+    days = {datetime(1999, 1, 1) + timedelta(days=source.randint(0, 900)) for _ in range(40)} | {datetime(2000, 3, 1)}
+    windows = orders.snapshot_windows(sorted(d + timedelta(seconds=source.choice([0, 1, 86399])) for d in days), 60, 200)
+    cells = customers.window_cells(windows, 60)
+    assert len({(c.month, c.snapshot) for c in cells}) == len(cells)
+    moments = sorted({w for window in windows for w in window} | {datetime.fromisoformat(c.month) for c in cells} | {datetime(2000, 2, 29, 23, 59, 59)})
+    moments += [m + timedelta(seconds=s) for m in moments for s in (-1, 1)]
+    df = spark.createDataFrame([(m,) for m in moments], "order_purchase_timestamp timestamp")
+    found = {tuple(r)[:2] for r in customers.in_windows(df, cells, 60).collect()}
+
+    def inside(moment, window):
+        last = datetime.combine(window.snapshot.date() + timedelta(days=60), datetime.min.time())
+        return window.start <= moment < window.end and (moment <= window.snapshot or moment <= last)
+
+    assert found == {(m, w.snapshot) for m in moments for w in windows if inside(m, w)}
+    for cell in cells:
+        month, snapshot = datetime.fromisoformat(cell.month), datetime.fromisoformat(cell.snapshot)
+        own = [m for m in moments if (m.year, m.month) == (month.year, month.month)]
+        window = next(w for w in windows if w.snapshot == snapshot)
+        if cell.part != "border":
+            assert all(inside(m, window) and (m <= snapshot) == (cell.part == "seen") for m in own)
+
+
+def test_work_follows_the_matches(spark):
+    """A year of daily snapshots: the join on the month gives few rows beyond those inside a window."""
+    tables = shop_tables(spark, DATA)
+    windows = orders.snapshot_windows([datetime(2000, 1, 1) + timedelta(days=i) for i in range(365)])
+    cells = customers.window_cells(windows)
+    plan = customers.in_windows(orders.clean_orders(tables.orders), cells, 90)
+    met = spark.createDataFrame([tuple(c) for c in cells], list(customers.Cell._fields)).groupBy("month").count()
+    months = tables.orders.selectExpr("CAST(trunc(CAST(order_purchase_timestamp AS DATE), 'month') AS STRING) AS month")
+    joined = months.join(met, "month").agg({"count": "sum"}).first()[0]
+    assert plan.count() <= joined <= 1.25 * plan.count()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "NestedLoop" not in text
