@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import time
 from typing import NamedTuple
 
 from pyspark.ml import Model
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,18 +27,18 @@ def auc_roc(
     label: str = LABEL,
     score: str = "score",
     rows: str | None = None,
-    ranges: int = 1000,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve, one row: ``auc_roc``, ``positives``, ``negatives``.
 
     It is the share of (positive, negative) pairs in which the positive scores higher, ties
     counting one half. Equal scores are counted together first, so a score held by very many rows
-    is one row. The distinct scores are then cut into ``ranges`` of similar size; each range is
-    ordered by itself, and one total per range is carried over to the next. The cuts are
-    approximate quantiles and decide only the balance of the work, not the result.
+    is one row. The distinct scores are then range-partitioned, which Spark balances by a sample when it runs, each
+    range is ordered by itself, and one total per range is carried over to the next. Nothing runs before an action, and
+    the cuts decide only the balance of the work, not the result.
 
-    ``rows`` names a column with the number of rows each input row stands for. Without positives
-    or without negatives the area is null.
+    ``rows`` names a column with the number of rows each input row stands for; ``ranges`` sets the number of ranges,
+    by default that of the session's shuffles. Without positives or without negatives the area is null.
     """
     value = F.col(score).cast("double")
     weight = _weight(rows)
@@ -52,12 +50,7 @@ def auc_roc(
         )
         .filter(F.col("score").isNotNull())
     )
-    shares = [i / ranges for i in range(1, ranges)]
-    found = by_score.approxQuantile("score", shares, 0.5 / ranges) if shares else []
-    cuts = sorted({cut for cut in found if math.isfinite(cut)}) or [0.0]
-    ranged = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
-    ).transform(by_score)
+    ranged = by_score.repartitionByRange(*([ranges] if ranges else []), "score").withColumn("range", F.spark_partition_id())
 
     lower = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("neg").over(lower), F.lit(0))
@@ -66,7 +59,7 @@ def auc_roc(
         .groupBy("range")
         .agg(F.sum("wins").alias("wins"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
-    # At most ``ranges`` + 1 rows from here on, so the one-partition window is bounded.
+    # One row per range from here on, so the one-partition window is bounded.
     lower_ranges = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.coalesce(F.sum("neg").over(lower_ranges), F.lit(0))
     wins = F.sum(F.col("wins") + F.col("pos").cast("double") * F.col("carried"))
