@@ -6,22 +6,27 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from typing import NamedTuple
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.sources.files import read_table, write_table
+from ebbtide.sources.files import append_entry, claim, read_entries
 
 RUNS_SCHEMA = (
     "run_id string, parent_id string, run_name string, kind string, name string, value string, logged_at timestamp"
 )
 REGISTRY_SCHEMA = (
     "model string, alias string, path string, input_schema string, output_schema string, "
-    "sample_rows string, registered_at timestamp"
+    "sample_rows string, registered_at timestamp, version bigint"
 )
 #: The tag of a run that names its saved model.
 MODEL_PATH = "model_path"
+#: The tag of a trial that holds the number of its draw.
+TRIAL = "trial"
 # The quality and speed figures of a run.
 QUALITY_METRICS = ["accuracy", "auc_roc", "precision", "recall", "f1_score"]
 SPEED_METRICS = ["train_time_sec", "inference_time_sec", "throughput_rows_sec"]
@@ -54,8 +59,36 @@ def runs_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 
 def log_runs(spark: SparkSession, path: str, rows: Sequence[tuple], fmt: str = "parquet") -> None:
-    """Append log entries to the run table. Log a whole search at once to keep its files few."""
-    write_table(runs_frame(spark, rows).coalesce(1), path, fmt, mode="append")
+    """Append log entries to the run table; several writers may do so at a time."""
+    append_entry(runs_frame(spark, rows), path, fmt)
+
+
+def read_runs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The run table; none if nothing was logged yet."""
+    try:
+        return read_entries(spark, path, fmt)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
+            return None
+        raise
+
+
+class LoggedTrial(NamedTuple):
+    value: float
+    seconds: float
+
+
+def finished_trials(runs: DataFrame, run_id: str) -> dict[int, LoggedTrial]:
+    """The trials of a search that have a value, by the number of their draw: a row per trial comes to the driver."""
+    entries = runs.filter(F.col("parent_id") == run_id)
+
+    def logged(name: str) -> Column:
+        return F.max(F.when(F.col("name") == name, F.col("value")))
+
+    names = (TRIAL, "status", "auc_val", "trial_duration")
+    trials = entries.groupBy("run_id").agg(*(logged(name).alias(name) for name in names))
+    done = trials.filter(F.col(TRIAL).isNotNull() & (F.col("status") == "finished")).collect()
+    return {int(row[TRIAL]): LoggedTrial(float(row["auc_val"]), float(row["trial_duration"])) for row in done}
 
 
 def leaderboard(
@@ -93,10 +126,16 @@ def register_model(
     sample: DataFrame,
     feature_cols: Sequence[str],
     fmt: str = "parquet",
-) -> None:
-    """Save ``model`` and point ``name@alias`` at it, with its signature and five input rows."""
-    save_model(model, model_path)
+    expected: int | None = None,
+) -> int:
+    """Save ``model`` and point ``name@alias`` at it, with its signature and five input rows; returns the alias's version.
+
+    Versions count up, and of several writers each gets one of its own, so the last one wins whatever their clocks say.
+    With ``expected`` (0: none yet) the alias moves only if that is still its version; otherwise ``AliasMoved`` is raised
+    and it stays as it is."""
     spark = sample.sparkSession
+    version = _next_version(spark, registry_path, name, alias, fmt, expected)
+    save_model(model, model_path)
     inputs = sample.select(*feature_cols)
     # Five rows of the feature columns: the size is fixed, whatever the table's.
     rows = [json.loads(text) for text in inputs.limit(5).toJSON().collect()]
@@ -108,8 +147,37 @@ def register_model(
         model.transform(sample).schema.json(),
         json.dumps(rows),
         datetime.now(timezone.utc),
+        version,
     )
-    write_table(spark.createDataFrame([entry], REGISTRY_SCHEMA).coalesce(1), registry_path, fmt, mode="append")
+    append_entry(spark.createDataFrame([entry], REGISTRY_SCHEMA), registry_path, fmt)
+    return version
+
+
+class AliasMoved(RuntimeError):
+    """Another writer has moved the alias meanwhile."""
+
+
+def alias_version(spark: SparkSession, registry_path: str, name: str, alias: str, fmt: str = "parquet") -> int:
+    """The version that ``name@alias`` is at; 0 if nothing is registered."""
+    entries = read_runs(spark, registry_path, fmt)
+    if entries is None:
+        return 0
+    mine = entries.filter((F.col("model") == name) & (F.col("alias") == alias))
+    return mine.agg(F.max("version")).first()[0] or 0
+
+
+def _next_version(spark: SparkSession, path: str, name: str, alias: str, fmt: str, expected: int | None) -> int:
+    """A version that no other writer has: the first one after the alias's whose file can be created."""
+    now = alias_version(spark, path, name, alias, fmt)
+    if expected is not None and now != expected:
+        raise AliasMoved(f"{name}@{alias} is at version {now}, not {expected}")
+    folder = f"{path.rstrip('/')}/_versions/{quote(name, safe='')}@{quote(alias, safe='')}"
+    version = now + 1
+    while not claim(spark, f"{folder}/{version}"):
+        if expected is not None:
+            raise AliasMoved(f"{name}@{alias} is being moved from version {now} by another writer")
+        version += 1
+    return version
 
 
 def saved_run(
@@ -132,8 +200,8 @@ def run_model(runs: DataFrame, run_id: str) -> PipelineModel:
 
 def registered_models(spark: SparkSession, registry_path: str, fmt: str = "parquet") -> DataFrame:
     """The newest entry per model and alias."""
-    newest = Window.partitionBy("model", "alias").orderBy(F.desc("registered_at"), F.desc("path"))
-    entries = read_table(spark, registry_path, fmt)
+    newest = Window.partitionBy("model", "alias").orderBy(F.desc_nulls_last("version"), F.desc("registered_at"), F.desc("path"))
+    entries = read_entries(spark, registry_path, fmt)
     return entries.withColumn("age", F.row_number().over(newest)).filter(F.col("age") == 1).drop("age")
 
 

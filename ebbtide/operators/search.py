@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
@@ -112,6 +113,11 @@ def _estimator(estimator_cls: type[Estimator], params: Mapping[str, object]) ->
     return estimator_cls(labelCol=LABEL, featuresCol="features", **params)
 
 
+def search_id(*what: object) -> str:
+    """The same id for the same search, so that a restart finds its trials in the run table."""
+    return hashlib.sha256(json.dumps(what, default=repr, sort_keys=True).encode()).hexdigest()[:32]
+
+
 def tune(
     df: DataFrame,
     estimator_cls: type[Estimator],
@@ -122,16 +128,24 @@ def tune(
     run_name: str | None = None,
     seed: int = 42,
     split: str = "hash",
-    parallelism: int = 4,
+    parallelism: int | None = None,
     log: Callable[[list[tuple]], None] | None = None,
+    resume: DataFrame | None = None,
+    data_id: str | None = None,
 ) -> SearchResult:
     """Draw ``max_evals`` points, fit each on 80 % of the people, keep the best on the others.
 
-    The feature vectors are assembled once and kept for all trials; up to ``parallelism`` trials
-    run at a time, and each is itself distributed. A failing trial is recorded and cannot win.
+    The feature vectors are assembled once and kept for all trials; up to ``parallelism`` trials (by default as many as
+    there are cores) run at a time, and each is itself distributed. Each has a scheduler pool of its own: under fair
+    scheduling the small jobs of one fit do not wait for those of another. A failing trial is recorded and cannot win.
     The winner is fitted again on all rows, so its value is a selection score, not a test score.
     ``log`` gets each trial's entries when it ends, and the search's own at the end.
+
+    ``resume`` is the run table that ``log`` writes to. Draws are numbered by the seed, so a search that was stopped and is
+    called again in the same way on the same data (``data_id``) takes the values of finished trials from it and fits the others only;
+    so does one with more draws. Failed trials are tried again.
     """
+    spark = df.sparkSession
     space = {"weightCol": balance.WEIGHT, **space}
     wanted = list(dict.fromkeys([PERSON, *(feature_cols or DEFAULT_FEATURES), LABEL]))
     wanted += [balance.WEIGHT] if balance.WEIGHT in df.columns else []
@@ -145,24 +159,26 @@ def tune(
     measure = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", metricName=metric, numBins=0)
 
     algorithm = estimator_cls.__name__
-    run_id, run_name = registry.new_run_id(), run_name or f"Search_{algorithm}"
-
-    one_writer = Lock()
+    run_name = run_name or f"Search_{algorithm}"
+    run_id, before = registry.new_run_id(), {}
+    if resume is not None:
+        run_id = search_id(run_name, algorithm, {k: repr(v) for k, v in space.items()}, wanted, metric, seed, split, data_id)
+        before = registry.finished_trials(resume, run_id)
 
     def logged(rows: list[tuple]) -> list[tuple]:
         if log:
-            with one_writer:  # two appends to one table at a time would remove each other's temporary files
-                log(rows)
+            log(rows)
         return rows
 
     def trial_rows(number: int, trial: Trial) -> list[tuple]:
         figures = {"trial_duration": trial.seconds} | ({} if trial.value is None else {"auc_val": trial.value})
-        tags = {"stage": "tuning_trial", "status": "failed" if trial.error else "finished"}
+        tags = {"stage": "tuning_trial", "status": "failed" if trial.error else "finished", registry.TRIAL: str(number)}
         tags |= {"error": trial.error} if trial.error else {}
         return registry.run_rows(registry.new_run_id(), f"{run_name}_{number}", trial.params, figures, tags, parent_id=run_id)
 
     def attempt(drawn: tuple[int, dict[str, object]]) -> tuple[Trial, list[tuple]]:
         number, params = drawn
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{run_name}-{number}")
         started = time.perf_counter()
         try:
             model = _estimator(estimator_cls, params).fit(train_rows)
@@ -172,21 +188,31 @@ def tune(
         trial = Trial(params, value, time.perf_counter() - started, error)
         return trial, logged(trial_rows(number, trial))
 
-    with kept(train_rows, check_rows), ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        run = inheritable_thread_target(df.sparkSession)(attempt)
-        done = list(pool.map(run, enumerate(draws(space, max_evals, seed))))
-    trials = [trial for trial, _ in done]
+    points = list(enumerate(draws(space, max_evals, seed)))
+    missing = [(number, params) for number, params in points if number not in before]
+    workers = max(1, min(parallelism or spark.sparkContext.defaultParallelism, len(missing)))
+    with kept(train_rows, check_rows):
+        pool = ThreadPoolExecutor(max_workers=workers)
+        try:
+            run = inheritable_thread_target(spark)(attempt)
+            done = dict(zip((number for number, _ in missing), pool.map(run, missing), strict=True))
+        finally:
+            pool.shutdown(cancel_futures=True)  # a search that is stopped starts no more trials
+    for number, params in points:
+        if number in before:
+            done[number] = Trial(params, before[number].value, before[number].seconds), []
+    trials = [done[number][0] for number, _ in points]
     best = best_trial(trials)
     model = pipeline(_estimator(estimator_cls, best.params), feature_cols).fit(weighted(df))
 
-    rows = logged(
-        registry.run_rows(
-            run_id,
-            run_name,
-            {f"best_{name}": value for name, value in best.params.items()},
-            {"best_auc_val": best.value},
-            {"type": "hyperparameter_tuning", "algorithm": algorithm},
-        )
+    rows = registry.run_rows(
+        run_id,
+        run_name,
+        {f"best_{name}": value for name, value in best.params.items()},
+        {"best_auc_val": best.value},
+        {"type": "hyperparameter_tuning", "algorithm": algorithm},
     )
-    rows = rows + [row for _, own in done for row in own]
+    if missing or resume is None:  # otherwise they are in the run table already
+        logged(rows)
+    rows = rows + [row for number, _ in points for row in done[number][1]]
     return SearchResult(run_id, best, trials, model, rows)

@@ -264,14 +264,19 @@ def tune(
     features: DataFrame,
     runs_path: str | None = None,
     max_evals: int | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     seed: int = 42,
     models_path: str | None = None,
 ) -> dict[str, search.SearchResult]:
     """The three searches; ``max_evals`` replaces the number of draws of every space.
 
-    Every trial is logged when it ends, so that a lost driver loses only what was running; the refitted winner is saved."""
+    Every trial is logged when it ends, so that a lost driver loses only what was running: the same call goes on with the
+    draws that are not in the run table. The refitted winner is saved."""
     spark, done = features.sparkSession, {}
+    data_id = None
+    if runs_path:
+        totals = features.agg(F.count("*"), F.sum(manifest.row_digest(features))).first()
+        data_id = "-".join(map(str, totals))
     for name, (estimator_cls, space, evals) in search.SPACES.items():
         done[name] = search.tune(
             features,
@@ -283,6 +288,8 @@ def tune(
             seed=seed,
             parallelism=parallelism,
             log=partial(_logged, spark, runs_path),
+            resume=None if runs_path is None else registry.read_runs(spark, runs_path) or registry.runs_frame(spark, []),
+            data_id=data_id,
         )
         if models_path:
             found = done[name]

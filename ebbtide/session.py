@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Trials of a search have a pool each; without pools this is the same as first in, first out.
+    "spark.scheduler.mode": "FAIR",
 }
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,6 +130,39 @@ def write_table(
     _writer(df, fmt, mode, partition_by, by_partition).save(path)
 
 
+_one_claim = Lock()
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file at ``path``; false if there is one. Of several writers only one gets it.
+
+    File systems of clusters create without overwriting in one step; the lock makes a local one do so for the threads of a driver."""
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path)
+    with _one_claim:
+        return bool(file.getFileSystem(context._jsc.hadoopConfiguration()).createNewFile(file))
+
+
+#: The partition column that tells appends of several writers apart.
+ENTRY = "entry"
+
+
+def append_entry(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append a few rows to a table that several drivers or threads append to at a time.
+
+    Files are written to a folder of their own, so that no writer's commit or clean-up touches another's. Table formats
+    with commits of their own are appended to as they are."""
+    if fmt == "parquet":
+        df.coalesce(1).write.parquet(f"{path.rstrip('/')}/{ENTRY}=log-{uuid.uuid4().hex}")
+    else:
+        write_table(df.coalesce(1), path, fmt, mode="append")
+
+
+def read_entries(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of all appends."""
+    return read_table(spark, path, fmt).drop(ENTRY)
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
     """Remove the partitions of the table at ``path`` that hold these values of ``column``, if they are there."""
     context = spark.sparkContext

@@ -1,6 +1,7 @@
 """Weights, splits, metrics, training, search, registry and scoring."""
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -288,3 +289,82 @@ def test_selection_scores_are_exact_beyond_the_evaluators_bins(spark):
     drawn = spark.range(6000).select(F.rand(1).alias("score"), (F.rand(2) < 0.5).cast("int").alias("churn"))
     judge = BinaryClassificationEvaluator(labelCol="churn", rawPredictionCol="score", numBins=0)
     assert judge.evaluate(drawn) == pytest.approx(evaluate.auc_roc(drawn).first().auc_roc, abs=1e-12)
+
+
+SMALL_SPACE = {"regParam": search.Uniform(0, 1, 0.01), "maxIter": search.Uniform(3, 5, 1), "elasticNetParam": 0.0}
+
+
+def test_a_stopped_search_goes_on_where_it_was(spark, gold, tmp_path, monkeypatch):
+    """Stopped after 4 of 12 trials: the rest is fitted, the winner is that of a search in one go."""
+    path, fitted = str(tmp_path / "runs"), []
+    whole = search.tune(gold, LogisticRegression, SMALL_SPACE, max_evals=12, run_name="LR", parallelism=4)
+    make = search._estimator
+    monkeypatch.setattr(search, "_estimator", lambda cls, params: fitted.append(params) or make(cls, params))
+
+    def stopping(rows):
+        if len(fitted) > 4:
+            raise KeyboardInterrupt
+        registry.log_runs(spark, path, rows)
+
+    def tune(log, evals=12, data_id="d", **options):
+        runs = registry.read_runs(spark, path)
+        resume = registry.runs_frame(spark, []) if runs is None else runs
+        return search.tune(gold, LogisticRegression, SMALL_SPACE, max_evals=evals, run_name="LR", log=log, resume=resume, data_id=data_id, **options)
+
+    with pytest.raises(KeyboardInterrupt):
+        tune(stopping, parallelism=1)
+    assert 5 <= len(fitted) < 12
+    fitted.clear()
+    append = lambda rows: registry.log_runs(spark, path, rows)
+    found = tune(append, parallelism=4)
+    assert len(fitted) == 8 + 1  # eight trials and the winner on all rows
+    assert found.best.params == whole.best.params and found.best.value == pytest.approx(whole.best.value)
+    assert [t.params for t in found.trials] == [t.params for t in whole.trials]
+    runs = registry.read_runs(spark, path)
+    assert runs.filter(F.col("parent_id") == found.run_id).select("run_id").distinct().count() == 12
+    assert runs.filter("name = 'best_auc_val'").count() == 1
+    fitted.clear()
+    again = tune(append)
+    assert len(fitted) == 1 and again.best.value == found.best.value and registry.read_runs(spark, path).count() == runs.count()
+    fitted.clear()
+    assert len(tune(append, evals=14).trials) == 14 and len(fitted) == 3  # more draws
+    fitted.clear()
+    tune(append, evals=2, data_id="other")  # other data: nothing is taken over
+    assert len(fitted) == 3
+
+
+def test_several_writers_lose_nothing(spark, tmp_path):
+    path, n = str(tmp_path / "runs"), 24
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: registry.log_runs(spark, path, registry.run_rows(f"r{i}", f"n{i}", {"p": i}, {"auc_roc": i / n})), range(n)))
+    runs = registry.read_runs(spark, path)
+    assert {r.run_id for r in runs.collect()} == {f"r{i}" for i in range(n)} and runs.count() == 2 * n
+    assert registry.read_runs(spark, str(tmp_path / "none")) is None
+
+
+def test_an_alias_is_moved_by_one_writer_at_a_time(spark, gold, tmp_path):
+    model = training.pipeline(training.baselines()["LogisticReg_Baseline"], customers.FEATURES).fit(training.weighted(gold))
+    table = str(tmp_path / "registry")
+
+    def register(i, expected=None, name="churn"):
+        return registry.register_model(table, name, "production", model, str(tmp_path / f"{name}{i}"), gold, customers.FEATURES, expected=expected)
+
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(register, range(8)))
+    assert sorted(versions) == list(range(1, 9))
+    newest = registry.registered_models(spark, table).collect()
+    assert len(newest) == 1 and newest[0].path.endswith(f"churn{versions.index(8)}") and newest[0].version == 8
+    assert registry.alias_version(spark, table, "churn", "production") == 8
+    assert register("next", expected=8) == 9
+    with pytest.raises(registry.AliasMoved):
+        register("late", expected=8)
+
+    def only_one(i):
+        try:
+            return register(i, expected=0, name="other/model")
+        except registry.AliasMoved:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(filter(None, pool.map(only_one, range(4)))) == [1]
+    assert registry.load_model(spark, table, "other/model") is not None
