@@ -8,6 +8,7 @@ import sys
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
+from functools import reduce
 from types import ModuleType
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -275,13 +276,10 @@ def _tune(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """A whole search with all its draws, read back from the run table that it wrote trial by trial."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        estimator_cls, space, evals = search.SPACES[name]
+        _, space, _ = search.SPACES[name]
         gold, path = _feature_table(spark, sf_dir), working_folder(spark, "runs")
-        found = search.tune(
-            gold, estimator_cls, space, customers.FEATURES, max_evals=evals, run_name=name, parallelism=8,
-            log=lambda rows: registry.log_runs(spark, path, rows),
-        )
-        runs = files.read_table(spark, path)
+        found = jobs.tune(gold, path, names=[name])[name]
+        runs = registry.read_runs(spark, path)
         trials = runs.filter(F.col("parent_id") == found.run_id)
         values = trials.filter("kind = 'metric' AND name = 'auc_val'").select(F.col("value").cast("double").alias("v"))
         measured = values.agg(F.count("*").alias("n"), F.max("v").alias("best"), F.sum((F.col("v").between(0, 1)).cast("int")).alias("areas")).first()
@@ -307,7 +305,7 @@ def _saved_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training job logs and saves; the best logged run's model, loaded by its logged path, scores as in memory."""
     gold, folder = _feature_table(spark, sf_dir), working_folder(spark, "training")
     done = jobs.train(gold, f"{folder}/runs", f"{folder}/models")
-    runs = files.read_table(spark, f"{folder}/runs")
+    runs = registry.read_runs(spark, f"{folder}/runs")
     best = registry.best_run(runs, "auc_roc").first()
     loaded = registry.run_model(runs, best["run_id"])
     before, after = (m.transform(gold).select(customers.PERSON, "probability") for m in (done[best["run_name"]].model, loaded))
@@ -336,7 +334,7 @@ def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         graded = _graded(_feature_table(spark, sf_dir), rule)
         metrics = evaluate.classification_metrics(graded).first().asDict()
         registry.log_runs(spark, path, registry.run_rows(rule, rule, {"rule": rule}, metrics))
-    logged = files.read_table(spark, path).filter("kind = 'metric'")
+    logged = registry.read_runs(spark, path).filter("kind = 'metric'")
     return logged.select("run_id", "name", F.col("value").cast("double").alias("value"))
 
 
@@ -362,6 +360,48 @@ def _default_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("place").agg(F.count("*").alias("rows"), F.round(F.sum("value"), 2).alias("total"))
 
 
+def _exploration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exploration job's tables in long form, from one scan's value counts (and the correlation's own)."""
+    tables = jobs.eda(_feature_table(spark, sf_dir))
+    long = {
+        "describe": (F.col("column_name"), F.round("stddev", 6)),
+        "class_share": (F.col(customers.LABEL).cast("string"), F.round("percent", 6)),
+        "histogram": (F.concat_ws(" ", "column_name", "bin"), F.col("rows").cast("double")),
+        "density": (F.concat_ws(" ", "column_name", "point"), F.round("density", 7)),
+        "top_categories": (F.concat_ws(" ", "column_name", "place", "value"), F.col("rows").cast("double")),
+        "correlation": (F.concat_ws(" ", "column_a", "column_b"), F.round("correlation", 6)),
+    }
+    parts = [
+        tables[name].select(F.lit(name).alias("table_name"), key.alias("key"), value.alias("value"))
+        for name, (key, value) in long.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: Days before the newest order: three closed snapshots, and one whose response window is still open.
+SNAPSHOT_DAYS = (270, 180, 90, 30)
+
+
+def _score_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model fitted on closed snapshots and measured on the last of them scores the open one: who took which part."""
+    tables, detailed = shop_tables(spark, sf_dir), _silver_orders(spark, sf_dir)
+    newest = datetime.fromisoformat(orders.study_bounds(detailed).end)
+    folder = working_folder(spark, "later")
+    snapshots = [newest - timedelta(days=days) for days in SNAPSHOT_DAYS]
+    features = jobs.store_gold(jobs.gold(tables, snapshots=snapshots, detailed=detailed), f"{folder}/gold")
+    done = jobs.score_later(features, training.baselines()["LogisticReg_Baseline"], "later", f"{folder}/runs", f"{folder}/models")
+    loaded = registry.run_model(registry.read_runs(spark, f"{folder}/runs"), done.run_id)
+    today = features.filter(F.col("snapshot_date") == F.lit(snapshots[-1].date()))
+    predicted = loaded.transform(today).filter("prediction = 1").select(customers.PERSON)
+    reported = done.report.select(customers.PERSON)
+    fits = predicted.exceptAll(reported).isEmpty() and reported.exceptAll(predicted).isEmpty()
+    people = features.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date")).agg(
+        F.count("*").alias("people"), F.count(customers.LABEL).alias("labelled"), F.sum(customers.LABEL).alias("churned")
+    )
+    measured = 0 <= done.metrics["auc_roc"] <= 1
+    return people.select("*", F.lit(fits).alias("report_fits"), F.lit(measured).alias("measured"))
+
+
 def _scored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scoring job with a fitted model, stored and read back: each person at risk, once, and the label that goes with it."""
     gold, folder = _feature_table(spark, sf_dir), working_folder(spark, "mart")
@@ -502,6 +542,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_from_silver": lambda spark, sf_dir: _rounded(_gold_from_silver(spark, sf_dir)),
         "feature_store": lambda spark, sf_dir: _rounded(_feature_store(spark, sf_dir)),
         "daily_snapshots": lambda spark, sf_dir: _rounded(_daily_snapshots(spark, sf_dir)),
+        "exploration": _exploration,
+        "score_later": _score_later,
+        "reviewed": lambda spark, sf_dir: customers.with_reviewed(_feature_table(spark, sf_dir)).select(customers.PERSON, "reviewed"),
         "describe": on_features(explore.describe),
         "value_share": on_features(lambda gold: explore.value_share(gold, customers.LABEL)),
         "correlation": on_features(explore.correlation),

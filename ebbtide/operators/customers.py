@@ -148,6 +148,11 @@ def _per_person(rows: DataFrame, snapshot: Column, seen: Column, *keys: str) ->
     return _finished(_states(rows, seen, *keys), snapshot, *keys)
 
 
+def with_reviewed(features: DataFrame) -> DataFrame:
+    """``features`` with ``reviewed``: 0 where the scores are 0 because the person has written no review."""
+    return features.withColumn("reviewed", (F.coalesce("total_reviews_given", F.lit(0)) > 0).cast("int"))
+
+
 def rfm_features(master: DataFrame, snapshot: str | datetime) -> DataFrame:
     """Recency, frequency, monetary value and the other features of each person; nulls kept."""
     at = moment(master, PURCHASED, snapshot)

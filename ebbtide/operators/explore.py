@@ -142,19 +142,14 @@ def _ranges(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
     return _rows_of(df.agg(*measures), structs)
 
 
-def histogram(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS), bins: int = 20) -> DataFrame:
-    """Rows per equal-width bin between each column's extremes; the last bin is closed.
-
-    Empty bins are rows too. A column with a single value falls into bin 0.
-    """
-    ranges = _ranges(df, columns, bins)
+def _binned(values: DataFrame, ranges: DataFrame, bins: int) -> DataFrame:
+    """The histogram of (column_name, value, rows) within ``ranges``."""
     position = F.floor((F.col("value") - F.col("low")) / F.nullif(F.col("width"), F.lit(0.0)))
     bin_of = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = (
-        _long(df, columns, "double")
-        .join(F.broadcast(ranges), "column_name")  # one row per column, whatever the table's size
+        values.join(F.broadcast(ranges), "column_name")  # one row per column, whatever the table's size
         .groupBy("column_name", bin_of.alias("bin"))
-        .agg(F.count("*").alias("rows"))
+        .agg(F.sum("rows").alias("rows"))
     )
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return grid.join(counts, ["column_name", "bin"], "left").select(
@@ -168,22 +163,24 @@ def histogram(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS),
     )
 
 
+def histogram(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS), bins: int = 20) -> DataFrame:
+    """Rows per equal-width bin between each column's extremes; the last bin is closed.
+
+    Empty bins are rows too. A column with a single value falls into bin 0.
+    """
+    one_each = _long(df, columns, "double").withColumn("rows", F.lit(1))
+    return _binned(one_each, _ranges(df, columns, bins), bins)
+
+
 #: The density's points lie half a bandwidth apart; a value adds to those within so many bandwidths.
 REACH = 6
 
 
-def density(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS)) -> DataFrame:
-    """Gaussian kernel density over all values of each column, wherever it is not practically zero.
-
-    The bandwidth is ``stddev * n^(-1/5)``. Points are the multiples of half of it (``step``), so that their
-    densities times the step add up to 1 whatever the number of rows, and outliers cost no empty points.
-    Equal values are counted together first; each then adds to the 25 points around it, and points are summed
-    map-side. A column with one distinct value, or none, has no density and no rows.
-    """
-    ranges = _ranges(df, columns, 1)
+def _kernels(values: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The density of distinct (column_name, value, rows)."""
     bandwidth = F.col("spread") * F.pow(F.col("total"), F.lit(-0.2))
-    steps = ranges.filter(bandwidth > 0).select("column_name", "total", (bandwidth / 2).alias("step"))
-    values = _long(df, columns, "double").groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+    # The spread of equal values need not come out as exactly 0.
+    steps = ranges.filter((F.col("width") > 0) & (bandwidth > 0)).select("column_name", "total", (bandwidth / 2).alias("step"))
     nearest = F.col("value") / F.col("step")
     around = F.sequence(F.ceil(nearest - 2 * REACH), F.floor(nearest + 2 * REACH))
     kernel = F.exp(-0.5 * F.pow((F.col("point") - nearest) / 2, F.lit(2)))
@@ -202,11 +199,106 @@ def density(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS)) ->
     )
 
 
+def density(df: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS)) -> DataFrame:
+    """Gaussian kernel density over all values of each column, wherever it is not practically zero.
+
+    The bandwidth is ``stddev * n^(-1/5)``. Points are the multiples of half of it (``step``), so that their
+    densities times the step add up to 1 whatever the number of rows, and outliers cost no empty points.
+    Equal values are counted together first; each then adds to the 25 points around it, and points are summed
+    map-side. A column with one distinct value, or none, has no density and no rows.
+    """
+    values = _long(df, columns, "double").groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+    return _kernels(values, _ranges(df, columns, 1))
+
+
+def _ranked(counts: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("column_name").orderBy(F.desc("rows"), "value")
+    return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+
+
 def top_categories(df: DataFrame, columns: Sequence[str] = tuple(CATEGORY_COLUMNS), k: int = 10) -> DataFrame:
     """The ``k`` most frequent values of each column, ties in value order; nulls are left out.
 
     Spark keeps at most ``k`` rows per column in each task before the ranking shuffle.
     """
-    counts = _long(df, columns, "string").groupBy("column_name", "value").agg(F.count("*").alias("rows"))
-    order = Window.partitionBy("column_name").orderBy(F.desc("rows"), "value")
-    return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return _ranked(_long(df, columns, "string").groupBy("column_name", "value").agg(F.count("*").alias("rows")), k)
+
+
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """How often each value of each numeric and string column occurs: (column_name, number, text, rows), nulls left out.
+
+    One scan from which the summary, shares, histogram, density and top categories follow; store it, and
+    they read it instead of the data. Equal values are combined before they are sent."""
+    structs = []
+    for field in df.schema:
+        if columns is not None and field.name not in columns:
+            continue
+        column, text = F.col(field.name), isinstance(field.dataType, StringType)
+        if text or isinstance(field.dataType, NumericType):
+            number = F.lit(None).cast("double") if text else column.cast("double")
+            structs.append(F.struct(F.lit(field.name).alias("column_name"), number.alias("number"), (column if text else F.lit(None)).cast("string").alias("text")))
+    if not structs:
+        raise ValueError("there is no numeric or string column to count")
+    known = F.col("number").isNotNull() | F.col("text").isNotNull()
+    return _rows_of(df, structs).filter(known).groupBy("column_name", "number", "text").agg(F.count("*").alias("rows"))
+
+
+def _spreads(values: DataFrame, *keys: str) -> DataFrame:
+    """Per ``keys``: weighted mean and standard deviation of ``value``; rows without one are left out."""
+    known = values.filter(F.col("value").isNotNull())
+    means = known.groupBy(*keys).agg(F.sum("rows").alias("numbers"), (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("mean"))
+    apart = known.join(F.broadcast(means), list(keys))  # one row per column
+    squares = F.sum(F.col("rows") * F.pow(F.col("value") - F.col("mean"), F.lit(2)))
+    spread = F.when(F.first("numbers") > 1, F.sqrt(squares / (F.first("numbers") - 1)))
+    return apart.groupBy(*keys).agg(F.first("mean").alias("mean"), spread.alias("spread"))
+
+
+def describe_counts(counts: DataFrame) -> DataFrame:
+    """``describe`` from value counts."""
+    values = counts.withColumn("value", F.coalesce("number", _as_number(F.col("text"))))
+    totals = counts.groupBy("column_name").agg(
+        F.sum("rows").alias("count"),
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
+        F.min("text").alias("min_text"),
+        F.max("text").alias("max_text"),
+    )
+    both = totals.join(_spreads(values, "column_name").withColumnRenamed("spread", "stddev"), "column_name", "left")
+    return both.select("column_name", "count", "mean", "stddev", "min", "max", "min_text", "max_text")
+
+
+def value_share_counts(counts: DataFrame, column: str) -> DataFrame:
+    """``value_share`` of a column from value counts; its values are numbers, or text."""
+    mine = counts.filter(F.col("column_name") == column)
+    total = mine.agg(F.sum("rows")).scalar()
+    return mine.select("number", "text", "rows", (F.col("rows") * 100.0 / total).alias("percent"))
+
+
+def _numbers(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    wanted = F.col("column_name").isin(list(columns)) & F.col("number").isNotNull()
+    return counts.filter(wanted).select("column_name", F.col("number").alias("value"), "rows")
+
+
+def _counted_ranges(values: DataFrame, bins: int) -> DataFrame:
+    extremes = values.groupBy("column_name").agg(
+        F.sum("rows").alias("total"), F.min("value").alias("low"), ((F.max("value") - F.min("value")) / bins).alias("width")
+    )
+    return extremes.join(_spreads(values, "column_name").drop("mean"), "column_name")
+
+
+def histogram_counts(counts: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS), bins: int = 20) -> DataFrame:
+    """``histogram`` from value counts; a column without values has no bins."""
+    values = _numbers(counts, columns)
+    return _binned(values, _counted_ranges(values, bins), bins)
+
+
+def density_counts(counts: DataFrame, columns: Sequence[str] = tuple(HISTOGRAM_COLUMNS)) -> DataFrame:
+    """``density`` from value counts."""
+    values = _numbers(counts, columns)
+    return _kernels(values, _counted_ranges(values, 1))
+
+
+def top_categories_counts(counts: DataFrame, columns: Sequence[str] = tuple(CATEGORY_COLUMNS), k: int = 10) -> DataFrame:
+    """``top_categories`` of text columns from value counts."""
+    texts = counts.filter(F.col("column_name").isin(list(columns)) & F.col("text").isNotNull())
+    return _ranked(texts.select("column_name", F.col("text").alias("value"), "rows"), k)

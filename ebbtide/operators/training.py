@@ -102,13 +102,24 @@ def train(
     ``split="hash"`` assigns people by their key, ``"random"`` uses Spark's seeded split. Without
     a weight column in ``df``, class weights come from the training part.
     """
-    algorithm = type(estimator).__name__
-    run_name = run_name or algorithm
     wanted = list(dict.fromkeys([PERSON, *(feature_cols or DEFAULT_FEATURES), LABEL]))
     wanted += [balance.WEIGHT] if balance.WEIGHT in df.columns else []
     halves = balance.hash_split if split == "hash" else balance.random_split
     train_part, test_part = halves(df.select(*wanted), 0.7)
 
+    return train_on(train_part, test_part, estimator, run_name, feature_cols)
+
+
+def train_on(
+    train_part: DataFrame,
+    test_part: DataFrame,
+    estimator: Estimator,
+    run_name: str | None = None,
+    feature_cols: Sequence[str] | None = None,
+) -> TrainedRun:
+    """Fit ``estimator`` on one part and measure it on the other."""
+    algorithm = type(estimator).__name__
+    run_name = run_name or algorithm
     with kept(train_part, test_part):
         started = time.perf_counter()
         model = pipeline(estimator, feature_cols).fit(weighted(train_part))

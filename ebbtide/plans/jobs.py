@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from functools import partial
+from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,19 +227,32 @@ def store_gold(features: DataFrame, path: str) -> DataFrame:
     return files.read_table(features.sparkSession, path)
 
 
+def _class_share(counts: DataFrame) -> DataFrame:
+    return explore.value_share_counts(counts, customers.LABEL).select(
+        F.col("number").cast("int").alias(customers.LABEL), "rows", "percent"
+    )
+
+
+#: What follows from the stored counts of every column's values.
 EXPLORATIONS = {
-    "describe": explore.describe,
-    "class_share": lambda features: explore.value_share(features, customers.LABEL),
-    "histogram": explore.histogram,
-    "density": explore.density,
-    "top_categories": explore.top_categories,
-    "correlation": explore.correlation,
+    "describe": explore.describe_counts,
+    "class_share": _class_share,
+    "histogram": explore.histogram_counts,
+    "density": explore.density_counts,
+    "top_categories": explore.top_categories_counts,
 }
 
 
 def eda(features: DataFrame) -> dict[str, DataFrame]:
-    """The exploration tables of a feature table, by name."""
-    return {name: operator(features) for name, operator in EXPLORATIONS.items()}
+    """The exploration tables of a feature table, by name.
+
+    One scan counts every column's values, and the tables are made from the stored counts; only the correlation, which
+    is of pairs, scans the table itself."""
+    path = working_folder(features.sparkSession, "value-counts")
+    files.write_table(explore.value_counts(features), path)
+    counts = files.read_table(features.sparkSession, path)
+    tables = {name: operator(counts) for name, operator in EXPLORATIONS.items()}
+    return tables | {"correlation": explore.correlation(features)}
 
 
 def _logged(spark: SparkSession, runs_path: str | None, rows: list[tuple]) -> None:
@@ -267,8 +281,9 @@ def tune(
     parallelism: int | None = None,
     seed: int = 42,
     models_path: str | None = None,
+    names: Sequence[str] | None = None,
 ) -> dict[str, search.SearchResult]:
-    """The three searches; ``max_evals`` replaces the number of draws of every space.
+    """The three searches, or those named; ``max_evals`` replaces the number of draws of every space.
 
     Every trial is logged when it ends, so that a lost driver loses only what was running: the same call goes on with the
     draws that are not in the run table. The refitted winner is saved."""
@@ -277,7 +292,8 @@ def tune(
     if runs_path:
         totals = features.agg(F.count("*"), F.sum(manifest.row_digest(features))).first()
         data_id = "-".join(map(str, totals))
-    for name, (estimator_cls, space, evals) in search.SPACES.items():
+    for name in search.SPACES if names is None else names:
+        estimator_cls, space, evals = search.SPACES[name]
         done[name] = search.tune(
             features,
             estimator_cls,
@@ -298,6 +314,47 @@ def tune(
     return done
 
 
+class LaterScores(NamedTuple):
+    """What ``score_later`` gives: the run measured on the newest closed snapshot, the model fitted on all closed ones, and the
+    report on the open one."""
+
+    run_id: str
+    metrics: dict[str, float]
+    model: PipelineModel
+    report: DataFrame
+
+
+def score_later(
+    features: DataFrame,
+    estimator: Estimator,
+    run_name: str | None = None,
+    runs_path: str | None = None,
+    models_path: str | None = None,
+    report_table: str | None = None,
+) -> LaterScores:
+    """Fit on the past, score the present: ``features`` of several snapshots, as ``gold`` or ``gold_from_states`` give them.
+
+    Snapshots whose label is known are closed. The model is fitted on all of them but the newest and measured on that
+    one, which lies later than all it was fitted on; then it is fitted on all closed snapshots, and the newest open
+    snapshot is scored. No row is used to fit a model that scores or measures it."""
+    known = F.col(customers.LABEL).isNotNull()
+    dates = features.groupBy("snapshot_date").agg(F.min(known.cast("int")).alias("closed")).collect()  # a row per snapshot
+    closed = sorted(row["snapshot_date"] for row in dates if row["closed"])
+    still_open = sorted(row["snapshot_date"] for row in dates if not row["closed"])
+    if len(closed) < 2 or not still_open or still_open[-1] < closed[-1]:
+        raise ValueError("two closed snapshots and a later open one are needed")
+    day = F.col("snapshot_date")
+    past, newest = features.filter(day.isin(closed[:-1])), features.filter(day == F.lit(closed[-1]))
+    run = training.train_on(past, newest, estimator, run_name, customers.FEATURES)
+    model = training.pipeline(estimator, customers.FEATURES).fit(training.weighted(features.filter(day.isin(closed))))
+    spark, rows = features.sparkSession, list(run.rows)
+    if models_path:
+        rows += registry.saved_run(spark, models_path, run.run_id, run_name or type(estimator).__name__, model, newest, customers.FEATURES)
+    _logged(spark, runs_path, rows)
+    report = score(model, features.filter(day == F.lit(still_open[-1])), report_table)
+    return LaterScores(run.run_id, run.metrics, model, report)
+
+
 def score(model: PipelineModel, features: DataFrame, report_table: str | None = None) -> DataFrame:
     """The report of predicted churners, stored as ``report_table`` if a name is given."""
     report = scoring.churn_report(scoring.score(model, features))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -81,6 +83,10 @@ def csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
     return found
 
 
+#: Tables that are registered at a time.
+REGISTER_THREADS = 4
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
@@ -93,12 +99,18 @@ def register_directory(
     types: Mapping[str, str] | None = None,
     fmt: str = "parquet",
 ) -> list[str]:
-    """Store every CSV of ``directory`` as table ``database.<file stem>``, replacing older ones."""
-    names = []
-    for stem, path in csv_tables(spark, directory).items():
-        names.append(f"{database}.{stem}")
-        save_as_table(read_csv(spark, path, types), names[-1], fmt)
-    return names
+    """Store every CSV of ``directory`` as table ``database.<file stem>``, replacing older ones.
+
+    Tables are read and written several at a time, so that small ones do not wait for each other's jobs."""
+    found = csv_tables(spark, directory)
+
+    def store(stem: str) -> str:
+        name = f"{database}.{stem}"
+        save_as_table(read_csv(spark, found[stem], types), name, fmt)
+        return name
+
+    with ThreadPoolExecutor(max_workers=REGISTER_THREADS) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(store), found))
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -239,6 +239,23 @@ def _density() -> str:
         WHERE v IS NOT NULL GROUP BY column_name, point"""
 
 
+def _exploration() -> str:
+    """The exploration tables in long form."""
+    share = """SELECT churn, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS "percent" FROM gold GROUP BY churn"""
+    top = "\nUNION ALL ".join(
+        f"""SELECT '{name} ' || row_number() OVER (ORDER BY count(*) DESC, {name}) || ' ' || {name} AS key, count(*) AS "rows",
+            row_number() OVER (ORDER BY count(*) DESC, {name}) AS place FROM gold WHERE {name} IS NOT NULL GROUP BY {name}"""
+        for name in ("state", "primary_payment_type")
+    )
+    return _with_views(f"""
+        SELECT 'describe' AS table_name, column_name AS key, stddev AS "value" FROM ({_describe()})
+        UNION ALL SELECT 'class_share', CAST(churn AS VARCHAR), "percent" FROM ({share})
+        UNION ALL SELECT 'histogram', column_name || ' ' || bin, CAST("rows" AS DOUBLE) FROM ({_histogram()})
+        UNION ALL SELECT 'density', column_name || ' ' || point, density FROM ({_density()})
+        UNION ALL SELECT 'top_categories', key, CAST("rows" AS DOUBLE) FROM ({top}) WHERE place <= 10
+        UNION ALL SELECT 'correlation', column_a || ' ' || column_b, correlation FROM ({_correlation()})""")
+
+
 RULES = {
     "rule_recency": ("CAST(recency AS DOUBLE)", "recency > 60"),
     "rule_frequency": ("-CAST(frequency AS DOUBLE)", "frequency <= 3"),
@@ -382,6 +399,11 @@ def _queries() -> dict[str, str]:
             LEFT JOIN items_by_order USING (order_id) LEFT JOIN reviews_by_order USING (order_id)""",
         "gold_from_silver": gold,
         "feature_store": _snapshots(gold, 90, 120, 455, 30),
+        "exploration": _exploration(),
+        "score_later": f"""
+            SELECT * FROM (SELECT snapshot_date, count(*) AS people, count(churn) AS labelled, CAST(sum(churn) AS BIGINT) AS churned,
+                   true AS report_fits, true AS measured FROM ({_snapshots(gold, 270, 180, 90, 30)}) GROUP BY snapshot_date)""",
+        "reviewed": "SELECT customer_unique_id, CAST(total_reviews_given > 0 AS INTEGER) AS reviewed FROM gold",
         "daily_snapshots": _snapshots(gold, *range(90, 120)),
         "describe": _describe(),
         "value_share": """

@@ -115,3 +115,45 @@ def test_all_exploration_tables(gold):
     tables = jobs.eda(gold)
     assert set(tables) == {"describe", "class_share", "histogram", "density", "top_categories", "correlation"}
     assert all(table.count() > 0 for table in tables.values())
+
+
+def _close(one, other):
+    """The same rows; doubles up to the last digits."""
+    def plain(df):
+        columns = sorted(df.columns)
+        return sorted((tuple(f"{r[c] if abs(r[c]) > 1e-12 else 0:.7g}" if isinstance(r[c], float) else r[c] for c in columns) for r in df.collect()), key=repr)
+
+    return plain(one) == plain(other)
+
+
+def test_value_counts_give_the_same_tables(spark, gold):
+    """Also with nulls, columns of one value or none, and numbers in text."""
+    odd = spark.range(200).selectExpr(
+        "IF(id % 7 = 0, NULL, id % 5) AS n", "CAST(IF(id % 3 = 0, NULL, id / 9) AS DOUBLE) AS x", "3.5D AS same", "CAST(NULL AS DOUBLE) AS none",
+        "CASE id % 4 WHEN 0 THEN '12' WHEN 1 THEN 'a' WHEN 2 THEN NULL ELSE '-0.5' END AS t", "CAST(id % 3 AS DECIMAL(9, 2)) AS money",
+        "CAST(id % 2 AS INT) AS churn", "current_date() AS day",
+    )
+    numbers, texts = ["n", "x", "same", "none", "money"], ["t"]
+    for df, plots, categories in ((gold, explore.HISTOGRAM_COLUMNS, explore.CATEGORY_COLUMNS), (odd, numbers, texts)):
+        counts = explore.value_counts(df)
+        whole = explore.describe(df)
+        known = [r.column_name for r in whole.filter("count > 0").collect()]
+        # A column without any value has no value counts, and so no row.
+        assert _close(explore.describe_counts(counts), whole.filter(F.col("column_name").isin(known)))
+        filled = [c for c in plots if c in known]
+        assert _close(explore.histogram_counts(counts, plots), explore.histogram(df, filled))
+        assert _close(explore.density_counts(counts, plots), explore.density(df, filled))
+        assert _close(explore.top_categories_counts(counts, categories), explore.top_categories(df, categories))
+        share = explore.value_share_counts(counts, "churn").select(F.col("number").cast("int").alias("churn"), "rows", "percent")
+        assert _close(share, explore.value_share(df, "churn"))
+    with pytest.raises(ValueError):
+        explore.value_counts(odd.select("day"))
+
+
+def test_exploration_scans_the_table_once(spark, gold):
+    tables = jobs.eda(gold)
+    files_read = {name: {f.rsplit("/", 1)[0] for f in df.inputFiles()} for name, df in tables.items()}
+    counts = {name for name, read in files_read.items() if all("value-counts" in f for f in read)}
+    assert counts == set(jobs.EXPLORATIONS)
+    plan = explore.value_counts(gold)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1

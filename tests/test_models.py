@@ -368,3 +368,27 @@ def test_an_alias_is_moved_by_one_writer_at_a_time(spark, gold, tmp_path):
     with ThreadPoolExecutor(4) as pool:
         assert sorted(filter(None, pool.map(only_one, range(4)))) == [1]
     assert registry.load_model(spark, table, "other/model") is not None
+
+
+def test_the_past_is_fitted_and_the_present_scored(spark, gold, tmp_path):
+    """Three closed snapshots and an open one, the same people in all; only rows of the past are seen by a fit."""
+    days = ["2001-01-01", "2001-04-01", "2001-07-01", "2001-09-01"]
+    parts = [gold.withColumn("snapshot_date", F.lit(day).cast("date")) for day in days]
+    parts[3] = parts[3].withColumn("churn", F.lit(None).cast("int"))
+    features = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    path, models = str(tmp_path / "runs"), str(tmp_path / "models")
+    estimator = training.baselines()["LogisticReg_Baseline"]
+    done = jobs.score_later(features, estimator, "later", path, models)
+    direct = training.train_on(parts[0].unionByName(parts[1]), parts[2], estimator, "later", customers.FEATURES)
+    assert done.metrics["auc_roc"] == pytest.approx(direct.metrics["auc_roc"])
+    loaded = registry.run_model(registry.read_runs(spark, path), done.run_id)
+    predicted = {r[0] for r in loaded.transform(parts[3]).filter("prediction = 1").select("customer_unique_id").collect()}
+    assert {r.customer_unique_id for r in done.report.collect()} == predicted
+    for wrong in (parts[0].unionByName(parts[3]), parts[0].unionByName(parts[1]), parts[3]):
+        with pytest.raises(ValueError, match="two closed snapshots"):
+            jobs.score_later(wrong, estimator)
+
+
+def test_people_without_reviews_can_be_told_apart(spark):
+    df = spark.createDataFrame([(1, 0, 0.0), (2, 3, 0.0), (3, None, None)], "customer_unique_id int, total_reviews_given int, avg_satisfaction double")
+    assert [r.reviewed for r in customers.with_reviewed(df).orderBy("customer_unique_id").collect()] == [0, 1, 0]
