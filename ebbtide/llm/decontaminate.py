@@ -1,24 +1,29 @@
 """Test items in training documents: rare n-gram seeds, then local alignment.
 
-Every run of four words of a test item is a seed. The seeds meet the training texts inside the tasks
-that read them: a block of seeds goes to each task (its size is a parameter, so that a benchmark of any
-size is several passes over the texts and no larger table in memory). A first pass counts in how many
-documents each seed occurs. An item keeps as its rare seeds those in few documents, and in any case the
-rarer half of all its seeds, so that an item that was copied very often keeps seeds to be found by.
-In the second pass a document's stretch around rare seeds is aligned with the item word by word
-(Smith-Waterman), which scores edited copies too: words replaced, left out, put in.
+A document holds an item if a local alignment of words (Smith-Waterman: words equal, replaced, left out, put in) reaches a
+given share of the best score that the item could reach, 0 to 1. What such an alignment must contain decides the seeds, so that none
+is missed, however it was edited and however often:
 
-The score is the alignment's share of the best that the item could reach, 0 to 1.
+* Of an item of n words with score f, m words match and e are edits, 2m - e >= 2fn. The matches are at most e + 1 stretches,
+  so at least T = (2f - 1)n - 1 pairs of neighbouring words are as in the item. Pairs are the seeds where that is 1 or more;
+  items too short for it have their single words as seeds, of which at least T = fn match. All lie within (3 - 2f)n words of text.
+* A first pass counts in how many documents each seed occurs. Each item leaves out its T - 1 commonest seeds: one of the T in
+  a copy is among the others, its rare seeds. In the second pass they join documents to items inside the scan's own tasks.
+* A document and an item that meet have their seeds counted, and only where T of them lie within (3 - 2f)n words is the text
+  aligned with the item. Alignments of equal stretches are made once.
+
+A block of seeds goes to each task (its size is a parameter, so that a benchmark of any size is several passes over the texts
+and no larger table in memory).
 
 Words are runs of letters and digits in lower case (ASCII letters; other characters are kept as they are).
-Defined results: null and empty texts hold no item. Items with fewer words than a seed have themselves as
-their only seed; items without words are never found. Repeated items are found each under their id,
+Defined results: null and empty texts hold no item; items without words are never found. Repeated items are found each under their id,
 repeated documents each get their rows. Items with a null id have no id to be found under in ``find``; ``clean`` removes their
 copies like all others'. Without items, or without documents, nothing is found.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,66 +34,77 @@ from pyspark.sql import functions as F
 from ebbtide.llm import hashing
 from ebbtide.llm.frames import fresh, mapped, named, sized, stored
 
-SEED_WORDS = 4
-#: A seed in more than this share of all documents is not rare, unless it is in the rarer half of its item's.
-RARE_SHARE = 0.001
 #: Word equal, word replaced, word left out or put in.
 MATCH, REPLACED, GAP = 2, -1, -1
 SCORE = 0.6
 #: Seeds that go to a task at once (16 bytes each), and words of items (8 bytes each).
 BLOCK_SEEDS = 1_000_000
+#: Bytes of texts whose alignments are remembered in a task.
+MEMORY = 32 << 20
 
 
-class Items:
-    """A block of test items as arrays: their words, and their seeds in the order of the digests."""
+def seed_width(n: int, score: float) -> tuple[int, int]:
+    """Words of a seed (2 or 1) for an item of ``n`` words, and how many seeds each copy holds at least."""
+    pairs = math.ceil((2 * score - 1) * n - 1 - 1e-9)
+    return (2, pairs) if pairs >= 1 else (1, max(1, math.ceil(score * n - 1e-9)))
 
-    def __init__(self, ids: list[int], words: list[np.ndarray]) -> None:
-        self.ids, self.words = ids, words
-        seeds, owner, place = [], [], []
-        for i, own in enumerate(words):
-            found = seeds_of(own)
-            seeds.append(found)
-            owner.append(np.full(len(found), i))
-            place.append(np.arange(len(found)))
-        seeds_, owner_, place_ = (
-            np.concatenate(x) if x else np.zeros(0, kind)
-            for x, kind in ((seeds, np.uint64), (owner, np.int64), (place, np.int64))
-        )
-        order = np.argsort(seeds_, kind="stable")
-        self.seeds, self.owner, self.place = seeds_[order], owner_[order], place_[order]
-        self.distinct = np.unique(self.seeds)
-        #: Most seeds are told absent by this table of bits alone.
-        self.sieve = np.zeros(1 << 22, bool)
-        self.sieve[(self.distinct >> np.uint64(42)).astype(np.int64)] = True
 
-    def known(self, found: np.ndarray) -> np.ndarray:
-        """Places in ``found`` of the seeds in this block."""
-        maybe = np.flatnonzero(self.sieve[(found >> np.uint64(42)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.distinct, found[maybe]), len(self.distinct) - 1)
-        return maybe[self.distinct[at] == found[maybe]]
+def seeds_of(words: np.ndarray, width: int) -> np.ndarray:
+    """The seed that begins at each word."""
+    return hashing.runs(words, 2) if width == 2 else hashing.mix(words + np.uint64(1))
 
-    def only(self, rare: np.ndarray) -> None:
-        """Keeps the seeds (rows of digest, item) that are rare for their item."""
-        self.seeds, self.owner, self.place = (x[rare] for x in (self.seeds, self.owner, self.place))
-        self.distinct = np.unique(self.seeds)
-        self.sieve[:] = False
-        self.sieve[(self.distinct >> np.uint64(42)).astype(np.int64)] = True
 
+class _Seeds:
+    """Distinct seeds of a block with their items, in the order of the digests."""
 
-def seeds_of(words: np.ndarray) -> np.ndarray:
-    if 0 < len(words) < SEED_WORDS:
-        return hashing.mix(hashing.runs(words, len(words)) + np.uint64(len(words)))
-    return hashing.runs(words, SEED_WORDS)
+    def __init__(self, seeds: np.ndarray, owner: np.ndarray) -> None:
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.owner = seeds[order], owner[order]
+        #: Most seeds are told absent by this table of bits alone.
+        self.sieve = np.zeros(1 << 22, bool)
+        self.sieve[(self.seeds >> np.uint64(42)).astype(np.int64)] = True
 
+    def rows(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``found``, item) of every seed in this block."""
+        maybe = np.flatnonzero(self.sieve[(found >> np.uint64(42)).astype(np.int64)])
+        low = np.searchsorted(self.seeds, found[maybe], side="left")
+        count = np.searchsorted(self.seeds, found[maybe], side="right") - low
+        row = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.repeat(maybe, count), self.owner[row]
 
-def _short_lengths(items: Items) -> list[int]:
-    return sorted({len(w) for w in items.words if 0 < len(w) < SEED_WORDS})
 
+class Items:
+    """A block of test items as arrays: their words, their seeds, and how many of these a copy holds at least."""
 
-def _text_seeds(words: np.ndarray, short: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Seeds of a text with the word each begins at; runs of fewer words only if an item is as short."""
-    seeds = [hashing.runs(words, SEED_WORDS)]
-    seeds += [hashing.mix(hashing.runs(words, n) + np.uint64(n)) for n in short]
+    def __init__(self, ids: list[int], words: list[np.ndarray], score: float) -> None:
+        self.ids, self.words = ids, words
+        sizes = np.array([len(w) for w in words])
+        of = [seed_width(len(w), score) for w in words]
+        self.width, self.needed = (np.array([x[i] for x in of]) for i in range(2))
+        self.span = np.floor((3 - 2 * score) * sizes + 1e-9).astype(np.int64)
+        every = [seeds_of(w, k) for w, k in zip(words, self.width.tolist(), strict=True)]
+        #: One row per place of an item; an item may hold a seed several times.
+        self.seeds = np.concatenate(every) if every else np.zeros(0, np.uint64)
+        self.owner = np.repeat(np.arange(len(words)), [len(s) for s in every])
+        self.distinct = np.unique(self.seeds)
+        pairs = np.unique(np.rec.fromarrays([self.seeds, self.owner]))
+        self.all = _Seeds(np.asarray(pairs["f0"]), np.asarray(pairs["f1"]))
+        self.rare = self.all
+
+    def keep_rare(self, documents: np.ndarray) -> None:
+        """Leaves out each item's commonest seeds; ``documents`` has the number for each of the ``distinct`` seeds."""
+        often = documents[np.searchsorted(self.distinct, self.seeds)]
+        order = np.lexsort((self.seeds, -often, self.owner))
+        owner = self.owner[order]
+        rank = np.arange(len(order)) - np.searchsorted(owner, owner)
+        kept = order[rank >= self.needed[owner] - 1]
+        pairs = np.unique(np.rec.fromarrays([self.seeds[kept], self.owner[kept]]))
+        self.rare = _Seeds(np.asarray(pairs["f0"]), np.asarray(pairs["f1"]))
+
+
+def _text_seeds(words: np.ndarray, widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds of a text with the word each begins at."""
+    seeds = [seeds_of(words, k) for k in widths]
     return np.concatenate(seeds), np.concatenate([np.arange(len(s)) for s in seeds])
 
 
@@ -128,70 +144,80 @@ def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best, *span
 
 
-def _stretches(places: np.ndarray, shifts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Word ranges to align: hits of an item less than its length apart share one."""
-    out = []
-    for begin in np.sort(places - shifts):
-        low, high = int(begin) - length // 2, int(begin) + length + length // 2
-        if out and low <= out[-1][1] and high - out[-1][0] <= 6 * length:
-            out[-1] = (out[-1][0], max(high, out[-1][1]))
+def _stretches(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges as few as they can be; ranges that overlap are one. Given in the order of ``low``."""
+    out: list[tuple[int, int]] = []
+    for a, b in zip(low.tolist(), high.tolist(), strict=True):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
-            out.append((low, high))
+            out.append((a, b))
     return out
 
 
 def _counting(items: Items):
-    short = _short_lengths(items)
+    widths = sorted(set(items.width.tolist()))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(items.distinct), np.int64)
-        documents = 0
         for batch in batches:
             for words in _texts(batch.column(0)):
-                documents += 1
-                found, _ = _text_seeds(words, short)
-                if len(found) and len(items.distinct) and len(known := items.known(found)):
-                    total[np.unique(np.searchsorted(items.distinct, found[known]))] += 1
+                found, _ = _text_seeds(words, widths)
+                maybe = found[items.all.sieve[(found >> np.uint64(42)).astype(np.int64)]]
+                if len(maybe):
+                    at = np.minimum(np.searchsorted(items.distinct, maybe), len(items.distinct) - 1)
+                    total[np.unique(at[items.distinct[at] == maybe])] += 1
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(items.distinct[there].view(np.int64), 0)),
-                pa.array(np.append(total[there], 0)),
-                pa.array(np.append(np.zeros(len(there), np.int64), documents)),
-            ],
-            ["seed", "documents", "all"],
+            [pa.array(items.distinct[there].view(np.int64)), pa.array(total[there])], ["seed", "documents"]
         )
 
     return count
 
 
 def _aligning(items: Items, least: float):
-    short = _short_lengths(items)
+    widths = sorted(set(items.width.tolist()))
+
+    def aligned(i: int, text: np.ndarray, memory: dict) -> tuple[int, int, int]:
+        key = (i, text.tobytes())
+        if key not in memory:
+            if memory.get("bytes", 0) > MEMORY:
+                memory.clear()
+            memory["bytes"] = memory.get("bytes", 0) + text.nbytes + 200
+            memory[key] = align(text, items.words[i])
+        return memory[key]
 
     def matches(words: np.ndarray, memory: dict) -> Iterator[tuple[int, float, int, int]]:
-        found, begins = _text_seeds(words, short)
-        if not len(found) or not len(known := items.known(found)):
+        found, begins = _text_seeds(words, widths)
+        _, met = items.rare.rows(found)
+        if not len(met):
+            return
+        meets = np.zeros(len(items.ids), bool)
+        meets[met] = True
+        place, owner = items.all.rows(found)
+        mine = meets[owner]
+        owner, at = owner[mine], begins[place[mine]]
+        order = np.lexsort((at, owner))
+        owner, at = owner[order], at[order]
+        last = np.arange(len(owner)) + items.needed[owner] - 1
+        whole = last < len(owner)
+        last = np.minimum(last, len(owner) - 1)
+        dense = whole & (owner[last] == owner) & (at[last] + items.width[owner] - at <= items.span[owner])
+        if not dense.any():
             return
-        low = np.searchsorted(items.seeds, found[known], side="left")
-        high = np.searchsorted(items.seeds, found[known], side="right")
-        hits = np.repeat(np.arange(len(known)), high - low)
-        rows = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])
-        owner, shift, place = items.owner[rows], items.place[rows], begins[known][hits]
-        for i in np.unique(owner):
-            item, own = items.words[i], owner == i
-            best = (0, 0, 0)
-            for a, b in _stretches(place[own], shift[own], len(item)):
+        first, last, own = at[dense], at[last[dense]], owner[dense]
+        low, high = last + items.width[own] - items.span[own], first + items.span[own]
+        cuts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        for begin, end in zip(cuts, [*cuts[1:], len(own)], strict=True):
+            i, best = int(own[begin]), (0, 0, 0)
+            for a, b in _stretches(low[begin:end], high[begin:end]):
                 a, b = max(a, 0), min(b, len(words))
-                key = (int(i), words[a:b].tobytes())
-                if key not in memory:
-                    if len(memory) > 20_000:
-                        memory.clear()
-                    memory[key] = align(words[a:b], item)
-                score, first, end = memory[key]
+                score, start, stop = aligned(i, words[a:b], memory)
                 if score > best[0]:
-                    best = (score, a + first, a + end)
-            if best[0] >= least * MATCH * len(item):
-                yield int(i), best[0] / (MATCH * len(item)), best[1], best[2]
+                    best = (score, a + start, a + stop)
+            size = MATCH * len(items.words[i])
+            if best[0] >= least * size:
+                yield i, best[0] / size, best[1], best[2]
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict = {}
@@ -214,7 +240,7 @@ def _aligning(items: Items, least: float):
     return search
 
 
-def _blocks(benchmark: DataFrame, id_: str, text: str, seeds: int) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, id_: str, text: str, seeds: int, score: float) -> Iterator[Items]:
     """The test items, a bounded number of words at a time."""
     ids, words, size = [], [], 0
     for row in benchmark.select(named(benchmark, id_).alias("id"), named(benchmark, text).alias("text")).toLocalIterator():
@@ -225,21 +251,10 @@ def _blocks(benchmark: DataFrame, id_: str, text: str, seeds: int) -> Iterator[I
         words.append(own)
         size += len(own)
         if size >= seeds:
-            yield Items(ids, words)
+            yield Items(ids, words, score)
             ids, words, size = [], [], 0
     if ids:
-        yield Items(ids, words)
-
-
-def _rare(items: Items, counts: dict[int, int], documents: int, share: float) -> np.ndarray:
-    """Which seed rows are rare for their item."""
-    often = np.array([counts.get(int(s), 0) for s in items.seeds.view(np.int64)])
-    rare = often <= max(1.0, share * documents)
-    for i in range(len(items.ids)):
-        own = np.flatnonzero(items.owner == i) if not rare[items.owner == i].all() else []
-        if len(own):
-            rare[own[np.argsort(often[own], kind="stable")[: -(-len(own) // 2)]]] = True
-    return rare
+        yield Items(ids, words, score)
 
 
 def find(
@@ -250,7 +265,6 @@ def find(
     item_id: str = "item_id",
     item_text: str = "text",
     score: float = SCORE,
-    rare_share: float = RARE_SHARE,
     block: int = BLOCK_SEEDS,
 ) -> DataFrame:
     """The columns ``keep`` (as ``keep_0`` ..) of each document that holds a test item, with ``item_id``, ``score``,
@@ -260,10 +274,13 @@ def find(
     kept = "".join(f"keep_{i} {texts.schema[i].dataType.simpleString()}, " for i in range(len(keep)))
     schema = f"{kept}item_id long, score double, first_word long, end_word long"
     found = None
-    for items in _blocks(benchmark, item_id, item_text, block):
-        counted = mapped(texts.select("text"), _counting(items), "seed long, documents long, all long")
-        totals = counted.groupBy("seed").agg(F.sum("documents").alias("documents"), F.sum("all").alias("all")).collect()
-        items.only(_rare(items, {r["seed"]: r["documents"] for r in totals}, sum(r["all"] for r in totals), rare_share))
+    for items in _blocks(benchmark, item_id, item_text, block, score):
+        counted = mapped(texts.select("text"), _counting(items), "seed long, documents long")
+        totals = counted.groupBy("seed").agg(F.sum("documents").alias("documents")).collect()  # seeds of one block
+        documents = np.zeros(len(items.distinct), np.int64)
+        seeds = np.array([r["seed"] for r in totals], np.int64).view(np.uint64)
+        documents[np.searchsorted(items.distinct, seeds)] = [r["documents"] for r in totals]
+        items.keep_rare(documents)
         some = stored(mapped(texts, _aligning(items, score), schema), "test-items")
         found = some if found is None else found.unionByName(some)
     return spark.createDataFrame([], schema) if found is None else found

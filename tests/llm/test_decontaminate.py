@@ -78,6 +78,89 @@ def test_edited_copies(spark):
     assert _found(decontaminate.find(docs, "text", ["doc_id"], benchmark, block=60)) == _found(found)
 
 
+def _edited(words, rng, kind, count):
+    out = list(words)
+    for at in sorted(rng.sample(range(len(out)), min(count, len(out))), reverse=True):
+        out[at : at + (kind != "put in")] = {"replaced": ["new"], "left out": [], "put in": ["put"]}[kind]
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 7, 11, 15, 40])
+def test_nothing_that_whole_alignment_finds_is_missed(spark, n):
+    """Short and long items with every kind of edit up to the limit, among texts of few words that hold many seeds."""
+    rng = random.Random(n)
+    items = [(i, " ".join(f"t{rng.randrange(30 if i % 2 else 4)}" for _ in range(n))) for i in range(6)]
+    texts = []
+    for i in range(240):
+        words = [f"t{rng.randrange(40)}" for _ in range(rng.randrange(0, 60))]
+        copy = items[i % 6][1].split()
+        for _ in range(rng.randrange(1, 3)):
+            copy = _edited(copy, rng, rng.choice(["replaced", "left out", "put in"]), rng.randrange(0, 1 + max(1, n // 3)))
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = copy if i % 4 else []
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = decontaminate.find(docs, "text", ["doc_id"], spark.createDataFrame(items, "item_id long, text string"))
+    assert _found(found) == _brute(texts, items, decontaminate.SCORE) and found.count() > 0
+
+
+def test_seeds_are_those_that_every_copy_holds():
+    """The bound against random alignments' own pairs and words."""
+    rng = random.Random(1)
+    for _ in range(4000):
+        n = rng.randrange(1, 40)
+        item, text, pairs, words, edits, span, fresh_run = list(range(n)), [], 0, 0, 0, 0, True
+        for w in item:
+            lot = rng.random()
+            if lot < 0.2:
+                edits, fresh_run = edits + 1, True
+                span += lot < 0.12
+                continue
+            if lot > 0.8 and words:
+                edits, fresh_run, span = edits + 1, True, span + 1
+            pairs, words, span, fresh_run = pairs + (not fresh_run), words + 1, span + 1, False
+        if 2 * words - edits >= 1.2 * n:
+            width, needed = decontaminate.seed_width(n, 0.6)
+            assert (pairs if width == 2 else words) >= needed and span <= 1.8 * n + 1e-9
+
+
+def test_copies_of_a_very_common_item_with_edits(spark):
+    """A seed is common here because the item is: three of 15 words replaced, in 300 of 2,300 documents; every fourth word replaced."""
+    rng = random.Random(8)
+    items = [(1, " ".join(f"q{i}" for i in range(15))), (2, " ".join(f"r{i}" for i in range(40)))]
+    texts = []
+    for i in range(2300):
+        words = [f"w{rng.randrange(5000)}" for _ in range(40)]
+        if i < 300:
+            words[20:20] = _edited(items[0][1].split(), rng, "replaced", 3)
+        elif i < 330:
+            copy = items[1][1].split()
+            copy[3::4] = ["other"] * len(copy[3::4])
+            words[10:10] = copy
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    found = decontaminate.find(docs, "text", ["doc_id"], spark.createDataFrame(items, "item_id long, text string"))
+    got = _found(found)
+    assert got == _brute(texts, items, decontaminate.SCORE)
+    assert {k for k, item, _ in got if item == 2} >= set(range(300, 330)) and sum(item == 1 for _, item, _ in got) == 300
+
+
+def test_many_common_items(spark):
+    """Ten items in a third of the documents each, lightly edited."""
+    rng = random.Random(3)
+    items = [(i, " ".join(f"i{i}.{rng.randrange(50)}" if j % 3 else "the" for j in range(24))) for i in range(10)]
+    texts = []
+    for i in range(600):
+        words = [f"w{rng.randrange(300)}" if rng.random() < 0.7 else "the" for _ in range(50)]
+        for item in rng.sample(range(10), 3):
+            at = rng.randrange(len(words))
+            words[at:at] = _edited(items[item][1].split(), rng, rng.choice(["replaced", "left out", "put in"]), rng.randrange(0, 6))
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    found = decontaminate.find(docs, "text", ["doc_id"], spark.createDataFrame(items, "item_id long, text string"))
+    assert _found(found) == _brute(texts, items, decontaminate.SCORE)
+
+
 def test_an_item_that_is_everywhere_is_found_everywhere(spark):
     item = " ".join(f"q{i}" for i in range(20))
     texts = [(i, f"a{i} b{i} {item} c{i}") for i in range(400)]
