@@ -6,7 +6,7 @@ key or a few hold much of it, is divided further by the tie-breaking columns. Ru
 ranges (a small table) and within each range (a window over one range) give every row its place in
 the whole, and the place gives the shard and the slot.
 
-Defined results: a null size counts as ``0``; null keys come first. Rows that are equal in key and
+Defined results: a null size counts as ``0``; where all sizes are 0 each row counts as 1; null keys come first. Rows that are equal in key and
 tie-breakers are interchangeable, so any order among them gives the same table. An empty table
 gives an empty result. The input's columns stay, whatever their names; the new columns are
 ``shard`` and ``slot`` unless other names are given, and replace input columns of these names.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ from ebbtide.llm.frames import fresh, place_among
 #: A range holds about so many bytes, within the two limits per shard that follow.
 RANGE_BYTES = 128 << 20
 RANGES_PER_SHARD = (16, 512)
-#: Sampled keys per range; the driver gets this many for each range, 24 * 512 * 32 at most for 24 shards.
+#: Sampled keys per range, 24 * 512 * 32 at most for 24 shards; the driver gets one boundary per range.
 SAMPLES = 32
 #: A range of more than so many times the mean is divided.
 OVERFULL = 2
@@ -37,13 +36,15 @@ def splitters(keys: DataFrame, ranges: int, total: int) -> list[int]:
     chance = F.col("size") * F.lit(ranges * SAMPLES / total)
     draw = F.pmod(F.xxhash64("key", "tie", F.lit("splitter")), F.lit(1 << 52)) / F.lit(float(1 << 52))
     drawn = keys.where(draw < chance).select("key", F.greatest(chance, F.lit(1.0)).alias("weight"))
-    sample = drawn.where(F.col("key").isNotNull()).toPandas().sort_values("key")
-    if sample.empty:
-        return []
-    reached = sample["weight"].cumsum().to_numpy()
-    wanted = reached[-1] * np.arange(1, ranges) / ranges
-    places = np.minimum(np.searchsorted(reached, wanted), len(sample) - 1)
-    return sorted({int(k) for k in sample["key"].to_numpy()[places]})
+    # The sample has some SAMPLES rows per range, whatever the input's size: one task orders it.
+    ordered = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sample = drawn.where(F.col("key").isNotNull()).withColumn("reached", F.sum("weight").over(ordered)).withColumn("all", F.sum("weight").over(whole))
+    # A key is a boundary if a multiple of a range's share is reached with it.
+    share = ranges / F.col("all")
+    before, with_it = F.floor((F.col("reached") - F.col("weight")) * share), F.floor(F.col("reached") * share)
+    bounds = sample.where((with_it > before) & (before < ranges - 1)).select("key").distinct()
+    return sorted(row["key"] for row in bounds.collect())
 
 
 def shard(
@@ -66,10 +67,12 @@ def shard(
         tie.alias(names["tie"]),
     )
     light = keyed.select(*[F.col(names[n]).alias(n) for n in ("key", "size", "tie")])
-    total = light.agg(F.sum("size")).first()[0] or 0
+    total, rows = light.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     result = [*own]
-    if not total:
-        return df.select(*own, F.lit(0).alias(shard_name), F.monotonically_increasing_id().alias(slot_name))
+    if not total:  # rows of no size are dealt out by their number
+        keyed, light, total = keyed.withColumn(names["size"], F.lit(1).cast("long")), light.withColumn("size", F.lit(1).cast("long")), rows
+    if not rows:
+        return df.select(*own, F.lit(0).alias(shard_name), F.lit(0).cast("long").alias(slot_name))
     few, many = (n * shards for n in RANGES_PER_SHARD)
     ranges = min(max(few, math.ceil(total / RANGE_BYTES)), many)
     bounds = splitters(light, ranges, total)

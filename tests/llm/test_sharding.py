@@ -50,6 +50,25 @@ def test_null_keys_and_sizes(spark):
     _laws([(r.shard, r.slot, 10 * (r.doc_id % 2 == 0)) for r in found], 5, 10)
 
 
+@pytest.mark.parametrize("size", ["0L", "CAST(NULL AS BIGINT)"])
+def test_rows_without_any_size(spark, size):
+    df = spark.range(0, 403, 1, 4).selectExpr("id AS doc_id", "CAST(id % 50 AS STRING) AS text", f"{size} AS bytes")
+    found = sharding.shard(df, 24, F.xxhash64("text"), F.col("bytes"), [F.col("doc_id")]).collect()
+    assert len(found) == 403 and {r.shard for r in found} == set(range(24))
+    _laws([(r.shard, r.slot, 1) for r in found], 24, 1)
+
+
+def test_splitters_cut_by_size(spark):
+    keys = spark.range(20_000).selectExpr("id AS key", "IF(id < 1000, 100L, 5L) AS size", "id AS tie")
+    total = 1000 * 100 + 19_000 * 5
+    bounds = sharding.splitters(keys, 16, total)
+    assert bounds == sorted(set(bounds)) and 12 <= len(bounds) <= 15
+    sums = [0] * (len(bounds) + 1)
+    for r in keys.collect():
+        sums[sum(b <= r.key for b in bounds)] += r["size"]
+    assert max(sums) <= 1.6 * total / 16
+
+
 @pytest.mark.parametrize("distinct", [1, 3])
 def test_hot_keys_are_divided(spark, distinct):
     """A third or all of the rows have one key: shards are equal all the same, and no window holds them all."""
