@@ -7,7 +7,8 @@ It scores every document; its evidence is the log-odds beyond the share of good
 Sites are levels of one hierarchy: all documents, a host, a path on the host. Each level's share of good
 documents is a Beta-binomial posterior whose prior is the level above: sparse sites are shrunk towards it, by a
 strength that the method of moments takes from how much sites differ beyond chance. A document's own score
-is left out of its path's share before the two are combined, so that no evidence counts twice.
+is left out of its path's, its host's and the corpus's share before they are combined with it, so that no evidence counts twice:
+the only document of a host is judged by the others of the corpus.
 
 Defined results: null and empty texts, and those of one byte, give no evidence and are judged by their site. Null hosts are
 one host, null paths one path of their host. Documents without labels are scored all the same. Repeated labels of
@@ -152,17 +153,21 @@ def score(
     mean = top["good"] / top["n"] if top["n"] else prior
     hosts = hosts.withColumn("mean", F.lit(mean))
     strong = _strength(hosts, "mean")
-    hosts = hosts.select(F.col("host").alias("of"), ((F.col("good") + strong * mean) / (F.col("n") + strong)).alias("host_share"))
+    host_share = (F.col("good") + strong * mean) / (F.col("n") + strong)
+    hosts = hosts.select(F.col("host").alias("of"), host_share.alias("host_share"), F.col("n").alias("host_n"), F.col("good").alias("host_good"))
     paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("of"))).drop("of")
     strength = _strength(paths, "host_share")
     sites = stored(
-        paths.select(F.col("host").alias("site_host"), F.col("path").alias("site_path"), "n", "good", "host_share"), "sites"
+        paths.select(F.col("host").alias("site_host"), F.col("path").alias("site_path"), "n", "good", "host_n", "host_good"), "sites"
     )
     joined = scored.join(
         sites, F.col("host").eqNullSafe(F.col("site_host")) & F.col("path").eqNullSafe(F.col("site_path"))
     )
-    others = (F.col("good") - F.col("chance") + strength * F.col("host_share")) / (F.col("n") - 1 + strength)
-    joined = joined.withColumn("site", others)
+    # Each level without the document itself.
+    of_all = (F.lit(top["good"]) - F.col("chance")) / (top["n"] - 1) if (top["n"] or 0) > 1 else F.lit(prior)
+    of_host = (F.col("host_good") - F.col("chance") + strong * of_all) / (F.col("host_n") - 1 + strong)
+    of_path = (F.col("good") - F.col("chance") + strength * of_host) / (F.col("n") - 1 + strength)
+    joined = joined.withColumn("site", of_path)
     quality = 1 / (1 + F.exp(-(F.col("evidence") + _log_odds(F.col("site")))))
     return joined.select(
         *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "evidence", "site", quality.alias("quality")

@@ -24,6 +24,13 @@ def _strength(groups):
     return min(max(sum(g[0] * g[2] * (1 - g[2]) for g in groups) / n / spread - 1, 1.0), 1e6)
 
 
+def _site(path, host, whole, own, s, k):
+    """A document's site from (n, good) of its path, its host and all documents, each without the document."""
+    of_all = (whole[1] - own) / (whole[0] - 1)
+    of_host = (host[1] - own + k * of_all) / (host[0] - 1 + k)
+    return (path[1] - own + s * of_host) / (path[0] - 1 + s)
+
+
 def test_sites_are_shrunk_towards_the_level_above(spark, monkeypatch):
     """Evidence is given here; the posterior is that of plain sums."""
     evidence = {"good": 3.0, "bad": -3.0, "": 0.0}
@@ -46,12 +53,29 @@ def test_sites_are_shrunk_towards_the_level_above(spark, monkeypatch):
     s = _strength([(*v, share[h]) for (h, _), v in paths.items()])
     got = {r.doc_id: r for r in found.collect()}
     for i, (host, path, text) in enumerate(data):
-        n, good = paths[host, path]
-        site = (good - chance[text] + s * share[host]) / (n - 1 + s)
+        site = _site(paths[host, path], hosts[host], (len(data), mean * len(data)), chance[text], s, k)
         assert got[i].site == pytest.approx(site, rel=1e-9)
         assert got[i].quality == pytest.approx(1 / (1 + math.exp(-(evidence[text] + _odds(site)))), rel=1e-9)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_a_document_does_not_speak_for_itself(spark, monkeypatch, size):
+    """On a host of one, two or three documents the site is the same whatever the document's own score."""
+    told = {"good": 3.0, "bad": -3.0}
+    monkeypatch.setattr(quality, "fit", lambda *a: (np.ones(quality.FEATURES), 0.0, 0.5))
+    monkeypatch.setattr(quality, "_evidence", lambda *a: None)
+    monkeypatch.setattr(quality, "_strength", lambda *a: 5.0)
+    scores = F.create_map(*[F.lit(x) for pair in told.items() for x in pair])
+    monkeypatch.setattr(quality, "mapped", lambda df, *_: df.withColumn("evidence", scores[F.col("text")]).drop("text"))
+    sites = []
+    for own in told:
+        data = [("small", "p", own)] + [("small", "p", "good")] * (size - 1) + [("big", "p", "good")] * 20 + [("big", "q", "bad")] * 20
+        docs = spark.createDataFrame([(i, *d) for i, d in enumerate(data)], "doc_id long, host string, path string, text string")
+        found = quality.score(docs, "doc_id", "text", docs["host"], docs["path"], {"doc_id": docs["doc_id"]}, docs, "doc_id", "doc_id")
+        sites.append(next(r.site for r in found.collect() if r.doc_id == 0))
+    assert sites[0] == pytest.approx(sites[1], rel=1e-12)
+
+
 def test_held_out_documents(spark):
     """Labels of half the documents train it, the other half judges it."""
     docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
