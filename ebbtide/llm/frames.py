@@ -76,3 +76,24 @@ BROADCAST_KEYS = 1_000_000
 def sized(keys: DataFrame) -> DataFrame:
     """``keys`` (a stored table of a few numbers per row), marked for a broadcast if it is small; otherwise the join shuffles."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+#: Words (64 bits each) of a sieve: a broadcast of at most so many rows.
+SIEVE_WORDS = 1 << 20
+
+
+def sieved(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``rows`` whose 64-bit ``column`` may be among that of ``keys``: a Bloom filter of bounded size, looked up inside the
+    rows' own tasks. It loses none; with very many keys it lets more others pass, and a join still decides."""
+    def word(value: Column) -> Column:
+        return F.pmod(value, F.lit(SIEVE_WORDS))
+
+    def bits(value: Column) -> Column:
+        spread = F.xxhash64(value)
+        each = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(spread, by), F.lit(64)).cast("int")) for by in (0, 6, 12)]
+        return each[0].bitwiseOR(each[1]).bitwiseOR(each[2])
+
+    known = keys.groupBy(word(F.col(column)).alias("_word")).agg(F.bit_or(bits(F.col(column))).alias("_bits"))
+    met = rows.join(F.broadcast(known), word(F.col(column)) == F.col("_word"))  # SIEVE_WORDS rows at most
+    own = bits(F.col(column))
+    return met.where(F.col("_bits").bitwiseAND(own) == own).select(*rows.columns)

@@ -77,7 +77,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[counted("kind", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
-        F.sha2(secret_scan.listed(F.col("spans")), 256).alias("base_sha256"),
+        F.sha2(secret_scan.listed(F.filter("spans", lambda s: s["kind"] != secret_scan.BARE)), 256).alias("base_sha256"),
         secret_scan.listed(F.col("spans")).alias("spans"),
         *[counted("label", label).alias(f"n_{label}") for label in ("live", "copied", "placeholder")],
     )

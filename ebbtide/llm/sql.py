@@ -30,10 +30,11 @@ FROM numbered
 
 def _kind(kind: str, pattern: str, place: int) -> str:
     """Spans of one kind: what lies between the matches tells where they are."""
-    value = f"regexp_extract(m, {_quoted(pattern)}, 2)" if kind == "assign" else "m"
-    least = f"WHERE length(value) >= {secret_scan.LEAST_ASSIGNED}" if kind == "assign" else ""
+    value = {"assign": f"regexp_extract(m, {_quoted(pattern)}, 2)", "bare": "regexp_replace(m, '\\.+$', '')"}.get(kind, "m")
+    least = f"WHERE length(value) >= {secret_scan.LEAST_ASSIGNED}" if kind in ("assign", "bare") else ""
     return f"""
-    SELECT row, doc_id, source, '{kind}' AS kind, {place} AS place, stop - length(m) AS start, stop, value FROM (
+    SELECT row, doc_id, source, '{kind}' AS kind, {place} AS place, stop - length(m) AS start,
+           {'stop - length(m) + length(value)' if kind == 'bare' else 'stop'} AS stop, regexp_replace(value, '\\.+$', '') AS value FROM (
         SELECT *, {value} AS value,
                (sum(length(gap) + length(m)) OVER (PARTITION BY row ORDER BY nth))::BIGINT AS stop
         FROM (
@@ -49,21 +50,32 @@ def _kind(kind: str, pattern: str, place: int) -> str:
 SECRETS = f"""
 WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS body FROM documents),
 spans AS ({' UNION ALL '.join(_kind(k, p, i) for i, (k, p) in enumerate(zip(secret_scan.KINDS, (secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX), strict=True)))}),
-owned AS (
-    SELECT value, count(DISTINCT source) AS owners FROM spans GROUP BY value
+looked AS (
+    SELECT value, count(DISTINCT source) AS owners, len(list_distinct(string_split(value, ''))) >= {secret_scan.LEAST_VARIED}
+           AND 4 * len(list_distinct(string_split(value, ''))) >= least(length(value), {secret_scan.VARIED_LENGTH})
+           AND NOT regexp_matches(value, {_quoted(secret_scan.PLACEHOLDER)}) AS plausible
+    FROM spans GROUP BY value
+), bare AS (
+    SELECT b.* FROM ({_kind(secret_scan.BARE, secret_scan.TOKEN, 3)}) b
+    JOIN looked l ON l.value = b.value AND owners < {secret_scan.WIDELY} AND plausible
+), owned AS (
+    SELECT value, count(DISTINCT source) AS owners FROM (SELECT value, source FROM spans UNION ALL SELECT value, source FROM bare) GROUP BY value
+), every AS (
+    SELECT * FROM spans UNION ALL
+    SELECT b.* FROM bare b JOIN owned o ON o.value = b.value AND o.owners < {secret_scan.WIDELY}
+    WHERE NOT EXISTS (FROM spans s WHERE s.row = b.row AND s.start <= b.start AND b.stop <= s.stop)
 ), labelled AS (
-    SELECT s.*, CASE WHEN owners >= {secret_scan.WIDELY} THEN 'copied'
-                     WHEN len(list_distinct(string_split(s.value, ''))) >= {secret_scan.VARIED}
-                          AND regexp_matches(s.value, '[0-9]') THEN 'live' ELSE 'placeholder' END AS label
-    FROM spans s JOIN owned USING (value)
+    SELECT s.*, CASE WHEN o.owners >= {secret_scan.WIDELY} THEN 'copied' WHEN plausible THEN 'live' ELSE 'placeholder' END AS label
+    FROM every s JOIN owned o ON o.value = s.value JOIN looked l ON l.value = s.value
 ), listed AS (
     SELECT row, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (kind <> '{secret_scan.BARE}') AS base,
            {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secret_scan.KINDS)},
            {', '.join(f"count(*) FILTER (label = '{x}') AS n_{x}" for x in ('live', 'copied', 'placeholder'))}
     FROM labelled GROUP BY row
 )
 SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in secret_scan.KINDS)},
-       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
        {', '.join(f'coalesce(n_{x}, 0) AS n_{x}' for x in ('live', 'copied', 'placeholder'))}
 FROM numbered LEFT JOIN listed USING (row)
 """

@@ -10,7 +10,7 @@ from tests.llm import cases
 from tests.llm.test_decontaminate import _words
 from tests.llm.test_jaccard import _expected as components
 from tests.llm.test_packing import _check
-from tests.llm.test_secret_scan import BASE
+from tests.llm.test_secret_scan import brute
 
 
 @pytest.fixture(scope="module")
@@ -56,25 +56,12 @@ def test_no_test_items_stay(spark, stages):
 
 
 def test_live_credentials_are_masked(stages):
-    spans = {}
-    for r in stages[3]:
-        found = [(m.start(), m.end(), m[2] if kind == "assign" else m[0]) for kind, p, good in BASE for m in p.finditer(r.text or "") if good(m)]
-        spans[r.doc_id] = (r, sorted(found))
-    owners = {}
-    for r, found in spans.values():
-        for _, _, value in found:
-            owners.setdefault(value, set()).add(r.source)
     fixed = {r.doc_id: r for r in stages[4]}
     assert len(fixed) == len(stages[4]) == len(stages[3])
-    for key, (r, found) in spans.items():
-        text, at = "", 0
-        for start, end, value in found:
-            if len(owners[value]) < secret_scan.WIDELY and len(set(value)) >= secret_scan.VARIED and any(c.isdigit() for c in value if c.isascii()):
-                if start >= at:
-                    text += (r.text or "")[at:start] + secret_scan.MASK
-                at = max(at, end)
-        text = text + r.text[at:] if r.text is not None else None
-        assert fixed[key].text == text and fixed[key].n_chars == len(text or "")
+    masked = brute([(r.text, r.source) for r in stages[3]])
+    assert any(text != r.text for r, (_, text) in zip(stages[3], masked, strict=True))
+    for r, (_, text) in zip(stages[3], masked, strict=True):
+        assert fixed[r.doc_id].text == text and fixed[r.doc_id].n_chars == (len(text) if secret_scan.MASK in (text or "") else r.n_chars)
 
 
 def test_the_rest_is_packed(stages):
