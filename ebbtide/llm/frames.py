@@ -78,6 +78,13 @@ def sized(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
+def task_keys(spark: SparkSession, tasks: int) -> list[int]:
+    """A number for each of so many tasks, such that ``repartition(tasks, number)`` gives each number a task of its own."""
+    drawn = spark.range(0, 60 * tasks, 1, 1).select("id", F.pmod(F.hash("id"), F.lit(tasks)).alias("task"))
+    found = {r["task"]: r["id"] for r in drawn.groupBy("task").agg(F.min("id").alias("id")).collect()}
+    return [found.get(task, task) for task in range(tasks)]
+
+
 #: Words (64 bits each) of a sieve: a broadcast of at most so many rows.
 SIEVE_WORDS = 1 << 20
 

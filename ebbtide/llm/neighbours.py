@@ -19,7 +19,7 @@ second, over the other probes, passes on only what beats it. So what is passed o
 k per query and table, whatever the buckets hold. Queries that still lack candidates get a third round: all
 buckets of the first table, which hold every vector.
 
-Defined results: vectors that are null, zero or of another length than the first, or hold null or
+Defined results: vectors that are null, zero or of another length than most have, or hold null or
 non-finite components, take no part, neither as queries nor as candidates. Rows with a null id take no part.
 Ties in the score go to the smaller id. Repeated rows with the same id count once per distinct vector.
 A query whose probes hold fewer candidates than asked for is compared with all vectors; there are fewer rows only if there

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.llm.frames import mapped, named, place_among, stored
+from ebbtide.llm.frames import mapped, named, place_among, stored, task_keys
 
 #: A file is closed once it has so many compressed bytes.
 ROLL = 32 << 20
@@ -197,7 +197,10 @@ def write(
     )
     kind = light.schema["key"].dataType.simpleString()
     records = rows.select(shard, "key", "digest", F.lit(1).alias("kind"), F.lit(None).cast(kind).alias("winner"), "uri", "payload")
-    dealt = said.unionByName(records).repartition(max(len(bounds) + 1, 1), "shard")
+    # A shard is a task: dealt by the hash of their number, several shards would share one.
+    tasks = len(bounds) + 1
+    numbers = F.array(*map(F.lit, task_keys(pages.sparkSession, tasks))).cast("array<bigint>")
+    dealt = said.unionByName(records).repartition(tasks, F.get(numbers, "shard"))
     ordered = dealt.sortWithinPartitions("shard", "key", "digest", "kind", "uri")
     _make_folder(f"{folder}/_temporary")
     manifest = stored(mapped(ordered, _writer(folder, roll, least, date), MANIFEST), "warc-manifest")

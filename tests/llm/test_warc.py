@@ -105,3 +105,12 @@ def test_query(spark):
     texts = [(r.page_id, r.html) for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
     found = queries.QUERIES["op4_warc"](spark, DATA)
     assert rows(found, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == _expected(texts)
+
+
+def test_a_shard_is_a_task(spark):
+    from ebbtide.llm.frames import task_keys
+
+    for tasks in (1, 2, 7, 64, 300):
+        keys = task_keys(spark, tasks)
+        rows = spark.createDataFrame([(k,) for k in keys], "k long").repartition(tasks, "k").select(F.spark_partition_id().alias("p"))
+        assert len(keys) == tasks and rows.distinct().count() == tasks
