@@ -86,7 +86,7 @@ WITH numbered AS (
     SELECT row_number() OVER () AS row, doc_id, '/' || source || '/' || lang AS directory, coalesce(text, '') AS body FROM documents
 ), units AS (
     SELECT DISTINCT row, trim(unit, ' ') AS unit FROM (
-        SELECT row, unnest(list_concat(string_split(body, chr(10)), string_split_regex(body, '\\n\\n+'))) AS unit FROM numbered
+        SELECT row, unnest(list_concat(list_concat(string_split(body, chr(10)), string_split_regex(body, '\\n\\n+')), string_split_regex(body, {_quoted(licenses.SENTENCE)}))) AS unit FROM numbered
     ) WHERE regexp_matches(unit, {_quoted(licenses.ANCHORS)})
 ), words AS (
     SELECT row, unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS term FROM units
@@ -109,7 +109,7 @@ cosines AS (
     GROUP BY row, unit, license, template
 ), best AS (
     SELECT row, license AS own_license, cosine, length(unit) AS size FROM cosines WHERE cosine >= {licenses.COSINE}
-    QUALIFY row_number() OVER (PARTITION BY row ORDER BY cosine DESC, license, length(unit) DESC) = 1
+    QUALIFY row_number() OVER (PARTITION BY row ORDER BY cosine DESC, length(unit) DESC, license) = 1
 ), told AS (SELECT n.*, own_license, cosine, size FROM numbered n LEFT JOIN best USING (row)),
 spoken AS (
     SELECT directory AS above, own_license AS inherited FROM told

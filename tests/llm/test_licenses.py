@@ -51,6 +51,45 @@ def test_awkward_rows(messy, empty):
     assert licenses.scan(empty, path, "text", ["doc_id"]).collect() == []
 
 
+PROBES = {
+    "SPDX-License-Identifier: MIT": "MIT",
+    "// SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0",
+    "# SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0",
+    " * SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+    "Apache License": "Apache-2.0",
+    "GNU GENERAL PUBLIC LICENSE": "GPL",
+    "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0",
+    "BSD 3-Clause License": "BSD-3-Clause",
+    "This module does quite a few things that are told below. Licensed under the MIT License. See the manual for all the rest of it, please": "MIT",
+    "Copyright (c) someone\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+    "provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED AS IS": "ISC",
+    "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+    " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n */\nint main() {}": "GPL-3.0",
+    "GNU Affero General Public License, version 3": "AGPL-3.0",
+    "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+    " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */": "MPL-2.0",
+    "This is free and unencumbered software released into the public domain.\n\nAnyone is free": "Unlicense",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:": "BSD-2-Clause",
+    "the permission of the author is asked for here, and a license may follow some day": None,
+    "free software is a topic of this page, like many others": None,
+}
+
+
+def test_licences_as_they_are_found_in_files(spark):
+    """Known answers, among files that say nothing of the kind."""
+    data = [(f"/p{i}/f", text) for i, text in enumerate(PROBES)] + [(f"/q{i}/f", f"plain words {i} of no matter") for i in range(50)]
+    df = spark.createDataFrame(data, "path string, text string")
+    found = {r.path: r.own_license for r in licenses.scan(df, F.col("path"), "text", ["path"]).collect()}
+    assert {text: found[f"/p{i}/f"] for i, text in enumerate(PROBES)} == PROBES
+    assert not any(v for k, v in found.items() if k.startswith("/q"))
+
+
+def test_every_template_has_an_anchor(spark):
+    import re
+
+    assert all(re.search(licenses.ANCHORS, text) for _, text in licenses.TEMPLATES)
+
+
 def test_repeated_statements_are_weighed_once(spark):
     df = spark.createDataFrame([(f"/d{i % 3}/{i}", APACHE if i % 3 else f"text {i}") for i in range(300)], "path string, text string")
     kinds = {(r.own_license, r.license) for r in licenses.scan(df, F.col("path"), "text", ["path"]).collect()}
