@@ -128,6 +128,8 @@ ANCHORS = "(?i)licen[cs]e|permission|redistribution|free software|public domain"
 SENTENCE = r"[.!?][\x20\x09-\x0D]+"
 NAMES = "(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 COSINE = 0.7
+#: Directories (two paths and a name each) that may be broadcast.
+BROADCAST_DIRECTORIES = 100_000
 
 
 def _words(text: Column) -> Column:
@@ -230,7 +232,9 @@ def scan(files: DataFrame, path: Column, text: str, keep: list[str]) -> DataFram
         .join(spoken, "above").groupBy("directory").agg(F.min(F.struct("steps", "above", "inherited")).alias("best"))
         .select("directory", F.col("best.above").alias("above"), F.col("best.inherited").alias("inherited"))
     )
-    # Files in directories that inherit nothing, or without a path, need no partner.
+    # Files in directories that inherit nothing, or without a path, need no partner. Few directories are sent to the files' tasks.
+    near = stored(near, "license-directories")
+    near = F.broadcast(near) if near.count() <= BROADCAST_DIRECTORIES else near
     joined = told.withColumn("directory", F.when(F.col("path").isNotNull(), F.col("directory"))).join(near, "directory", "left")
     own = F.col("own_license").isNotNull()
     return joined.select(
