@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -47,3 +49,10 @@ def test_scores_cover_everyone(spark):
     rows = QUERIES["score_batch"](spark, DATA).collect()
     assert len({r.customer_unique_id for r in rows}) == len(rows) == registered.entry(spark).count()
     assert all(r.is_probability and r.prediction_fits and r.risk_fits for r in rows)
+
+
+def test_the_library_works_where_the_training_data_package_cannot_be_imported():
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'churn_gold' in e.queries())"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert said[0] == said[1] == str(len(registered.core_queries())) and said[2] == "True"
