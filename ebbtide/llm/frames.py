@@ -73,9 +73,11 @@ def place_among(bounds: Column, key: Column, count: int) -> Column:
 BROADCAST_KEYS = 1_000_000
 
 
-def sized(keys: DataFrame) -> DataFrame:
-    """``keys`` (a stored table of a few numbers per row), marked for a broadcast if it is small; otherwise the join shuffles."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+def sized(keys: DataFrame, weight: Column | None = None) -> DataFrame:
+    """``keys`` (a stored table of a few numbers per row, or ``weight`` times as many), marked for a broadcast if it is small;
+    otherwise the join shuffles."""
+    size = keys.count() if weight is None else keys.agg(F.count("*") + F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(keys) if size <= BROADCAST_KEYS else keys
 
 
 def task_keys(spark: SparkSession, tasks: int) -> list[int]:

@@ -7,11 +7,16 @@ may have another first shingle, but the bound on the overlap leaves it only the
 those windows of the document are the regions that it is replicated into. The smaller document of
 a pair needs fewer of them than the larger.
 
-Inside a region that several distinct sets share, the join recurses: one set becomes the pivot and
-the distance of every other to it is computed exactly. Sets within reach of it are linked to it, and so to each
-other: their pairs need no test. Of the rest only pairs inside the window that the triangle inequality
-leaves (distances to the pivot differ by no more than the join's distance, and so do the sizes) are compared, and
-only if nothing has linked them so far. Each comparison is the exact size of an intersection.
+Inside a region that several distinct sets share, one set becomes the pivot and the distance of every other to it is
+computed exactly. Sets within reach of it are linked to it, and so to each other: their pairs need no test. Of the rest
+only pairs inside the window that the triangle inequality leaves (distances to the pivot differ by no more than the
+join's distance, and so do the sizes) are compared, and only if nothing has linked them so far.
+
+Large regions recurse. They are cut into rings around their pivot, by the same inequality: a ring is twice the join's
+distance wide and overlaps the next by half, so that the pairs that may be linked lie within one. A ring that holds several components
+is divided like the whole corpus, in an order of its own: shingles that its pivot lacks come first, so what all of its
+sets share comes last and divides nothing. Regions of one ring with the same pivot are one. Rings of few sets are compared
+at once in a task; one that no division makes cheaper is compared pair by pair. Each comparison is the exact size of an intersection.
 
 Order is a matter of speed alone, so it comes from a bounded table: the most frequent cells of shingle digests,
 counted over all documents. Sets are compared by 64-bit digests of their shingles.
@@ -24,6 +29,7 @@ gives an empty result. Whole texts are read, nothing is capped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -243,6 +249,8 @@ def _reachable(percent: int, n_a: Column, place_a: Column, n_b: Column, place_b:
 
 #: Sets compared with one pivot in one group, on average.
 COMPARED = 4096
+#: A region of so many sets at most is not divided; a ring of so many sets and shingles at most is compared in one task.
+UNDIVIDED, TOGETHER, SHINGLES = 64, 256, 1 << 20
 
 
 def _sent(width: int):
@@ -275,8 +283,9 @@ def _group_rows(out: list[list], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
-def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in the order (a, part, other): the pivot's set first, then every set to compare. One pivot is held."""
+def _beside_pivots(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, int, np.ndarray, np.ndarray]]]:
+    """From rows in the order (a, part, other): the pivot's set first, then every set of its group. Lists of (pivot, class,
+    set, pivot's set); one pivot is held."""
     own, pivot = None, None
     for batch in batches:
         rows = []
@@ -286,32 +295,81 @@ def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not other.as_py():
                 own, pivot = group, found.copy()
             elif group == own:
-                x, y = (found, pivot) if len(found) <= len(pivot) else (pivot, found)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                rows.append((group[0], b.as_py(), int((y[at] == x).sum()), len(x) + len(y)))
+                rows.append((group[0], b.as_py(), found, pivot))
             else:
                 raise ValueError("a pivot's set is missing")
+        yield rows
+
+
+def _within(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the ascending ``x`` are among the ascending ``y``."""
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in _beside_pivots(batches):
+        rows = []
+        for a, b, found, pivot in group:
+            x, y = (found, pivot) if len(found) <= len(pivot) else (pivot, found)
+            rows.append((a, b, int(_within(x, y).sum()), len(x) + len(y)))
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "both", "sizes"])
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str) -> DataFrame:
-    """Distinct pairs (``a``, ``b``) with the sizes of their intersection and of both sets.
+def _beyond(percent: int, cells: np.ndarray, sets: np.ndarray):
+    """The windows of a set within its pivot's ring: the first shingles in the order that puts those of the pivot last."""
+
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _beside_pivots(batches):
+            keys, pivots, own = [], [], []
+            for a, b, found, pivot in group:
+                held = _within(found, pivot)
+                windows = len(found) - -(-percent * len(found) // 100) + 1
+                first = _ordered(found[~held], cells, sets)[:windows]
+                if len(first) < windows:
+                    first = np.concatenate((first, _ordered(found[held], cells, sets)[: windows - len(first)]))
+                keys.append(first.view(np.int64))
+                pivots.append(a)
+                own.append(b)
+            times = [len(k) for k in keys]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(np.array(pivots, np.int64), times)),
+                    pa.array(np.repeat(np.array(own, np.int64), times)),
+                    pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)),
+                ],
+                ["pivot", "cid", "key"],
+            )
+
+    return emit
+
+
+def _dealt(wanted: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str) -> DataFrame:
+    """From (``cid``, ``group``): each class's set, made again from one of its texts, once per group that needs it."""
+    needed = wanted.groupBy("cid").agg(F.collect_list("group").alias("groups"))
+    needed = stored(needed.join(one_text, "cid").select(F.col("best.digest").alias("digest"), F.col("best.id").alias("one"), "cid", "groups"), f"{purpose}-sets")
+    read = texts.join(sized(needed, F.size("groups")), (texts["digest"] == needed["digest"]) & texts["id"].eqNullSafe(needed["one"]))
+    return mapped(read.select("text", "cid", "groups"), _sent(width), "a long, part int, other boolean, b long, set binary")
 
-    Every set is made again from one of its texts and sent once to each pivot it is compared with. A pivot with
-    very many partners has several groups."""
+
+def _with_pivots(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str, function, schema: str) -> DataFrame:
+    """``function`` over the sets of pairs (``a``, ``b``), dealt to their pivots ``a``. A pivot with very many partners has
+    several groups."""
     pairs = stored(pairs, f"{purpose}-pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("parts"))
     group = lambda part: F.struct("a", part.cast("int").alias("part"))
     partners = pairs.join(parts, "a").select(F.col("b").alias("cid"), group(F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"))
     pivots = parts.select(F.col("a").alias("cid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("nth"))
     pivots = pivots.select("cid", group(F.col("nth")).alias("group"))
-    needed = partners.unionByName(pivots).groupBy("cid").agg(F.collect_list("group").alias("groups"))
-    needed = stored(needed.join(one_text, "cid").select(F.col("best.digest").alias("digest"), F.col("best.id").alias("one"), "cid", "groups"), f"{purpose}-sets")
-    read = texts.join(sized(needed), (texts["digest"] == needed["digest"]) & texts["id"].eqNullSafe(needed["one"]))
-    sent = mapped(read.select("text", "cid", "groups"), _sent(width), "a long, part int, other boolean, b long, set binary")
+    sent = _dealt(partners.unionByName(pivots), texts, one_text, width, purpose)
     dealt = sent.repartition("a", "part").sortWithinPartitions("a", "part", "other")
-    return stored(mapped(dealt, _overlaps, "a long, b long, both long, sizes long").distinct(), purpose)
+    return mapped(dealt, function, schema)
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) with the sizes of their intersection and of both sets."""
+    compared = _with_pivots(pairs, texts, one_text, width, purpose, _overlaps, "a long, b long, both long, sizes long")
+    return stored(compared.distinct(), purpose)
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -343,6 +401,133 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+# -- large regions ----------------------------------------------------------------------------------
+
+
+def _together(percent: int):
+    def link(ring: pa.Table) -> pa.Table:
+        """All pairs of a ring of bounded size: each class with the first of those it is linked with, directly or not."""
+        cids = ring.column("b").to_numpy()
+        sets = [np.frombuffer(blob.as_buffer(), np.uint64) for chunk in ring.column("set").chunks for blob in chunk]
+        sizes = np.array([len(x) for x in sets])
+        _, shingle, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        number = np.cumsum(times > 1) - 1  # shingles of one set alone are in no intersection
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        kept = times[shingle] > 1
+        owner, shingle = owner[kept], number[shingle[kept]]
+        order = np.argsort(shingle, kind="stable")
+        owner, shingle = owner[order], shingle[order]
+        both = np.zeros((len(sets), len(sets)), np.float64)
+        for low in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, 4096):
+            some = slice(*np.searchsorted(shingle, (low, low + 4096)))
+            holds = np.zeros((len(sets), 4096), np.float32)
+            holds[owner[some], shingle[some] - low] = 1
+            both += holds @ holds.T
+        linked = (100 + percent) * both >= percent * (sizes[:, None] + sizes)
+        np.fill_diagonal(linked, True)
+        label = np.arange(len(sets))
+        while True:
+            least = np.where(linked, label, len(sets)).min(axis=1)
+            if (least == label).all():
+                break
+            label = least
+        moved = np.flatnonzero(label != np.arange(len(sets)))
+        return pa.table({"a": cids[moved], "b": cids[label[moved]]})
+
+    return link
+
+
+def _rings(members: DataFrame, percent: int) -> DataFrame:
+    """(``ring``, ``pivot``, ``cid``, ``n``, ``root``): the rings of a region around its pivot, each twice the join's distance
+    wide, the next one half of that further out. A set whose distance is not known is in all of them."""
+    reach = 1 - percent / 100
+    last = max(0, math.ceil(1 / reach) - 2) if reach > 0 else 0
+
+    def within(ring: Column) -> Column:
+        inner = F.col("distance") >= ring * reach - 1e-9
+        outer = (ring == last) | (F.col("distance") <= (ring + 2) * reach + 1e-9)
+        return F.col("distance").isNull() | (inner & outer) | F.lit(last == 0)
+
+    nth = F.explode(F.filter(F.sequence(F.lit(0), F.lit(last)), within)).alias("nth")
+    return members.select("region", "pivot", "cid", "n", "root", nth).select(
+        F.xxhash64("region", "nth").alias("ring"), "pivot", "cid", "n", "root"
+    )
+
+
+def _crossing(rows: DataFrame, *group: str) -> DataFrame:
+    """How many ordered pairs of different components each group holds."""
+    rooted = rows.groupBy(*group, "root").agg(F.count("*").alias("m"))
+    return rooted.groupBy(*group).agg((F.pow(F.sum("m"), F.lit(2)) - F.sum(F.pow("m", F.lit(2)))).alias("crossing"))
+
+
+def _distance() -> Column:
+    return (1 - F.col("both") / (F.col("sizes") - F.col("both"))).alias("distance")
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+
+
+def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after more links."""
+    more = stored(more, "more-links")
+    if more.isEmpty():
+        return roots
+    known = roots.where(F.col("cid") != F.col("root")).select(F.col("root").alias("a"), F.col("cid").alias("b"))
+    return components(known.unionByName(more))
+
+
+def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: DataFrame, cells, sets, width: int, percent: int) -> DataFrame:
+    """Components when every pair within a region has been settled. ``members`` has (``region``, ``pivot``, ``cid``, ``n``,
+    ``distance`` from the pivot) of all sets but the pivot, which has been compared with them.
+
+    Each level takes the pivots out of their regions, and a ring is divided only if that halves the pairs of
+    different components, so the levels come to an end and never hold more work than comparing a region pair by pair."""
+    while True:
+        rings = stored(_rings(_rooted(members, roots), percent), "rings")
+        kinds = rings.groupBy("ring").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"), F.sum("n").alias("shingles")
+        )
+        small = (F.col("members") <= TOGETHER) & (F.col("shingles") <= SHINGLES)
+        kinds = kinds.where(F.col("low") != F.col("high")).select("ring", small.alias("small"))
+        rings = stored(rings.join(kinds, "ring"), "open-rings")
+        if rings.isEmpty():
+            return roots
+        group = F.struct(F.col("ring").alias("a"), F.lit(0).alias("part")).alias("group")
+        dealt = _dealt(rings.where("small").select("cid", group), texts, one_text, width, "rings")
+        found = dealt.groupBy("a").applyInArrow(_together(percent), "a long, b long")
+
+        large = rings.where(~F.col("small"))
+        if large.isEmpty():
+            return _merged(roots, found)
+        around = large.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
+        windows = _with_pivots(around, texts, one_text, width, "ring-windows", _beyond(percent, cells, sets), "pivot long, cid long, key long")
+        windows = stored(windows.distinct(), "ring-windows")
+        windows = windows.join(large.select("ring", "pivot", "cid", "n", "root"), ["pivot", "cid"])
+        first = F.min(F.struct(F.xxhash64("cid"), F.col("cid").alias("pivot"))).alias("first")
+        shared = windows.groupBy("ring", "key").agg(F.count("*").alias("m"), first).where(F.col("m") > 1)
+        children = windows.select("ring", "key", "cid", "n", "root").join(shared, ["ring", "key"]).select(
+            "ring", F.xxhash64("ring", "first.pivot").alias("region"), F.col("first.pivot").alias("pivot"), "cid", "n", "root"
+        )
+        children = stored(children.distinct(), "regions-of-rings")
+        within = _crossing(children, "ring", "region").groupBy("ring").agg(F.sum("crossing").alias("left"))
+        judged = _crossing(large, "ring").join(within, "ring", "left").select(
+            "ring", (2 * F.coalesce("left", F.lit(0.0)) <= F.col("crossing")).alias("helps")
+        )
+        judged = stored(judged, "judged-rings")
+        children = children.join(judged.where("helps"), "ring").where(F.col("cid") != F.col("pivot"))
+        stuck = large.join(judged.where(~F.col("helps")), "ring").select("ring", "cid", "n", "root")
+        other = stuck.select("ring", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "root")])
+        alike = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+        pairs = stuck.join(other, "ring").where((F.col("root") < F.col("root_b")) & alike)
+        pairs = pairs.select(F.least("cid", "cid_b").alias("a"), F.greatest("cid", "cid_b").alias("b"))
+        pairs = pairs.unionByName(children.select(F.col("pivot").alias("a"), F.col("cid").alias("b"))).distinct()
+        near = _compared(pairs, texts, one_text, width, "ring-distances")
+        roots = _merged(roots, found.unionByName(_linked(near, percent)))
+        far = near.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), _distance())
+        members = children.select("region", "pivot", "cid", "n").join(far, ["pivot", "cid"])
+
+
 # -- the join ---------------------------------------------------------------------------------------
 
 
@@ -388,18 +573,18 @@ def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int
     near = _compared(star, texts, one_text, width, "pivot-distances")
     roots = components(_linked(near, percent))
     # What is left of the regions: those that still hold several components.
-    region = regions.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    region = _rooted(regions, roots)
     mixed = region.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("key")
-    distance = (1 - F.col("both") / (F.col("sizes") - F.col("both"))).alias("distance")
-    rest = region.join(mixed, "key", "left_semi").where(F.col("cid") != F.col("pivot")).join(
-        near.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), distance), ["pivot", "cid"], "left"
+    mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("key", (F.col("members") > UNDIVIDED).alias("large"))
+    rest = region.join(mixed, "key").where(F.col("cid") != F.col("pivot")).join(
+        near.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), _distance()), ["pivot", "cid"], "left"
     )
-    rest = stored(rest.select("key", "cid", "n", "place", "root", "distance"), "windows")
-    other = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root", "distance")])
+    rest = stored(rest.select("key", "pivot", "cid", "n", "place", "root", "distance", "large"), "windows")
+    few = rest.where(~F.col("large"))
+    other = few.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root", "distance")])
     apart = F.coalesce(F.abs(F.col("distance") - F.col("distance_b")), F.lit(0.0))
     pairs = (
-        rest.join(other, "key")
+        few.join(other, "key")
         .where(
             (F.col("root") < F.col("root_b"))
             & _reachable(percent, F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"))
@@ -410,11 +595,9 @@ def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int
     )
     done = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     far = _compared(pairs.join(done, ["a", "b"], "left_anti"), texts, one_text, width, "window-distances")
-    more = _linked(far, percent)
-    if more.isEmpty():
-        return roots
-    known = roots.where(F.col("cid") != F.col("root")).select(F.col("root").alias("a"), F.col("cid").alias("b"))
-    return components(known.unionByName(more))
+    roots = _merged(roots, _linked(far, percent))
+    many = rest.where("large").select(F.col("pivot").alias("region"), "pivot", "cid", "n", "distance").distinct()
+    return _divided(many, roots, texts, one_text, cells, sets, width, percent)
 
 
 def join(docs: DataFrame, id_: str, text: str, width: int = WORDS, percent: int = PERCENT) -> DataFrame:

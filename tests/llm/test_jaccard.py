@@ -81,6 +81,43 @@ def test_a_pivot_with_many_partners_has_several_groups(spark, monkeypatch):
     assert rows(jaccard.join(docs, "doc_id", "text"), "id", "n_shingles", "component_id") == _expected(texts)
 
 
+def _pages(seed, count, kinds, held, edits):
+    """Pages of stock paragraphs, a few of them edited copies of others."""
+    rng = random.Random(seed)
+    stock = [[f"p{kind}w{i}" for i in range(25)] for kind in range(kinds)]
+    out = []
+    for _ in range(count):
+        if out and rng.random() < edits:
+            words = rng.choice(out).split()
+            for _ in range(rng.randrange(1, 5)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(1000)}"
+        else:
+            words = [w for kind in rng.sample(range(kinds), held) for w in stock[kind]]
+        out.append(" ".join(words))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize(("together", "percent"), [(256, 75), (6, 75), (2, 75), (6, 40), (6, 90)])
+def test_large_regions_are_divided(spark, monkeypatch, together, percent):
+    """Pages of common paragraphs share regions without being linked."""
+    monkeypatch.setattr(jaccard, "UNDIVIDED", 4)
+    monkeypatch.setattr(jaccard, "TOGETHER", together)
+    texts = _pages(together, 260, 14, 6, 0.3)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert rows(jaccard.join(docs, "doc_id", "text", percent=percent), "id", "n_shingles", "component_id") == _expected(texts, percent)
+
+
+def test_regions_that_no_division_helps(spark, monkeypatch):
+    """Sets of few, common shingles, and families of near copies around one pivot."""
+    monkeypatch.setattr(jaccard, "UNDIVIDED", 3)
+    monkeypatch.setattr(jaccard, "TOGETHER", 3)
+    rng = random.Random(5)
+    texts = list(enumerate(" ".join(rng.choice("ab") for _ in range(rng.randrange(5, 40))) for _ in range(120)))
+    texts += [(1000 + i, t) for i, t in _corpus(4, 4, 30, 0.9)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert rows(jaccard.join(docs, "doc_id", "text"), "id", "n_shingles", "component_id") == _expected(texts)
+
+
 def test_regions_across_batches(spark):
     """Rows of a key may lie in many batches; a region's pivot goes with each of them."""
     import pyarrow as pa
