@@ -16,7 +16,7 @@ Large regions recurse. They are cut into rings around their pivot, by the same i
 distance wide and overlaps the next by half, so that the pairs that may be linked lie within one. A ring that holds several components
 is divided like the whole corpus, in an order of its own: shingles that its pivot lacks come first, so what all of its
 sets share comes last and divides nothing. Regions of one ring with the same pivot are one. Rings of few sets are compared
-at once in a task; one that no division makes cheaper is compared pair by pair. Each comparison is the exact size of an intersection.
+at once in a task; within one that no division makes cheaper the pairs that share a window and can reach the overlap are compared. Each comparison is the exact size of an intersection.
 
 Order is a matter of speed alone, so it comes from a bounded table: the most frequent cells of shingle digests,
 counted over all documents. Sets are compared by 64-bit digests of their shingles.
@@ -321,7 +321,7 @@ def _beyond(percent: int, cells: np.ndarray, sets: np.ndarray):
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _beside_pivots(batches):
-            keys, pivots, own = [], [], []
+            keys, pivots, own, places = [], [], [], [np.zeros(0, np.int32)]
             for a, b, found, pivot in group:
                 held = _within(found, pivot)
                 windows = len(found) - -(-percent * len(found) // 100) + 1
@@ -331,14 +331,16 @@ def _beyond(percent: int, cells: np.ndarray, sets: np.ndarray):
                 keys.append(first.view(np.int64))
                 pivots.append(a)
                 own.append(b)
+                places.append(np.arange(len(first), dtype=np.int32))
             times = [len(k) for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(np.array(pivots, np.int64), times)),
                     pa.array(np.repeat(np.array(own, np.int64), times)),
                     pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)),
+                    pa.array(np.concatenate(places)),
                 ],
-                ["pivot", "cid", "key"],
+                ["pivot", "cid", "key", "place"],
             )
 
     return emit
@@ -501,7 +503,7 @@ def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: D
         if large.isEmpty():
             return _merged(roots, found)
         around = large.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-        windows = _with_pivots(around, texts, one_text, width, "ring-windows", _beyond(percent, cells, sets), "pivot long, cid long, key long")
+        windows = _with_pivots(around, texts, one_text, width, "ring-windows", _beyond(percent, cells, sets), "pivot long, cid long, key long, place int")
         windows = stored(windows.distinct(), "ring-windows")
         windows = windows.join(large.select("ring", "pivot", "cid", "n", "root"), ["pivot", "cid"])
         first = F.min(F.struct(F.xxhash64("cid"), F.col("cid").alias("pivot"))).alias("first")
@@ -516,10 +518,12 @@ def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: D
         )
         judged = stored(judged, "judged-rings")
         children = children.join(judged.where("helps"), "ring").where(F.col("cid") != F.col("pivot"))
-        stuck = large.join(judged.where(~F.col("helps")), "ring").select("ring", "cid", "n", "root")
-        other = stuck.select("ring", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "root")])
-        alike = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
-        pairs = stuck.join(other, "ring").where((F.col("root") < F.col("root_b")) & alike)
+        several = windows.groupBy("ring", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+        stuck = windows.join(judged.where(~F.col("helps")), "ring").join(several, ["ring", "key"], "left_semi")
+        stuck = stuck.select("ring", "key", "cid", "n", "place", "root")
+        other = stuck.select("ring", "key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root")])
+        reached = _reachable(percent, F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"))
+        pairs = stuck.join(other, ["ring", "key"]).where((F.col("root") < F.col("root_b")) & reached)
         pairs = pairs.select(F.least("cid", "cid_b").alias("a"), F.greatest("cid", "cid_b").alias("b"))
         pairs = pairs.unionByName(children.select(F.col("pivot").alias("a"), F.col("cid").alias("b"))).distinct()
         near = _compared(pairs, texts, one_text, width, "ring-distances")
