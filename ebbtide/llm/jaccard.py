@@ -462,6 +462,17 @@ def _crossing(rows: DataFrame, *group: str) -> DataFrame:
     return rooted.groupBy(*group).agg((F.pow(F.sum("m"), F.lit(2)) - F.sum(F.pow("m", F.lit(2)))).alias("crossing"))
 
 
+def _meeting(windows: DataFrame, percent: int, *group: str) -> DataFrame:
+    """The ``windows`` of groups that hold several components, without those whose set can reach none of its group: not
+    even the smallest size with the longest rest. A pair that is linked stays in the first group that both are in."""
+    rest = F.col("n") - F.col("place")
+    groups = windows.groupBy(*group).agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least"), F.max(rest).alias("most")
+    )
+    reached = F.least(rest, F.col("most")) * (100 + percent) >= (F.col("n") + F.col("least")) * percent
+    return windows.join(groups.where("low != high"), list(group)).where(reached).select(*windows.columns)
+
+
 def _distance() -> Column:
     return (1 - F.col("both") / (F.col("sizes") - F.col("both"))).alias("distance")
 
@@ -504,8 +515,11 @@ def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: D
             return _merged(roots, found)
         around = large.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
         windows = _with_pivots(around, texts, one_text, width, "ring-windows", _beyond(percent, cells, sets), "pivot long, cid long, key long, place int")
-        windows = stored(windows.distinct(), "ring-windows")
-        windows = windows.join(large.select("ring", "pivot", "cid", "n", "root"), ["pivot", "cid"])
+        own = large.select("pivot", "cid", "n", "root").distinct()
+        windows = stored(windows.distinct().join(own, ["pivot", "cid"]), "ring-windows")
+        # Only windows that may hold a pair of different components go on, first of all sets around a pivot, then of a ring.
+        met = stored(_meeting(windows, percent, "pivot", "key"), "met-windows")
+        windows = stored(_meeting(met.join(large.select("ring", "pivot", "cid"), ["pivot", "cid"]), percent, "ring", "key"), "windows-of-rings")
         first = F.min(F.struct(F.xxhash64("cid"), F.col("cid").alias("pivot"))).alias("first")
         shared = windows.groupBy("ring", "key").agg(F.count("*").alias("m"), first).where(F.col("m") > 1)
         children = windows.select("ring", "key", "cid", "n", "root").join(shared, ["ring", "key"]).select(
@@ -518,9 +532,7 @@ def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: D
         )
         judged = stored(judged, "judged-rings")
         children = children.join(judged.where("helps"), "ring").where(F.col("cid") != F.col("pivot"))
-        several = windows.groupBy("ring", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        stuck = windows.join(judged.where(~F.col("helps")), "ring").join(several, ["ring", "key"], "left_semi")
-        stuck = stuck.select("ring", "key", "cid", "n", "place", "root")
+        stuck = windows.join(judged.where(~F.col("helps")), "ring").select("ring", "key", "cid", "n", "place", "root")
         other = stuck.select("ring", "key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root")])
         reached = _reachable(percent, F.col("n"), F.col("place"), F.col("n_b"), F.col("place_b"))
         pairs = stuck.join(other, ["ring", "key"]).where((F.col("root") < F.col("root_b")) & reached)
