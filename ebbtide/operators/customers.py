@@ -200,6 +200,16 @@ def window_cells(windows: Sequence[Window], churn_days: int = 90) -> list[Cell]:
     return cells
 
 
+def month_blocks(cells: Sequence[Cell]) -> dict[str, str]:
+    """Months to the first month of their block. Months that meet the same windows in the same way are one block, so that
+    a person's partial results are merged once and not for every snapshot."""
+    met: dict[str, list[Cell]] = {}
+    for cell in cells:
+        met.setdefault(cell.month, []).append(cell._replace(month=""))
+    first: dict[tuple[Cell, ...], str] = {}
+    return {month: first.setdefault(tuple(sorted(met[month])), month) for month in sorted(met)}
+
+
 def _cell_rows(df: DataFrame, cells: Sequence[Cell], churn_days: int) -> DataFrame:
     """The cells as a table of ``df``'s own time type: some rows per window, whatever the size of ``df``."""
     kind = df.schema[PURCHASED].dataType
@@ -278,8 +288,14 @@ def churn_gold_from_states(
     seen = F.col(PURCHASED) <= F.col("snapshot_at")
     rows = in_windows(border, edges, churn_days).unionByName(in_windows(spread, whole, churn_days))
     of_rows = _states(rows, seen, *keys)
-    known = F.broadcast(_cell_rows(border, whole, churn_days))
-    months = states.join(known, F.col(STATE_MONTH) == F.col("cell_month"))
+    blocks = month_blocks(whole)
+    block_of = states.sparkSession.createDataFrame([(day, first) for day, first in blocks.items()], "month string, block string")
+    block_of = block_of.select(F.col("month").cast("date").alias("_month"), F.col("block").cast("date").alias("block"))
+    merged = [MERGES[name](name).alias(name) for name in MERGES if name != "came_back"]
+    of_blocks = states.join(F.broadcast(block_of), F.col(STATE_MONTH) == F.col("_month")).groupBy("block", PERSON).agg(*merged)
+    # A block's first month stands for all of its months: they meet the same windows in the same way.
+    known = F.broadcast(_cell_rows(border, [cell for cell in whole if blocks[cell.month] == cell.month], churn_days))
+    months = of_blocks.join(known, F.col("block") == F.col("cell_month"))
     is_seen = F.col("part") == "seen"
     merged = [F.when(is_seen, F.col(name)).alias(name) for name in MERGES if name not in ("orders", "came_back")]
     of_months = months.select(

@@ -96,3 +96,15 @@ def test_work_follows_the_matches(spark):
     assert plan.count() <= joined <= 1.25 * plan.count()
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text
+
+
+def test_months_that_meet_the_same_windows_are_one_block():
+    """Thirty daily snapshots cut the months of their windows at few places: the rest is merged before it meets them."""
+    windows = orders.snapshot_windows([datetime(2000, 9, 1, 17) + timedelta(days=i) for i in range(30)])
+    whole = [cell for cell in customers.window_cells(windows) if cell.part != "border"]
+    blocks = customers.month_blocks(whole)
+    met = {month: {cell[1:] for cell in whole if cell.month == month} for month in blocks}
+    assert set(blocks) == {cell.month for cell in whole} and len(set(blocks.values())) <= 6 < len(blocks)
+    assert all(met[month] == met[first] for month, first in blocks.items())
+    assert all(met[a] != met[b] for a in set(blocks.values()) for b in set(blocks.values()) if a != b)
+    assert customers.month_blocks([]) == {}
