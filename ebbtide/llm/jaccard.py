@@ -346,47 +346,51 @@ def _beyond(percent: int, cells: np.ndarray, sets: np.ndarray):
     return emit
 
 
-def _dealt(wanted: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str) -> DataFrame:
-    """From (``cid``, ``group``): each class's set, made again from one of its texts, once per group that needs it."""
+def _dealt(wanted: DataFrame, rows: int, texts: DataFrame, one_text: DataFrame, width: int) -> DataFrame:
+    """From (``cid``, ``group``), no more than ``rows``: each class's set, made again from one of its texts, once per group that needs it."""
     needed = wanted.groupBy("cid").agg(F.collect_list("group").alias("groups"))
-    needed = stored(needed.join(one_text, "cid").select(F.col("best.digest").alias("digest"), F.col("best.id").alias("one"), "cid", "groups"), f"{purpose}-sets")
-    read = texts.join(sized(needed, F.size("groups")), (texts["digest"] == needed["digest"]) & texts["id"].eqNullSafe(needed["one"]))
+    needed = needed.join(one_text, "cid").select(F.col("best.digest").alias("digest"), F.col("best.id").alias("one"), "cid", "groups")
+    read = texts.join(sized(needed, 2 * rows), (texts["digest"] == needed["digest"]) & texts["id"].eqNullSafe(needed["one"]))
     return mapped(read.select("text", "cid", "groups"), _sent(width), "a long, part int, other boolean, b long, set binary")
 
 
-def _with_pivots(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str, function, schema: str) -> DataFrame:
-    """``function`` over the sets of pairs (``a``, ``b``), dealt to their pivots ``a``. A pivot with very many partners has
+def _with_pivots(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, function, schema: str) -> DataFrame:
+    """``function`` over the sets of stored pairs (``a``, ``b``), dealt to their pivots ``a``. A pivot with very many partners has
     several groups."""
-    pairs = stored(pairs, f"{purpose}-pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("parts"))
     group = lambda part: F.struct("a", part.cast("int").alias("part"))
     partners = pairs.join(parts, "a").select(F.col("b").alias("cid"), group(F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"))
     pivots = parts.select(F.col("a").alias("cid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("nth"))
     pivots = pivots.select("cid", group(F.col("nth")).alias("group"))
-    sent = _dealt(partners.unionByName(pivots), texts, one_text, width, purpose)
+    sent = _dealt(partners.unionByName(pivots), 2 * pairs.count(), texts, one_text, width)
     dealt = sent.repartition("a", "part").sortWithinPartitions("a", "part", "other")
     return mapped(dealt, function, schema)
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str) -> DataFrame:
-    """Distinct pairs (``a``, ``b``) with the sizes of their intersection and of both sets."""
-    compared = _with_pivots(pairs, texts, one_text, width, purpose, _overlaps, "a long, b long, both long, sizes long")
-    return stored(compared.distinct(), purpose)
+def _compared(pairs: DataFrame, texts: DataFrame, one_text: DataFrame, width: int, purpose: str, rows: int | None = None) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) with the sizes of their intersection and of both sets. ``rows`` bounds what the last step
+    to the pairs reads, if that is known."""
+    pairs = stored(pairs, f"{purpose}-pairs", rows)
+    compared = _with_pivots(pairs, texts, one_text, width, _overlaps, "a long, b long, both long, sizes long")
+    return stored(compared.distinct(), purpose, pairs.count())
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
     return compared.where((100 + percent) * F.col("both") >= percent * F.col("sizes")).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """(``cid``, ``root``) for every end of a link; the root is the component's smallest id.
 
     Each round every id takes the smallest label among its neighbours and then its label's label, which
-    halves the remaining distance, and is written, so that no round depends on an earlier one's tasks."""
-    both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    halves the remaining distance, and is written, so that no round depends on an earlier one's tasks. ``rows`` bounds the links,
+    if a bound is known."""
+    both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links", None if rows is None else 2 * rows)
+    rows = both.count()
     labels = stored(
         both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("cid"), F.least("a", "least").alias("root")),
         "labels",
+        rows,
     )
     while True:
         near = both.join(labels.withColumnRenamed("cid", "b"), "b").groupBy("a").agg(F.min("root").alias("least"))
@@ -397,7 +401,7 @@ def components(links: DataFrame) -> DataFrame:
         moved = taken.join(jump, "next", "left").select(
             "cid", F.least("next", F.coalesce("further", "next")).alias("root"), F.col("root").alias("was")
         )
-        moved = stored(moved, "labels")
+        moved = stored(moved, "labels", 2 * rows)
         labels = moved.select("cid", "root")
         if moved.where(F.col("root") != F.col("was")).isEmpty():
             return labels
@@ -484,53 +488,58 @@ def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
 def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
     """Components after more links."""
     more = stored(more, "more-links")
-    if more.isEmpty():
+    found = more.count()
+    if not found:
         return roots
     known = roots.where(F.col("cid") != F.col("root")).select(F.col("root").alias("a"), F.col("cid").alias("b"))
-    return components(known.unionByName(more))
+    return components(known.unionByName(more), roots.count() + found)
 
 
-def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: DataFrame, cells, sets, width: int, percent: int) -> DataFrame:
+def _divided(members: DataFrame, rows: int, roots: DataFrame, texts: DataFrame, one_text: DataFrame, cells, sets, width: int, percent: int) -> DataFrame:
     """Components when every pair within a region has been settled. ``members`` has (``region``, ``pivot``, ``cid``, ``n``,
-    ``distance`` from the pivot) of all sets but the pivot, which has been compared with them.
+    ``distance`` from the pivot) of all sets but the pivot, which has been compared with them; ``rows`` bounds what its last step reads.
 
     Each level takes the pivots out of their regions, and a ring is divided only if that halves the pairs of
     different components, so the levels come to an end and never hold more work than comparing a region pair by pair."""
     while True:
-        rings = stored(_rings(_rooted(members, roots), percent), "rings")
+        members = stored(members, "members", rows)
+        rings = stored(_rings(_rooted(members, roots), percent), "rings", members.count() + roots.count())
         kinds = rings.groupBy("ring").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"), F.sum("n").alias("shingles")
         )
         small = (F.col("members") <= TOGETHER) & (F.col("shingles") <= SHINGLES)
         kinds = kinds.where(F.col("low") != F.col("high")).select("ring", small.alias("small"))
-        rings = stored(rings.join(kinds, "ring"), "open-rings")
-        if rings.isEmpty():
+        rings = stored(rings.join(kinds, "ring"), "open-rings", 2 * rings.count())
+        held = rings.count()
+        if not held:
             return roots
         group = F.struct(F.col("ring").alias("a"), F.lit(0).alias("part")).alias("group")
-        dealt = _dealt(rings.where("small").select("cid", group), texts, one_text, width, "rings")
+        dealt = _dealt(rings.where("small").select("cid", group), held, texts, one_text, width)
         found = dealt.groupBy("a").applyInArrow(_together(percent), "a long, b long")
 
         large = rings.where(~F.col("small"))
         if large.isEmpty():
             return _merged(roots, found)
-        around = large.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-        windows = _with_pivots(around, texts, one_text, width, "ring-windows", _beyond(percent, cells, sets), "pivot long, cid long, key long, place int")
-        own = large.select("pivot", "cid", "n", "root").distinct()
-        windows = stored(windows.distinct().join(own, ["pivot", "cid"]), "ring-windows")
+        own = stored(large.select("pivot", "cid", "n", "root").distinct(), "ring-sets", held)
+        around = own.select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
+        windows = _with_pivots(around, texts, one_text, width, _beyond(percent, cells, sets), "pivot long, cid long, key long, place int")
+        made = own.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 2)).first()[0]  # a set's windows and its own row
+        windows = stored(windows.distinct().join(own, ["pivot", "cid"]), "ring-windows", made)
         # Only windows that may hold a pair of different components go on, first of all sets around a pivot, then of a ring.
-        met = stored(_meeting(windows, percent, "pivot", "key"), "met-windows")
-        windows = stored(_meeting(met.join(large.select("ring", "pivot", "cid"), ["pivot", "cid"]), percent, "ring", "key"), "windows-of-rings")
+        met = stored(_meeting(windows, percent, "pivot", "key"), "met-windows", 2 * windows.count())
+        windows = met.join(large.select("ring", "pivot", "cid"), ["pivot", "cid"])  # a set lies in three rings at most, if its distance is known
+        windows = stored(_meeting(windows, percent, "ring", "key"), "windows-of-rings", 6 * met.count())
         first = F.min(F.struct(F.xxhash64("cid"), F.col("cid").alias("pivot"))).alias("first")
         shared = windows.groupBy("ring", "key").agg(F.count("*").alias("m"), first).where(F.col("m") > 1)
         children = windows.select("ring", "key", "cid", "n", "root").join(shared, ["ring", "key"]).select(
             "ring", F.xxhash64("ring", "first.pivot").alias("region"), F.col("first.pivot").alias("pivot"), "cid", "n", "root"
         )
-        children = stored(children.distinct(), "regions-of-rings")
+        children = stored(children.distinct(), "regions-of-rings", windows.count())
         within = _crossing(children, "ring", "region").groupBy("ring").agg(F.sum("crossing").alias("left"))
         judged = _crossing(large, "ring").join(within, "ring", "left").select(
             "ring", (2 * F.coalesce("left", F.lit(0.0)) <= F.col("crossing")).alias("helps")
         )
-        judged = stored(judged, "judged-rings")
+        judged = stored(judged, "judged-rings", held + children.count())
         children = children.join(judged.where("helps"), "ring").where(F.col("cid") != F.col("pivot"))
         stuck = windows.join(judged.where(~F.col("helps")), "ring").select("ring", "key", "cid", "n", "place", "root")
         other = stuck.select("ring", "key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root")])
@@ -541,6 +550,7 @@ def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame, one_text: D
         near = _compared(pairs, texts, one_text, width, "ring-distances")
         roots = _merged(roots, found.unionByName(_linked(near, percent)))
         far = near.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), _distance())
+        rows = windows.count() + near.count()
         members = children.select("region", "pivot", "cid", "n").join(far, ["pivot", "cid"])
 
 
@@ -586,8 +596,8 @@ def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int
     reached = _reachable(percent, F.col("n"), F.col("place"), F.col("pivot_n"), F.col("pivot_place"))
     star = regions.where((F.col("cid") != F.col("pivot")) & reached)
     star = star.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-    near = _compared(star, texts, one_text, width, "pivot-distances")
-    roots = components(_linked(near, percent))
+    near = _compared(star, texts, one_text, width, "pivot-distances", regions.count())
+    roots = components(_linked(near, percent), near.count())
     # What is left of the regions: those that still hold several components.
     region = _rooted(regions, roots)
     mixed = region.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
@@ -595,7 +605,8 @@ def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int
     rest = region.join(mixed, "key").where(F.col("cid") != F.col("pivot")).join(
         near.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), _distance()), ["pivot", "cid"], "left"
     )
-    rest = stored(rest.select("key", "pivot", "cid", "n", "place", "root", "distance", "large"), "windows")
+    rest = rest.select("key", "pivot", "cid", "n", "place", "root", "distance", "large")
+    rest = stored(rest, "windows", regions.count() + near.count())
     few = rest.where(~F.col("large"))
     other = few.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "place", "root", "distance")])
     apart = F.coalesce(F.abs(F.col("distance") - F.col("distance_b")), F.lit(0.0))
@@ -613,7 +624,7 @@ def links(docs: DataFrame, id_: str, text: str, described: DataFrame, width: int
     far = _compared(pairs.join(done, ["a", "b"], "left_anti"), texts, one_text, width, "window-distances")
     roots = _merged(roots, _linked(far, percent))
     many = rest.where("large").select(F.col("pivot").alias("region"), "pivot", "cid", "n", "distance").distinct()
-    return _divided(many, roots, texts, one_text, cells, sets, width, percent)
+    return _divided(many, rest.count(), roots, texts, one_text, cells, sets, width, percent)
 
 
 def join(docs: DataFrame, id_: str, text: str, width: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -183,6 +183,26 @@ def test_components_of_a_chain(spark):
     assert found == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
 
 
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """However many partitions the shuffles have: a table of few rows is a file, a larger one is as many as its rows are worth."""
+    from ebbtide.llm import frames
+
+    links = spark.range(400).select(F.col("id").alias("a"), (F.col("id") + 1000).alias("b"))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = jaccard.components(links)
+        assert len(found.inputFiles()) == 1
+        monkeypatch.setattr(frames, "FILE_ROWS", 400)
+        several = jaccard.components(links)
+        assert len(several.inputFiles()) == 4  # 800 ends of links, and their rows beside their neighbours'
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert rows(found, "cid", "root") == rows(several, "cid", "root") == sorted(((i + k, i) for i in range(400) for k in (0, 1000)), key=repr)
+
+
 def test_query(spark):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     found = queries.QUERIES["op10_ngram_jaccard_join"](spark, DATA)
