@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.ml import Estimator, PipelineModel
@@ -40,9 +40,8 @@ def silver(tables: ShopTables, path: str, months: Sequence[str | date] | None =
     aggregated. Orders that are stored in a month that is not named, and have left it, would be lost or
     doubled: that is refused. ``refresh_silver`` finds out itself which months it must name.
 
-    Feature jobs then read the months they need and join nothing but customers. The details are
-    stored first: both sides of the join with them are then plain shuffles, which adaptive
-    execution can split, should an order id be repeated very often.
+    Feature jobs then read the months they need and join nothing but customers. The details of each kind are aggregated and
+    joined where their one exchange has put them. Should an order id be repeated very often, its orders are dealt to several tasks.
     """
     if months is None:
         return _store_silver(tables, path, None)
@@ -78,9 +77,12 @@ def _store_silver(tables: ShopTables, path: str, months: Sequence[str] | None) -
         placed = placed.filter(_in_months(months))
         words = orders.order_filter(placed)
         details = tuple(orders.of_orders(rows, words) for rows in details)
-    facts_path = working_folder(spark, "order-facts")
-    files.write_table(orders.order_facts(*details), facts_path)
-    detailed = placed.join(files.read_table(spark, facts_path), orders.ORDER, "left")
+    hot = orders.hot_ids(placed)
+    if hot.isEmpty():
+        parts = orders.payments_by_order(details[0]), orders.items_by_order(details[1]), orders.reviews_by_order(details[2])
+        detailed = reduce(lambda rows, part: rows.join(part, orders.ORDER, "left"), parts, placed)
+    else:
+        detailed = orders.with_facts(placed, orders.order_facts(*details), hot, ["customer_id", orders.PURCHASED])
     # Rebalancing gives each month few files and still splits a month that is very large.
     files.write_table(
         detailed.hint("rebalance", SILVER_PERIOD.column),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.operators import evaluate, orders
 from ebbtide.plans import jobs
+from ebbtide.sources import files
 from ebbtide.sources.star_schema import shop_tables
 
 SMALL = {
@@ -94,6 +95,25 @@ def test_an_order_id_on_a_third_of_the_orders_directly(spark, tables, small_thre
     assert _rows(jobs.gold(skewed)) == plain
 
 
+def test_an_order_id_on_a_third_of_the_stored_orders(spark, tables, small_thresholds, tmp_path, monkeypatch):
+    """The id's orders are dealt to several tasks; stored orders are those of plain joins, and nothing else is written before."""
+    placed = tables.orders.repartition(8).withColumn("order_id", _third_on("order_id", 11))
+    skewed = replace(tables, orders=placed)
+    written = []
+    write = files.write_table
+    monkeypatch.setattr(files, "write_table", lambda df, path, *args, **more: (written.append((path, df)), write(df, path, *args, **more)))
+    plain = jobs.silver(skewed, f"{tmp_path}/plain")
+    assert [path for path, _ in written] == [f"{tmp_path}/plain/orders"]
+    assert orders.hot_ids(placed).isEmpty()
+    monkeypatch.setattr(orders, "HOT_ORDERS", 1000)
+    hot = orders.hot_ids(placed).collect()
+    assert hot == orders.hot_words(orders.order_filter(placed)).collect() and len(hot) == 1 and hot[0]["_salts"] >= 50
+    dealt = jobs.silver(skewed, f"{tmp_path}/dealt")
+    assert [path for path, _ in written[1:]] == [f"{tmp_path}/dealt/orders"] and "_salt" in _final_plan(written[-1][1])
+    assert dealt.columns == plain.columns and dealt.dtypes == plain.dtypes
+    assert dealt.exceptAll(plain).count() == 0 and dealt.count() == plain.count() == placed.count()
+
+
 def test_details_of_other_orders_do_not_leave_the_scan(spark, tables):
     placed = tables.orders.filter("order_purchase_timestamp >= '2000-06-01'")
     other = tables.orders.filter("order_purchase_timestamp < '2000-06-01'")
