@@ -73,9 +73,10 @@ def _cells(width: int, ranges: int):
     low_bits = CELL_BITS - ranges.bit_length() + 1
 
     def rows(gathered: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cells = np.sort(np.concatenate(gathered) >> np.uint64(64 - CELL_BITS)).astype(np.uint64)
-        cuts = np.searchsorted(cells, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(low_bits))
-        low = (cells & np.uint64((1 << low_bits) - 1)).astype(np.uint32)
+        cells = np.concatenate([(found >> np.uint64(64 - CELL_BITS)).astype(np.uint32) for found in gathered])
+        cells.sort()
+        cuts = np.append(np.searchsorted(cells, np.arange(ranges, dtype=np.uint32) << np.uint32(low_bits)), len(cells))
+        low = cells & np.uint32((1 << low_bits) - 1)
         blobs = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             steps = np.diff(low[a:b], prepend=np.uint32(0))
@@ -165,7 +166,7 @@ def _windows(width: int, percent: int, cells: np.ndarray, sets: np.ndarray):
                     continue
                 seen.add(cid)
                 windows = n - -(-percent * n // 100) + 1
-                keys.append(_ordered(found, cells, sets)[:windows].view(np.int64))
+                keys.append(_ordered(found, cells, sets)[:windows].view(np.int64).copy())  # not the whole set behind it
                 own.append(cid)
                 sizes.append(n)
                 places.append(np.arange(windows, dtype=np.int32))
@@ -560,11 +561,13 @@ def _divided(members: DataFrame, rows: int, roots: DataFrame, texts: DataFrame,
 def _described(width: int, columns: int):
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(_sets(batch.column(columns), width))
-            own = pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64())
+            own, sizes = [], []
+            for found in _sets(batch.column(columns), width):
+                own.append(_class_of(found) if len(found) else None)
+                sizes.append(len(found))
             kept = batch.select(list(range(columns)))
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, own, pa.array([len(s) for s in sets], pa.int64())], [*kept.schema.names, "cid", "n_shingles"]
+                [*kept.columns, pa.array(own, pa.int64()), pa.array(sizes, pa.int64())], [*kept.schema.names, "cid", "n_shingles"]
             )
 
     return describe
