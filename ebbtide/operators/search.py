@@ -113,6 +113,20 @@ def _estimator(estimator_cls: type[Estimator], params: Mapping[str, object]) ->
     return estimator_cls(labelCol=LABEL, featuresCol="features", **params)
 
 
+#: What the passes of a fit grow with.
+SIZES = ("maxIter", "numTrees", "maxDepth")
+
+
+def longest_first(points: Sequence[tuple[int, dict[str, object]]]) -> list[tuple[int, dict[str, object]]]:
+    """Numbered draws, those with the most and deepest trees or the most iterations first, equal ones as they were drawn."""
+
+    def work(point: tuple[int, dict[str, object]]) -> float:
+        sizes = [point[1].get(name) for name in SIZES]
+        return math.prod(size for size in sizes if isinstance(size, (int, float)))
+
+    return sorted(points, key=work, reverse=True)
+
+
 def search_id(*what: object) -> str:
     """The same id for the same search, so that a restart finds its trials in the run table."""
     return hashlib.sha256(json.dumps(what, default=repr, sort_keys=True).encode()).hexdigest()[:32]
@@ -137,7 +151,8 @@ def tune(
 
     The feature vectors are assembled once and kept for all trials; up to ``parallelism`` trials (by default as many as
     there are cores) run at a time, and each is itself distributed. Each has a scheduler pool of its own: under fair
-    scheduling the small jobs of one fit do not wait for those of another. A failing trial is recorded and cannot win.
+    scheduling the small jobs of one fit do not wait for those of another. The longest are started first, so that none of
+    them is left to run alone at the end. A failing trial is recorded and cannot win.
     The winner is fitted again on all rows, so its value is a selection score, not a test score.
     ``log`` gets each trial's entries when it ends, and the search's own at the end.
 
@@ -189,7 +204,7 @@ def tune(
         return trial, logged(trial_rows(number, trial))
 
     points = list(enumerate(draws(space, max_evals, seed)))
-    missing = [(number, params) for number, params in points if number not in before]
+    missing = longest_first([(number, params) for number, params in points if number not in before])
     workers = max(1, min(parallelism or spark.sparkContext.defaultParallelism, len(missing)))
     with kept(train_rows, check_rows):
         pool = ThreadPoolExecutor(max_workers=workers)

@@ -294,6 +294,19 @@ def test_selection_scores_are_exact_beyond_the_evaluators_bins(spark):
 SMALL_SPACE = {"regParam": search.Uniform(0, 1, 0.01), "maxIter": search.Uniform(3, 5, 1), "elasticNetParam": 0.0}
 
 
+def test_the_longest_trials_start_first(gold, monkeypatch):
+    """None of them is left to run alone at the end; trials are numbered and listed as they were drawn all the same."""
+    space, started = {"maxIter": search.Uniform(2, 9, 1), "elasticNetParam": 0.0}, []
+    make = search._estimator
+    monkeypatch.setattr(search, "_estimator", lambda cls, params: started.append(params["maxIter"]) or make(cls, params))
+    found = search.tune(gold, LogisticRegression, space, customers.FEATURES, max_evals=5, parallelism=1)
+    drawn = [t.params["maxIter"] for t in found.trials]
+    assert drawn == [p["maxIter"] for p in search.draws(space, 5)] != sorted(drawn, reverse=True)
+    assert started[:5] == sorted(drawn, reverse=True)
+    points = [{"numTrees": 2, "maxDepth": 3}, {"numTrees": 3, "maxDepth": 3}, {"maxDepth": "deep"}, {"numTrees": 3, "maxDepth": 3.0, "tol": 9}]
+    assert [number for number, _ in search.longest_first(list(enumerate(points)))] == [1, 3, 0, 2]
+
+
 def test_a_stopped_search_goes_on_where_it_was(spark, gold, tmp_path, monkeypatch):
     """Stopped after 4 of 12 trials: the rest is fitted, the winner is that of a search in one go."""
     path, fitted = str(tmp_path / "runs"), []
